@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from meridian.llm import ann, mixing
+from meridian.llm.ann import op1_curves
+from meridian.llm.mixing import op9_mixing
+from meridian.llm.sharding import op10_hilbert_shards
 from meridian.llm.simhash import op2_simhash
 
 QUERIES = {
+    "op1_curves": op1_curves,
     "op2_simhash": op2_simhash,
+    "op9_mixing": op9_mixing,
+    "op10_hilbert_shards": op10_hilbert_shards,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_curves": ann.ORACLE,
+    "op9_mixing": mixing.ORACLE,
+}
