@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from meridian.llm import ann, mixing
 from meridian.llm.ann import op1_curves
+from meridian.llm.bpe import op5_bpe
+from meridian.llm.gif import op4_gif
 from meridian.llm.mixing import op9_mixing
+from meridian.llm.quality import op3_quality
 from meridian.llm.sharding import op10_hilbert_shards
 from meridian.llm.simhash import op2_simhash
+from meridian.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_curves": op1_curves,
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
+    "op4_gif": op4_gif,
+    "op5_bpe": op5_bpe,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
