@@ -170,9 +170,13 @@ def file_key(x: Column) -> Column:
     return F.when(stamp != "", stamp).otherwise(plain)
 
 
+#: First-person words, bounded by anything that is no letter, digit or underscore.
+SELF = r"(?i)(^|[^\pL\pN_])(i|me|my|mine|myself|we|us|our|ours)($|[^\pL\pN_])"
+
+
 def mentions(x: Column) -> Column:
     """struct(is_self, dates, times): first-person words, ISO or slashed dates, clock times; sorted and distinct."""
-    is_self = F.coalesce(x, F.lit("")).rlike(r"(?i)\b(i|me|my|mine|myself|we|us|our|ours)\b")
+    is_self = F.coalesce(x, F.lit("")).rlike(SELF)
     found = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(p), F.lit(0))))
     return F.struct(is_self.alias("is_self"), found(r"\b(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{2,4})\b").alias("dates"), found(r"(?i)\b\d{1,2}:\d{2}\s?(?:am|pm)?\b").alias("times"))
 

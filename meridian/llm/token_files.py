@@ -32,9 +32,9 @@ from meridian.llm.common import stored, table
 
 MAGIC, VERSION = b"MTOK", 1
 HEAD = struct.Struct("<4sHHIQQQ")
-#: White space other than the blank and the line end; a text that holds it is split by the general rule.
-OTHER_SPACE = regex.compile(r"[\t\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 UNITS = regex.compile(r"\s*\S+|\s+")
+#: Signs that often end a word; between a letter and one of them the vocabulary's rule always cuts.
+TAIL = ".,;:!?#$%&*()|\"'"
 
 
 @dataclass(frozen=True)
@@ -48,45 +48,99 @@ class Layout:
     end_id: int = 0
 
 
+class Known:
+    """Ids by text, in two generations: when the young one is full it becomes the old one, whose entries go if unused."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.old.get(key)
+        if found is not None:
+            self.young[key] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+
+
 class Encoder:
-    """Ids of byte-level BPE texts. The library encodes each unit (white space, then other signs) once, up to a bound.
+    """Ids of byte-level BPE texts. The library encodes each unit (white space, then other signs) once while it is known.
 
-    The vocabulary's rule never joins signs before white space with those after it, so a text's ids are its units' ids.
-    Texts that may hold a special token go to the library whole.
+    The vocabulary's rule never joins signs before white space with those after it, nor a letter with a sign after it, so
+    a text's ids are its units' ids. Texts that may hold a special token go to the library whole. ``keep``: units in memory
+    in each of two generations.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.marks = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.known: dict[str, bytes] = {}
-        self.keep = keep
+        n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)])  # one letter stands for a byte
+        self.spaced, self.bare = Known(keep), Known(keep)  # units after a blank (left out of the key) or line end; others
 
-    def units(self, text: str) -> list[str] | None:
-        """None where the library must see the whole text."""
+    def units(self, text: str) -> tuple[str, list[str]] | list[str] | None:
+        """The first unit and those after it, by blank or line end; general units; None if the library must see it whole."""
         if any(m in text for m in self.marks):
             return None
-        if "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[:1] in " \n" or text[-1:] in " \n" or OTHER_SPACE.search(text) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if " ".join(text.split()) != text.replace("\n", " ") or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return UNITS.findall(text)
         head, *rest = text.replace("\n", " \n").split(" ")
-        return [head, *[c if c[0] == "\n" else f" {c}" for c in rest]]
+        return head, rest
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_bare(self, new: set[str]) -> None:
+        new = [u for u in new if self.bare.get(u) is None]
+        self.bare.young.update(zip(new, self._whole(new)))
+
+    def _learn_spaced(self, new: set[str]) -> None:
+        split, stems = [], set()
+        for u in new:
+            if self.spaced.get(u) is None:
+                stem = u.rstrip(TAIL)
+                if not stem or not stem[-1].isalpha():
+                    stem = u
+                split.append((u, stem))
+                if stem not in self.spaced.young and self.spaced.get(stem) is None:
+                    stems.add(stem)
+        fresh = list(stems)
+        for at in range(0, len(fresh), 2000):
+            part = fresh[at : at + 2000]
+            full = [u if u[0] == "\n" else f" {u}" for u in part]
+            ids = np.array(self.tokenizer.encode("".join(full), add_special_tokens=False).ids, "<u4")
+            ends = np.cumsum([len(u.encode("utf-8", "replace")) for u in full])
+            cuts = [0, *(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()]
+            raw = ids.tobytes()
+            self.spaced.young.update((u, raw[4 * a : 4 * b]) for u, a, b in zip(part, cuts, cuts[1:]))
+        self._learn_bare({u[len(stem) :] for u, stem in split if stem != u}.difference(self.bare.young))
+        known, tails = self.spaced.young, self.bare.young
+        for u, stem in split:
+            if stem != u:
+                known[u] = known[stem] + tails[u[len(stem) :]]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        self.spaced.turn()
+        self.bare.turn()
         split = [self.units(t) if t else [] for t in texts]
-        if len(self.known) > self.keep:
-            self.known.clear()
-        known, new = self.known, {u for units in split if units for u in units}.difference(self.known)
-        fresh = list(new)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[u] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        return [whole(t) if units is None else b"".join(map(get, units)) for t, units in zip(texts, split)]
+        spaced, bare = self.spaced.young, self.bare.young
+        self._learn_bare({u for x in split if x for u in (x[:1] if isinstance(x, tuple) else x)}.difference(bare))
+        self._learn_spaced({u for x in split if isinstance(x, tuple) for u in x[1]}.difference(spaced))
+        out = []
+        for t, x in zip(texts, split):
+            if x is None:
+                out.append(self._whole([t])[0])
+            elif isinstance(x, tuple):
+                out.append(bare[x[0]] + b"".join(map(spaced.__getitem__, x[1])))
+            else:
+                out.append(b"".join(map(bare.__getitem__, x)))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -137,6 +191,8 @@ def read_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 NULL_ID = -(1 << 63)
+#: Files whose starts are broadcast, at 16 bytes each; more of them are joined by a shuffle.
+MOST_BROADCAST = 500_000
 
 
 def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -> DataFrame:
@@ -158,8 +214,8 @@ def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["part", "seq", "n_ids", "file"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
                 for doc, own in zip(rows.column(0).to_pylist(), make.encode_batch(rows.column(1).to_pylist())):
                     ids.append(NULL_ID if doc is None else doc)
                     counts.append(len(own) // 4 + 1)
@@ -191,6 +247,8 @@ def read_back(written: DataFrame) -> DataFrame:
                 docs = pa.array([None if d == NULL_ID else d for d in doc_ids.tolist()], pa.int64())
                 yield pa.RecordBatch.from_arrays([docs, pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
+    if starts.count() <= MOST_BROADCAST:  # a row a file: joined without moving the files
+        starts = F.broadcast(starts)
     return written.join(starts, ["part", "seq"]).select("start", "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
