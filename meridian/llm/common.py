@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -93,3 +94,23 @@ def sampled(df: DataFrame, rows: int, total: int, salt: str) -> DataFrame:
         return df
     parts = 1_000_003
     return df.where(F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id")), F.lit(parts)) < int(parts * rows / total))
+
+
+def frugal() -> None:
+    """In a Python worker: Arrow allocates from the system, and freed memory goes back to it. Workers outlive their tasks."""
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            libc = ctypes.CDLL(None)
+            libc.mallopt(-8, 1)  # one arena
+            libc.mallopt(-1, 1 << 20)  # trim from a megabyte on
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
+def trimmed() -> None:
+    """Gives freed memory back to the system, after a task or a large batch."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

@@ -14,8 +14,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import held_out, sampled, table, training_rows
+from meridian.llm.common import frugal, held_out, sampled, table, training_rows
 
 TOKEN = re.compile(r"\w+")
 SPANS = "array<struct<start:int,stop:int,score:double>>"
@@ -36,8 +35,8 @@ class Settings:
     least: toxic training documents that must hold a word for it to be tagged; odds: how much oftener than clean ones.
     """
 
-    toxic: int = 1500
-    clean: int = 2500
+    toxic: int = 1000
+    clean: int = 1500
     buckets: int = 1 << 18
     least: int = 4
     odds: float = 20.0
@@ -45,7 +44,7 @@ class Settings:
     rate: float = 0.1
     decay: float = 1e-5
     threshold: float = 0.7
-    run: int = 1 << 18
+    run: int = 1 << 17
     cache: int = 200_000
 
 
@@ -66,14 +65,14 @@ def hashed(word: str, buckets: int) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "replace")) % buckets for x in data]
 
 
-def forward_backward(potential: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def forward_backward(potential: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray, edges: bool = False) -> tuple[np.ndarray, np.ndarray, float]:
     """potential (n,): factor of the toxic state (clean: 1). first (n,): where a chain begins.
 
-    -> marginals of the toxic state (n,), edge marginals (n, 2, 2) of (previous, own), zero at beginnings, log-partition.
+    -> marginals of the toxic state (n,), expected transitions (2, 2) if ``edges``, log-partition.
     """
     n = len(potential)
     if not n:
-        return np.zeros(0), np.zeros((0, 2, 2)), 0.0
+        return np.zeros(0), np.zeros((2, 2)), 0.0
     length = max(1, int(math.sqrt(n)))
     cols = -(-n // length)
     e = np.ones((2, cols * length))
@@ -120,21 +119,14 @@ def forward_backward(potential: np.ndarray, first: np.ndarray, trans: np.ndarray
         b = b / b.sum(axis=0)
     own = alpha * beta
     p = (own[:, 1] / own.sum(axis=1)).T.reshape(-1)[:n]
-    before = np.concatenate([ahead[None], alpha[:-1]])
-    edge = before[:, :, None, :] * m * beta[:, None, :, :]
-    edge = (edge / edge.sum(axis=(1, 2), keepdims=True)).transpose(3, 0, 1, 2).reshape(-1, 2, 2)[:n]
-    edge[first] = 0
-    return p, edge, log_z
-
-
-def _tags(docs: list[tuple[list[str], int]], s: Settings) -> set[str]:
-    """Words that toxic documents hold far oftener than clean ones."""
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    many = Counter()
-    for words, label in docs:
-        seen[label].update(set(words))
-        many[label] += 1
-    return {w for w, n in seen[1].items() if n >= s.least and (n + 0.5) / (many[1] + 1) > s.odds * (seen[0][w] + 0.5) / (many[0] + 1)}
+    expected = np.zeros((2, 2))
+    if edges:
+        before, inside = ahead, ~begin.reshape(cols, length).T
+        for t in range(length):
+            edge = before[:, None] * m[t] * beta[t][None]
+            expected += (edge / edge.sum(axis=(0, 1)))[..., inside[t]].sum(axis=2)
+            before = alpha[t]
+    return p, expected, log_z
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -159,49 +151,71 @@ def _summary(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([np.log(total + 1e-2), np.log(share), np.log(most / (1 - most)), np.ones(len(ends))], axis=1)
 
 
-def fit(docs: list[tuple[list[str], int]], s: Settings) -> Model | None:
+def _runs(ends: np.ndarray, size: int) -> list[tuple[int, int, int, int]]:
+    """(first document, last, first word, last) of runs of whole documents, of ``size`` words or one document."""
+    out, at = [], 0
+    while at < len(ends):
+        begin = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, begin + size, "right")))
+        out.append((at, to, begin, int(ends[to - 1])))
+        at = to
+    return out
+
+
+def fit(docs: Iterable[tuple[list[str], int]], s: Settings) -> Model | None:
     """docs: (words, label), both labels among them; None otherwise, or where no word tells them apart."""
-    tags = _tags(docs, s)
-    if not tags or {label for _, label in docs} != {0, 1}:
-        return None
     names: dict[str, int] = {}
-    word = np.array([names.setdefault(w, len(names)) for words, _ in docs for w in words], np.int64)
-    ends = np.cumsum([len(words) for words, _ in docs])
+    word_lists, labels = [], []
+    for words, label in docs:
+        word_lists.append(np.array([names.setdefault(w, len(names)) for w in words], np.int32))
+        labels.append(label)
+    label = np.array(labels, np.int64)
+    if set(labels) != {0, 1}:
+        return None
+    held = np.zeros((2, len(names)))
+    for own, k in zip(word_lists, labels):
+        held[k, np.unique(own)] += 1
+    rates = (held + 0.5) / (np.bincount(label, minlength=2)[:, None] + 1)
+    telling = (held[1] >= s.least) & (rates[1] > s.odds * rates[0])
+    if not telling.any():
+        return None
+    sizes = np.array([len(x) for x in word_lists])
+    word, ends = np.concatenate(word_lists), np.cumsum(sizes)
     first = np.zeros(len(word), bool)
-    first[np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]] = True
-    toxic = np.repeat([label for _, label in docs], np.diff(ends, prepend=0)).astype(bool)
-    tagged = np.array([w in tags for w in names])[word] & toxic
+    first[(ends - sizes)[sizes > 0]] = True
+    tagged = telling[word] & np.repeat(label == 1, sizes)
     of = [hashed(w, s.buckets) for w in names]
     row = np.repeat(np.arange(len(of)), [len(x) for x in of])
-    col = np.concatenate([np.array(x) for x in of])
-    used, col = np.unique(col, return_inverse=True)
-    seen_word = np.bincount(word[tagged], minlength=len(names)).astype(float)
-    inside = ~first
+    used, col = np.unique(np.concatenate([np.array(x) for x in of]), return_inverse=True)
+    n_names, n_w, runs = len(names), len(used), _runs(ends, s.run)
+    del names, of, word_lists
+    seen_word = np.bincount(word[tagged], minlength=n_names).astype(float)
     seen_edge = np.zeros((2, 2))
-    np.add.at(seen_edge, (tagged[:-1][inside[1:]].astype(int), tagged[1:][inside[1:]].astype(int)), 1)
+    np.add.at(seen_edge, (tagged[:-1][~first[1:]].astype(int), tagged[1:][~first[1:]].astype(int)), 1)
     seen_start = np.bincount(tagged[first].astype(int), minlength=2).astype(float)
-    w, bias = np.zeros(len(used)), -4.0
-    trans, start = np.log(np.array([[0.95, 0.05], [0.5, 0.5]])), np.log(np.array([0.95, 0.05]))
-    theta = np.concatenate([w, [bias], trans.ravel(), start])
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    n_w = len(used)
+    guess = np.array([[0.95, 0.05], [0.5, 0.5], [0.95, 0.05]])
+    theta = np.concatenate([np.zeros(n_w), [-4.0], np.log(guess).ravel()])
     unpack = lambda t: (t[:n_w], t[n_w], np.exp(t[n_w + 1 : n_w + 5].reshape(2, 2)), np.exp(t[n_w + 5 :]))
+    potentials = lambda w, bias: np.exp(np.clip(np.bincount(row, weights=w[col], minlength=n_names) + bias, -30, 30))
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, s.steps + 1):
         w, bias, trans, start = unpack(theta)
-        score = np.bincount(row, weights=w[col], minlength=len(names)) + bias
-        p, edge, _ = forward_backward(np.exp(np.clip(score, -30, 30))[word], first, trans, start)
-        d_word = np.bincount(word, weights=p, minlength=len(names)) - seen_word
-        d_start = np.array([(1 - p[first]).sum(), p[first].sum()]) - seen_start
-        g = np.concatenate([np.bincount(col, weights=d_word[row], minlength=n_w), [d_word.sum()], (edge.sum(axis=0) - seen_edge).ravel(), d_start]) / max(1, tagged.sum())
+        score, d_word, d_edge, d_start = potentials(w, bias), -seen_word, -seen_edge, -seen_start
+        for _, _, a, b in runs:
+            p, edge, _ = forward_backward(score[word[a:b]], first[a:b], trans, start, True)
+            d_word = d_word + np.bincount(word[a:b], weights=p, minlength=n_names)
+            begun = p[first[a:b]]
+            d_edge, d_start = d_edge + edge, d_start + np.array([(1 - begun).sum(), begun.sum()])
+        g = np.concatenate([np.bincount(col, weights=d_word[row], minlength=n_w), [d_word.sum()], d_edge.ravel(), d_start]) / max(1, tagged.sum())
         g[:n_w] += s.decay * theta[:n_w]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta - s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     w, bias, trans, start = unpack(theta)
     full = np.zeros(s.buckets, np.float32)
     full[used] = w
-    score = np.bincount(row, weights=w[col], minlength=len(names)) + bias
-    p, _, _ = forward_backward(np.exp(np.clip(score, -30, 30))[word], first, trans, start)
-    document = _logistic(_summary(p, ends), np.array([label for _, label in docs], float))
+    score = potentials(w, bias)
+    told = [_summary(forward_backward(score[word[a:b]], first[a:b], trans, start)[0], ends[i:j] - a) for i, j, a, b in runs]
+    document = _logistic(np.concatenate(told), label.astype(float))
     return Model(full, float(bias), trans, start, tuple(map(float, document)))
 
 
@@ -215,9 +229,10 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     parts = [sampled(known.where(f"label = {k}"), n, counts.get(k, 0), f"toxic{k}") for k, n in ((1, s.toxic), (0, s.clean))]
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").select("doc_id", "text", "label").toArrow()
     known.unpersist()
-    order = np.lexsort((rows["doc_id"].to_numpy(),)) if rows.num_rows else []
-    texts, marks = rows["text"].to_pylist(), rows["label"].to_pylist()
-    return fit([(words_of(texts[i]), marks[i]) for i in order], s)
+    if not rows.num_rows:
+        return None
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return fit(((words_of(t.as_py()), k.as_py()) for t, k in zip(rows["text"], rows["label"])), s)
 
 
 class Tagger:
@@ -271,13 +286,14 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         tagger = Tagger(model, s) if model else None
         for batch in batches:
             texts = batch.column(len(names)).to_pylist()
             score, spans, at, chars = [np.zeros(0 if model else len(texts))], [] if model else [[] for _ in texts], 0, 0
             for i, t in enumerate(texts if model else []):
                 chars += len(t or "")
-                if chars >= s.run * 4 or i == len(texts) - 1:
+                if chars >= s.run * 6 or i == len(texts) - 1:
                     a, b = tagger.scores(texts[at : i + 1])
                     score.append(a)
                     spans += b
