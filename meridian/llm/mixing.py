@@ -110,7 +110,7 @@ def mixed(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
         .withColumn("first", F.floor((F.col("upto") - F.col("size")) * F.col("rate")))
         .withColumn("last", F.floor(F.col("upto") * F.col("rate")))
         .withColumn("taken", F.least(F.col("last") - F.col("first"), F.col("size") * mix.cap))
-        .withColumn("share", (F.col("first") + F.col("last")) / 2 / F.col("target"))
+        .withColumn("share", F.expr("(first + last) / 2 / nullif(target, 0)"))
         .withColumn("position", F.expr(f"CASE WHEN taken > 0 THEN {position_sql(mix, 'kind', 'share')} END"))
         .select("doc_id", "source", "size", "source_size", "target", "taken", "position")
     )
