@@ -22,17 +22,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.llm.bpe import default_path
-from meridian.llm.common import stored, table
+from meridian.llm.common import frugal, stored, table, trimmed
 
 MAGIC, VERSION = b"MTOK", 1
 HEAD = struct.Struct("<4sHHIQQQ")
 UNITS = regex.compile(r"\s*\S+|\s+")
+#: Texts for the general rule: empty ones, white space at the ends, doubled, or other than the blank and the line end.
+ODD = r"^$|^[ \n]|[ \n]$|[ \n][ \n]|[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+FIRST = "\x00"  # stands before a text's first unit, which no blank precedes
 #: Signs that often end a word; between a letter and one of them the vocabulary's rule always cuts.
 TAIL = ".,;:!?#$%&*()|\"'"
 
@@ -83,15 +87,6 @@ class Encoder:
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(n)])  # one letter stands for a byte
         self.spaced, self.bare = Known(keep), Known(keep)  # units after a blank (left out of the key) or line end; others
 
-    def units(self, text: str) -> tuple[str, list[str]] | list[str] | None:
-        """The first unit and those after it, by blank or line end; general units; None if the library must see it whole."""
-        if any(m in text for m in self.marks):
-            return None
-        if " ".join(text.split()) != text.replace("\n", " ") or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return UNITS.findall(text)
-        head, *rest = text.replace("\n", " \n").split(" ")
-        return head, rest
-
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -99,48 +94,67 @@ class Encoder:
         new = [u for u in new if self.bare.get(u) is None]
         self.bare.young.update(zip(new, self._whole(new)))
 
-    def _learn_spaced(self, new: set[str]) -> None:
-        split, stems = [], set()
+    def _learn_spaced(self, new: list[str]) -> None:
+        known, recall, split, stems = self.spaced.young, self.spaced.get, [], set()
         for u in new:
-            if self.spaced.get(u) is None:
+            if recall(u) is None:
                 stem = u.rstrip(TAIL)
                 if not stem or not stem[-1].isalpha():
                     stem = u
-                split.append((u, stem))
-                if stem not in self.spaced.young and self.spaced.get(stem) is None:
+                if stem != u:
+                    split.append((u, stem))
+                if stem not in known and (stem == u or recall(stem) is None):
                     stems.add(stem)
         fresh = list(stems)
-        for at in range(0, len(fresh), 2000):
-            part = fresh[at : at + 2000]
-            full = [u if u[0] == "\n" else f" {u}" for u in part]
-            ids = np.array(self.tokenizer.encode("".join(full), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([len(u.encode("utf-8", "replace")) for u in full])
-            cuts = [0, *(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()]
+        full = [u if u[0] == "\n" else f" {u}" for u in fresh]
+        groups = [full[at : at + 1000] for at in range(0, len(full), 1000)]
+        done = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for g, (part, e) in enumerate(zip(groups, done)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(u) if u.isascii() else len(u.encode("utf-8", "replace")) for u in part])
+            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()]
             raw = ids.tobytes()
-            self.spaced.young.update((u, raw[4 * a : 4 * b]) for u, a, b in zip(part, cuts, cuts[1:]))
-        self._learn_bare({u[len(stem) :] for u, stem in split if stem != u}.difference(self.bare.young))
-        known, tails = self.spaced.young, self.bare.young
-        for u, stem in split:
-            if stem != u:
-                known[u] = known[stem] + tails[u[len(stem) :]]
-
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+            known.update(zip(fresh[g * 1000 : g * 1000 + 1000], [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        self._learn_bare({u[len(stem) :] for u, stem in split}.difference(self.bare.young))
+        tails = self.bare.young
+        known.update((u, known[stem] + tails[u[len(stem) :]]) for u, stem in split)
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        """Texts whose white space is single blanks and line ends between other signs, at once: a word is looked up once a batch."""
+        marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts, "\n", " \n"), "")
+        lists = pc.split_pattern(marked, " ")
+        units = lists.values.dictionary_encode()
+        words, codes = units.dictionary.to_pylist(), units.indices.to_numpy()
+        spaced, bare = self.spaced.young, self.bare.young
+        heads = {w[1:] for w in words if w[0] == FIRST}
+        self._learn_bare(heads.difference(bare))
+        self._learn_spaced([w for w in words if w not in spaced and w[0] != FIRST])
+        found = [bare[w[1:]] if w[0] == FIRST else spaced[w] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        own = sizes[codes]
+        stops = np.cumsum(own)
+        shift = ((np.cumsum(sizes) - sizes)[codes] - (stops - own)).astype(np.int32)
+        at = np.repeat(shift, own)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = flat[at]
+        ends = np.concatenate([[0], stops])[lists.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null texts have none."""
         self.spaced.turn()
         self.bare.turn()
-        split = [self.units(t) if t else [] for t in texts]
-        spaced, bare = self.spaced.young, self.bare.young
-        self._learn_bare({u for x in split if x for u in (x[:1] if isinstance(x, tuple) else x)}.difference(bare))
-        self._learn_spaced({u for x in split if isinstance(x, tuple) for u in x[1]}.difference(spaced))
-        out = []
-        for t, x in zip(texts, split):
-            if x is None:
-                out.append(self._whole([t])[0])
-            elif isinstance(x, tuple):
-                out.append(bare[x[0]] + b"".join(map(spaced.__getitem__, x[1])))
-            else:
-                out.append(b"".join(map(bare.__getitem__, x)))
-        return out
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, ODD)
+        for m in self.marks:
+            odd = pc.or_(odd, pc.match_substring(texts, m))
+        plain = iter(self._plain(texts.filter(pc.invert(odd))))
+        split = [(t, None if any(m in t for m in self.marks) else UNITS.findall(t)) for t in texts.filter(odd).to_pylist()]
+        self._learn_bare({u for _, x in split if x for u in x}.difference(self.bare.young))
+        known = self.bare.young.__getitem__
+        others = iter([self._whole([t])[0] if x is None else b"".join(map(known, x)) for t, x in split])
+        return [next(others if o else plain) for o in odd.to_pylist()]
 
 
 @lru_cache(maxsize=2)
@@ -191,6 +205,7 @@ def read_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 NULL_ID = -(1 << 63)
+BATCH_BYTES = 20 << 20  # of texts that are encoded at once, about
 #: Files whose starts are broadcast, at 16 bytes each; more of them are joined by a shuffle.
 MOST_BROADCAST = 500_000
 
@@ -204,6 +219,7 @@ def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -
     end = layout.end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         from pyspark import TaskContext
 
         part, seq, make = TaskContext.get().partitionId(), 0, encoder(path)
@@ -214,9 +230,10 @@ def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["part", "seq", "n_ids", "file"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = batch.slice(at, 1024)
-                for doc, own in zip(rows.column(0).to_pylist(), make.encode_batch(rows.column(1).to_pylist())):
+            step = max(1, min(8192, BATCH_BYTES * batch.num_rows // max(1, batch.column(1).nbytes)))
+            for at in range(0, batch.num_rows, step):
+                rows = batch.slice(at, step)
+                for doc, own in zip(rows.column(0).to_pylist(), make.encode_batch(rows.column(1))):
                     ids.append(NULL_ID if doc is None else doc)
                     counts.append(len(own) // 4 + 1)
                     held += (own, end)
@@ -226,6 +243,7 @@ def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -
                         seq, ids, counts, held, size = seq + 1, [], [], [], 0
         if ids:
             yield close()
+        trimmed()
 
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = plain.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
@@ -238,6 +256,7 @@ def read_back(written: DataFrame) -> DataFrame:
     starts = written.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for i in range(batch.num_rows):
                 start, (doc_ids, counts, ids) = batch.column(0)[i].as_py(), read_file(batch.column(1)[i].as_py())
