@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import checkpointed, table
+from meridian.llm.common import checkpointed, frugal, table
 from meridian.llm.hilbert import hilbert_index
 
 
@@ -75,6 +75,7 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     dim = top.d if top else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(-1, dim)
             with np.errstate(over="ignore", invalid="ignore"):
@@ -90,6 +91,7 @@ def _keyed(nodes: DataFrame, dim: int, ix: Index, curves: list[int]) -> DataFram
     """(node, v, isq) -> (curve, key, node, v, isq): the Hilbert key on each curve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             v = _matrix(batch.column(1), dim)
             unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
@@ -120,6 +122,7 @@ def _windows(keyed: DataFrame, dim: int, ix: Index, k: int) -> DataFrame:
         return [np.concatenate(x) for x in zip(*out)] if out else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         held, done = None, 0  # rows in hand, and how many of them were queries' turns already
         for batch in batches:
             part = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2), dim), batch.column(3).to_numpy(zero_copy_only=False).astype(bool))
@@ -147,6 +150,7 @@ def _pages(keyed: DataFrame, ix: Index, dim: int, rows: int, bound: bool) -> Dat
     """Sorted rows (key, node, v[, bound]) -> blocks of ``rows``: (nodes, vs, centre, angle[, bounds]) as binaries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
@@ -172,6 +176,7 @@ def _checked(pages: DataFrame, blocks: DataFrame, ix: Index, dim: int, k: int) -
     asked = blocks.select(*[F.col(c).alias(f"q_{c}") for c in blocks.columns]).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(ix.groups - 1))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for row in batch.to_pylist():
                 q, bounds = np.frombuffer(row["q_vs"], "<f8").reshape(-1, dim), np.frombuffer(row["q_bounds"], "<f8")

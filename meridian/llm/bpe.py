@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import table
+from meridian.llm.common import frugal, table
 
 #: Fixed values of this vocabulary's splitting rule: contractions, runs of letters, single digits, runs of other signs.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -85,7 +85,7 @@ def merged(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
 class WordBpe:
     """A vocabulary file's encoder and decoder. ``keep``: pieces held in memory at most."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 200_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -164,6 +164,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         bpe = vocabulary(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -179,6 +180,7 @@ def decoded(ids: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         bpe = vocabulary(path)
         for batch in batches:
             texts = [bpe.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
@@ -192,6 +194,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         bpe = vocabulary(path)
         for batch in batches:
             made = []

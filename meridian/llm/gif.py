@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import stored, table
+from meridian.llm.common import frugal, stored, table
 
 WIDTH, ROWS, DELAY_MS = 192, 256, 40
 BINS = 16
@@ -262,6 +262,7 @@ def encoded(docs: DataFrame) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, n_bytes, media): every row's text as a GIF; null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -277,6 +278,7 @@ def frames_of(media: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("start_ms", "delay_ms", "left", "top", "width", "height")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             data = batch.column(names.index("media")).to_pylist()
             told = [[] if d is None else [{n: getattr(f, n) for n in ("start_ms", "delay_ms", "left", "top", "width", "height")} for f in read_frames(d)[1]] for d in data]
@@ -301,6 +303,7 @@ def digests(media: DataFrame) -> DataFrame:
     kinds = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             rows = [told(d) for d in batch.column(2).to_pylist()]
             made = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import held_out, sampled, table, training_rows
+from meridian.llm.common import frugal, held_out, sampled, table, training_rows
 
 #: Classes of bytes: other control characters, then lower case, upper case, digit, space, line end, full stop and comma, ! and ?,
 #: symbols, brackets and rules, bytes beyond ASCII, other punctuation.
@@ -96,6 +96,7 @@ def _gathered(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(text, label) of a bounded sample -> features and labels, on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             packed = [features(t).astype(np.float16).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], ["x", "label"])
@@ -170,6 +171,7 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str] | None = None)
     names = [f"c{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             texts, out = batch.column(len(names)).to_pylist(), np.full(batch.num_rows, 0.5)
             for at in range(0, len(texts) if model else 0, 256):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import checkpointed, table
+from meridian.llm.common import checkpointed, frugal, table
 from meridian.llm.hilbert import hilbert_index
 
 BITS = 5
@@ -56,6 +56,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             xyz = np.stack([batch.column(i).to_numpy() for i in (1, 2, 3)], axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hilbert_index(xyz, BITS))], ["digest", "hilbert"])

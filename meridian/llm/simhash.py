@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import LOWER_ASCII, checkpointed
+from meridian.llm.common import LOWER_ASCII, checkpointed, frugal, trimmed
 from meridian.llm.components import components
 
 SEED = 42
@@ -101,6 +101,7 @@ def fingerprints(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
     """(doc_id, text) -> (doc_id, fp binary: most significant byte first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             fps = [fingerprint(t, plan).tobytes()[::-1] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], ["doc_id", "fp"])
@@ -120,6 +121,7 @@ def _bucketed(nodes: DataFrame, plan: Plan) -> DataFrame:
     """(fp) -> (bucket long, fp): a row for each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         chosen = plan.chosen()
         for batch in batches:
             if not batch.num_rows:
@@ -133,9 +135,8 @@ def _bucketed(nodes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _planes(bits: np.ndarray) -> np.ndarray:
-    """(words * 64, bits) of 0/1 -> (bits, words): bit b of 64 nodes as one word."""
-    nodes = np.ascontiguousarray(bits.T).reshape(bits.shape[1], -1, 64)
-    return np.packbits(nodes, axis=2, bitorder="little").view("<u8")[:, :, 0]
+    """(bits, words * 64) of 0/1 -> (bits, words): bit b of 64 nodes as one word."""
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8")
 
 
 def within_radius(bits: np.ndarray, query: np.ndarray, word: np.ndarray, lanes: np.ndarray, planes: np.ndarray, radius: int, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -182,31 +183,45 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+def _slots(sizes: np.ndarray) -> np.ndarray:
+    """Where each unit begins, in lanes: small units share a word of 64, a unit that doesn't fit begins a new one."""
+    out, at = np.empty(len(sizes), np.int64), 0
+    for i, n in enumerate(sizes.tolist()):
+        if at % 64 + n > 64:
+            at = -(-at // 64) * 64
+        out[i] = at
+        at += n
+    return out
+
+
+def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
     """Units of ``sizes`` nodes, one after another in fps (n, bytes): the links of a spanning forest, as indexes."""
-    words = -(-sizes // 64)
-    first_word, first = np.concatenate([[0], np.cumsum(words)]), np.concatenate([[0], np.cumsum(sizes)])
+    first, begin = np.cumsum(sizes) - sizes, _slots(sizes)
     unit = np.repeat(np.arange(len(sizes)), sizes)
-    inside = np.arange(len(fps)) - first[unit]
-    bits = _unpacked(fps)
-    padded = np.zeros((first_word[-1] * 64, plan.bits), dtype=np.uint8)
-    padded[first_word[unit] * 64 + inside] = bits
-    planes, bits = _planes(padded), np.ascontiguousarray(bits.T)
-    spans = inside // 64 + 1  # a node meets those before it: the words up to its own
-    pairs_a, pairs_b, todo = [], [], np.cumsum(spans)
-    at = 0
+    begin, first = begin[unit], first[unit]
+    slot = begin + np.arange(len(fps)) - first
+    bits = np.ascontiguousarray(_unpacked(fps).T)
+    padded = np.zeros((plan.bits, (int(slot[-1]) // 64 + 1) * 64), dtype=np.uint8)
+    padded[:, slot] = bits
+    planes = _planes(padded)
+    del padded
+    spans = slot // 64 - begin // 64 + 1  # a node meets those of its unit before it: the words up to its own
+    below = lambda n: np.where(n >= 64, np.uint64(2**64 - 1), (np.uint64(1) << np.minimum(n, 63).astype(np.uint64)) - np.uint64(1))
+    pairs_a, pairs_b, todo, at = [], [], np.cumsum(spans), 0
     while at < len(fps):
         to = max(at + 1, int(np.searchsorted(todo, (todo[at - 1] if at else 0) + chunk, "right")))
         query = np.repeat(np.arange(at, to), spans[at:to])
-        block = np.arange(len(query)) - np.repeat(np.cumsum(spans[at:to]) - spans[at:to], spans[at:to])
-        last = block == inside[query] // 64
-        lanes = np.where(last, (np.uint64(1) << (inside[query] % 64).astype(np.uint64)) - np.uint64(1), np.uint64(2**64 - 1))
+        nth = np.arange(len(query)) - np.repeat(np.cumsum(spans[at:to]) - spans[at:to], spans[at:to])
+        word = begin[query] // 64 + nth
+        low, high = np.where(nth == 0, begin[query] % 64, 0), np.where(word == slot[query] // 64, slot[query] % 64, 64)
+        lanes = below(high) & ~below(low)
         keep = lanes != 0
-        query, block, lanes = query[keep], block[keep], lanes[keep]
-        got, alive = within_radius(bits, query, first_word[unit[query]] + block, lanes, planes, plan.radius)
+        query, word, lanes = query[keep], word[keep], lanes[keep]
+        got, alive = within_radius(bits, query, word, lanes, planes, plan.radius)
         i, lane = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-        pairs_a.append(query[got[i]])
-        pairs_b.append(first[unit[query[got[i]]]] + block[got[i]] * 64 + lane)
+        found = query[got[i]]
+        pairs_a.append(found)
+        pairs_b.append(first[found] + word[got[i]] * 64 + lane - begin[found])
         at = to
         if sum(map(len, pairs_a)) > 1 << 20:  # the forest so far stands for its links
             label = _forest(len(fps), np.concatenate(pairs_a), np.concatenate(pairs_b))
@@ -233,9 +248,10 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
         .where(F.size("fps") > 1)
         .select("fps")
     )
-    most = 1 << 14
+    most = 1 << 13
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
         for batch in batches:
             lists = batch.column(0)
             ends = lists.offsets.to_numpy().astype(np.int64)
@@ -246,6 +262,7 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
                 a, b = linked(np.diff(ends[at : to + 1]), _rows(part, plan.bits // 8), plan)
                 yield pa.RecordBatch.from_arrays([part.take(pa.array(a)), part.take(pa.array(b))], ["a", "b"])
                 at = to
+        trimmed()
 
     return units.mapInArrow(run, "a binary, b binary").distinct()
 
