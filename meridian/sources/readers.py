@@ -125,7 +125,7 @@ def read_rows(spark: SparkSession, path: str, form: str) -> DataFrame:
 
 def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     """(key, title, text, content_hash) of a folder of notes: the title is the first heading, else the file name."""
-    rows = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").option("pathGlobFilter", "*.md").text(root).withColumn("path", F.input_file_name())
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root, wholetext=True).withColumn("path", F.input_file_name())
     head = F.regexp_extract("value", r"(?m)^#+\s+(.+)$", 1)
     name = F.regexp_replace(F.regexp_replace("path", "^.*/", ""), r"\.md$", "")
     return rows.select(name.alias("key"), F.when(head != "", F.trim(head)).otherwise(name).alias("title"), F.col("value").alias("text"), F.sha2("value", 256).alias("content_hash"))
@@ -153,7 +153,7 @@ class Rules:
             ("turns", r"\.rttm$", read_rttm),
             ("detections", r"(yolo|detect)[^/]*\.csv$", read_detections),
             ("segments", r"\.csv$", read_segments_csv),
-            ("text", r"\.(txt|srt|vtt)$", lambda s, p: s.read.option("wholetext", "true").text(p)),
+            ("text", r"\.(txt|srt|vtt)$", lambda s, p: s.read.text(p, wholetext=True)),
             ("notes", r"\.md$", read_markdown),
         ]
         self.rules = [*(own or []), *built_in]

@@ -1,7 +1,7 @@
 """Detection events: a state machine over frames, as a batch operator and as a streaming one with the same rules.
 
 An event opens after ``persistence`` positive frames in a row, extends with every positive frame, and closes once no positive
-frame came for ``merge`` seconds; after that, frames within ``cooldown`` of its end open nothing.
+frame came for ``merge`` seconds, at the first frame after them; frames within ``cooldown`` of the closing open nothing.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ def step(state: tuple, t: float, n: int, rules: Rules) -> tuple[tuple, tuple | N
     pending, opened, last, frames, ended = state
     closed = None
     if opened >= 0 and t - last > rules.merge:
-        closed, ended, opened, frames, pending = (opened, last, frames), last, -1.0, 0, 0
+        closed, ended, opened, frames, pending = (opened, last, frames), t, -1.0, 0, 0
     if n <= 0:
         return (0, opened, last, frames, ended), closed
     if opened >= 0:
         return (pending, opened, t, frames + 1, ended), closed
-    if ended >= 0 and t - ended <= rules.merge + rules.cooldown and closed is None and t - ended <= rules.cooldown:
+    if ended >= 0 and t - ended <= rules.cooldown:
         return (0, opened, last, frames, ended), closed
     pending += 1
     if pending >= rules.persistence:

@@ -1,6 +1,7 @@
 """Hand-computed cases of operators, expressions, readers, writers and streams."""
 
 import math
+import time
 
 import pytest
 from meridian.functions import exprs as X
@@ -182,9 +183,13 @@ def test_detection_stream(spark, tmp_path):
     src.mkdir()
     spark.createDataFrame(FRAMES, "camera_id string, ts double, n_detections int").coalesce(1).write.mode("append").json(str(src))
     frames = windows.read_messages(spark, str(src), "camera_id string, ts double, n_detections int")
-    query = detection.stream_events(frames, timeout_ms=100).writeStream.format("memory").queryName("found").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert (0.02, 0.02) in {(r.start, r.last_seen) for r in spark.table("found").collect()}
+    query = detection.stream_events(frames, timeout_ms=100).writeStream.format("memory").queryName("found").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    rows, began = set(), time.time()
+    while not rows and time.time() - began < 60 and query.isActive:  # timers keep such a query running
+        time.sleep(0.5)
+        rows = {(r.start, r.last_seen) for r in spark.table("found").collect()}
+    query.stop()
+    assert (0.02, 0.02) in rows
 
 
 def test_windows_and_upsert_sink(spark, tmp_path):
