@@ -123,10 +123,10 @@ def mixed_documents(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
     A source's rate is split into whole copies and a last one, drawn by the order key: the expected words are the target.
     """
     rows = checkpointed(docs.select(F.col("source").cast("string"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")).groupBy("source").agg(F.sum("size").alias("size")))
-    sources = checkpointed(targets(rows, mix)).select(F.col("source").alias("__of"), "kind", "rate")
+    sources = checkpointed(targets(rows, mix)).select(F.col("source").alias("__of"), F.col("kind").alias("__kind"), F.col("rate").alias("__rate"))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     unit = lambda at: F.conv(F.substring(key, at, 8), 16, 10).cast("double") / 2.0**32
-    copies = F.floor(F.col("rate") + unit(1)).cast("int")
+    copies = F.floor(F.col("__rate") + unit(1)).cast("int")
     share = (unit(9) + F.col("__copy")) / F.col("__copies")
     names = docs.columns
     return (
@@ -135,7 +135,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
         .where("__copies > 0")
         .withColumn("__copy", F.explode(F.expr("sequence(0, __copies - 1)")))
         .withColumn("__share", share)
-        .withColumn("__position", F.expr(position_sql(mix, "kind", "__share")))
+        .withColumn("__position", F.expr(position_sql(mix, "__kind", "__share")))
         .repartitionByRange("__position", "doc_id")
         .sortWithinPartitions("__position", "doc_id")
         .select(*names)
