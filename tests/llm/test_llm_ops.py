@@ -14,7 +14,7 @@ pytest.importorskip("meridian.llm")
 from meridian.llm import ann, bpe, gif, hilbert, licences, mixing, quality, sharding, simhash, token_files, toxicity  # noqa: E402
 from meridian.llm.components import components  # noqa: E402
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, label int, bucket string, rank int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, label int, bucket string, rank int, kind string, rate double, id long"
 LONG = "lorem ipsum dolor " * 4000
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog again and again", "en", "a", 1, "x", 1, "y", 2),
@@ -31,7 +31,7 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(ROWS, DOCS)
+    return spark.createDataFrame([(*r, "k", 9.0, 1) for r in ROWS], DOCS)
 
 
 @pytest.fixture(scope="module")
@@ -151,9 +151,9 @@ def test_ann_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0]), (None, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (9, [1.0, 1.0])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, id int")
-    got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df.drop("id"), F.col("id") % 50 == 0, k=3).collect())
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, k=3).collect())
     assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 9), (50, 1, 9), (50, 2, 0), (50, 3, 1)]
-    assert ann.nearest(df.limit(0).drop("id"), F.col("id") % 50 == 0).count() == 0
+    assert ann.nearest(df.limit(0), F.col("id") % 50 == 0).count() == 0
     many = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(300)], "vec_id long, embedding array<float>")
     assert [r.vec_id for r in ann.nearest(many, F.col("id") == 50).orderBy("rank").collect()] == [0, 1, 2, 3, 4]
 
@@ -268,6 +268,17 @@ def test_forward_backward_against_enumeration():
     assert math.isclose(log_z, total) and math.isclose(edges.sum(), sum(n - 1 for n in lengths))
 
 
+def test_chance_tags_no_words():
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, 80)) for _ in range(700)]
+    copies = [texts[0] + f" tail{i}" for i in range(40)]  # one toxic text and its near copies count once
+    labels = [int(i % 7 == 0) for i in range(700)] + [1] * 40
+    assert not toxicity.telling_words(texts + copies, labels, toxicity.Settings())
+    marked = [t + " grobian" if k else t for t, k in zip(texts + copies, labels)]
+    assert toxicity.telling_words(marked, labels, toxicity.Settings()) == {"grobian"}
+
+
 def test_toxicity(spark, docs, none):
     rng = np.random.default_rng(6)
     plain, bad = [f"word{i}" for i in range(200)], ["grobian", "grobheit", "scheusal"]
