@@ -168,3 +168,15 @@ class Rules:
         if not found:
             raise ValueError(f"no adapter reads {path}")
         return found[1](spark, path)
+
+
+WRITING = ("insert", "update", "delete", "merge", "create", "drop", "alter", "truncate", "replace", "set", "call", "load", "copy", "refresh", "cache", "uncache", "add", "analyze", "msck", "use")
+
+
+def is_readonly(sql: str) -> bool:
+    """Whether a statement is one SELECT or WITH without any writing word outside quotes and comments."""
+    import re
+
+    plain = re.sub(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.DOTALL).strip().rstrip(";")
+    words = re.findall(r"[a-z_]+", plain.lower())
+    return bool(words) and words[0] in ("select", "with") and ";" not in plain and not set(words) & set(WRITING)

@@ -1,0 +1,104 @@
+"""Further hand-computed cases: readers, outbox, names, manifests, composites, events."""
+
+from meridian.operators import composites, incremental, intervals, search, sequence, upsert, vectors
+from meridian.sources import readers, writers
+from meridian.streaming import detection
+from pyspark.sql import functions as F
+
+
+def test_readonly_guard():
+    assert readers.is_readonly("SELECT 1") and readers.is_readonly("with a as (select 'drop it') select * from a -- delete\n")
+    assert not any(map(readers.is_readonly, ("DROP TABLE x", "select 1; delete from x", "with a as (select 1) insert into b select * from a", "")))
+
+
+def test_gps_and_trips(spark, tmp_path):
+    (tmp_path / "g.csv").write_text("Key,MPH,Lat,Long,Frame\nk,35,35.5,-120.25,61\nk,x,,,90\n")
+    got = readers.read_gps_csv(spark, str(tmp_path / "g.csv")).orderBy("frame").collect()
+    assert (got[0].sec, got[0].mph, got[0].lat, got[0].lon) == (2, 35.0, 35.5, -120.25) and got[1].mph is None and got[1].sec == 3
+    (tmp_path / "t.csv").write_text('trackerName,startTime,endTime,tripMiles\nt,01/02/2024 03:04 PM,bad,"1,200.5"\n')
+    trip = readers.read_trips_csv(spark, str(tmp_path / "t.csv")).first()
+    assert str(trip.start_time) == "2024-01-02 15:04:00" and trip.end_time is None and trip.miles == 1200.5
+
+
+def test_entities_and_catalogue(spark, tmp_path):
+    (tmp_path / "x_entities.csv").write_text("entity,type,confidence\nBob,Person,.9\n,Place,.1\n")
+    rows = readers.read_entities_csv(spark, str(tmp_path / "x_entities.csv")).collect()
+    assert [(r.text, r.label, r.score) for r in rows] == [("Bob", "Person", 0.9)]
+    folder = tmp_path / "2024-03-05"
+    folder.mkdir()
+    (folder / "a.jpg").write_bytes(b"x")
+    media = readers.media_catalogue(readers.scan_files(spark, [str(tmp_path)])).collect()
+    assert [str(m.date) for m in media] == ["2024-03-05"]
+    assert {r.kind for r in readers.files_by_key(readers.scan_files(spark, [str(tmp_path)])).collect()} == {"entities", "media"}
+
+
+def test_outbox_and_names(spark):
+    intents = spark.createDataFrame([("a", "new", 0), ("b", "new", 5), ("c", "done", 0), ("d", "failed", 1)], "key string, status string, tries int")
+    landed = spark.createDataFrame([("d",)], "key string")
+    assert [r.key for r in upsert.pending_intents(intents, landed, "key", 3).collect()] == ["a"]
+    names = spark.createDataFrame([(1, "a.txt"), (2, "a.txt"), (3, "b.txt")], "id int, name string")
+    got = {r.id: r.final for r in upsert.free_name(names, spark.createDataFrame([("b.txt",)], "name string")).collect()}
+    assert got == {1: "a.txt", 2: "a_1.txt", 3: "b_1.txt"}
+
+
+def test_manifests(spark, tmp_path):
+    df = spark.createDataFrame([(1, ["a", "b"])], "id int, tags array<string>")
+    for _ in range(2):
+        writers.write_manifest(df, str(tmp_path / "m"))
+    assert spark.read.json(str(tmp_path / "m/jsonl")).count() == 2
+    assert spark.read.option("header", "true").csv(str(tmp_path / "m/csv")).first().tags == "a|b"
+
+
+def test_fuzzy_keys_and_calendar(spark):
+    left = spark.createDataFrame([("2025_0101",), ("2025_0202_x",), ("nothing_here",)], "k string")
+    right = spark.createDataFrame([("2025_0101", "a/b/1"), ("2025_0101", "a/1"), ("2025_0202", "c/2")], "rk string, path string")
+    got = {r.k: r.path for r in composites.fuzzy_key_join(left, right, "k", "rk", "path").collect()}
+    assert got == {"2025_0101": "a/1", "2025_0202_x": "c/2", "nothing_here": None}
+    slots = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, "z")], "slot int, topic string")
+    shorts = spark.createDataFrame([("s1", "y", 0), ("s2", "x", 1), ("s3", "q", 2)], "short_id string, topic string, place int")
+    assert {r.slot: r.short for r in composites.calendar(slots, shorts).collect()} == {1: "s2", 2: "s1", 3: "s3", 4: None}
+
+
+def test_suppression_tracks_and_copies(spark):
+    df = spark.createDataFrame([("f", 1, 0.0, 9.0), ("f", 2, 3.0, 8.0), ("f", 3, 10.0, 7.0), ("f", 4, 5.0, 6.0)], "k string, id int, t double, s double")
+    assert {r.id for r in sequence.suppressed(df, ["k"], "s", "t", "id", 5.0, 3).where("kept").collect()} == {1, 3, 4}
+    boxes = spark.createDataFrame([("c", 1, 0, [0.0, 0.0, 9.0, 9.0]), ("c", 2, 1, [5.0, 5.0, 12.0, 12.0]), ("c", 3, 1, [50.0, 50.0, 60.0, 60.0]), ("c", 4, 99, [5.0, 5.0, 12.0, 12.0])], "k string, id int, frame int, box array<double>")
+    assert {r.id: r.track for r in sequence.tracks(boxes, ["k"], "frame", "box", 15, "id").collect()} == {1: 0, 2: 0, 3: 1, 4: 2}
+    vecs = spark.createDataFrame([("g", i, v) for i, v in enumerate([[1.0, 0.0], [1.0, 0.01], [0.0, 1.0], [1.0, 0.0]])], "k string, n int, v array<double>")
+    assert [r.kept for r in sequence.consecutive_distinct(vecs, ["k"], ["n"], "v", 0.95).orderBy("n").collect()] == [True, False, True, True]
+
+
+def test_spacing_and_chunks(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 3.0), ("a", 3, 80.0)], "k string, id int, t double")
+    assert {r.id for r in sequence.spacing_filter(df, ["k"], ["t", "id"], "t", 6.0, 8.0, 5).where("kept").collect()} == {1, 3}
+    plan = intervals.chunk_plan(spark.createDataFrame([(130.0,), (0.0,)], "d double"), "d").where("d = 130").orderBy("chunk").collect()
+    assert [r.chunk_start for r in plan] == [0.0, 60.0, 120.0] and plan[-1].chunk_stop == 130.0
+
+
+def test_updates_and_identify(spark):
+    protos = spark.createDataFrame([("p", [1.0, 0.0], 3.0)], "proto string, embedding array<double>, weight_sum double")
+    items = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 1.0])], "id int, embedding array<double>")
+    found = vectors.assign(items, protos, 0.5, "id", "proto")
+    assert [r.id for r in found.collect()] == [1]
+    new = vectors.updated_prototypes(protos, found, items, "id", "proto", 0.9).first()
+    assert new.weight_sum == 4.0 and new.status == "confirmed" and abs(sum(x * x for x in new.embedding) - 1) < 1e-9
+    named = protos.withColumn("name", F.lit("n"))
+    assert {r.id: r.verdict for r in vectors.identify(items, named, "id", "proto", "name").collect()} == {1: "match", 2: "none"}
+
+
+def test_events_roll(spark):
+    frames = spark.createDataFrame([("c", float(t), 1 if t in (5, 6) else 0) for t in range(12)], "camera_id string, ts double, n_detections int")
+    found = detection.events(frames)
+    roll = detection.pre_post_roll(frames, found, 2.0, 1.0)
+    assert sorted(r.ts for r in roll.collect()) == [4.0, 5.0, 6.0, 7.0]
+
+
+def test_state_steps(spark):
+    df = spark.createDataFrame([("a", "b", False), ("a", "c", False), ("a", "c", True)], "f string, t string, forced boolean")
+    assert [r.ok for r in df.select(incremental.valid_step(["a", "b", "c"], F.col("f"), F.col("t"), F.col("forced")).alias("ok")).collect()] == [True, False, True]
+
+
+def test_propagation(spark):
+    direct = spark.createDataFrame([(1, "a"), (1, "b")], "item int, node string")
+    edges = spark.createDataFrame([("a", "b", 2000), ("a", "c", 1000), ("b", "d", 999)], "src string, dst string, weight int")
+    assert [(r.item, r.node) for r in search.propagated(direct, edges, "item", "node", 1000).collect()] == [(1, "c")]
