@@ -2,7 +2,7 @@
 
 States: clean and toxic. A word's potential comes from hashed features (the word, its beginnings and its end); transitions
 and the start are parameters of their own. Words get their training tags from labelled documents: in a toxic one, words
-that toxic training documents hold far oftener than clean ones. Maximum likelihood by gradient steps; forward-backward
+that toxic training documents hold more often than chance allows. Maximum likelihood by gradient steps; forward-backward
 gives each word's marginal. A document's score is a logistic map of its words' marginals, fitted on training labels;
 runs of words with marginals of at least one half are the offending spans, with their offsets.
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,16 +30,17 @@ SPANS = "array<struct<start:int,stop:int,score:double>>"
 
 @dataclass(frozen=True)
 class Settings:
-    """toxic, clean: bounds of the training samples in documents. buckets: of hashed features.
+    """toxic, clean: bounds of the training samples in documents; counted: of the clean ones whose words are counted only.
 
-    least: toxic training documents that must hold a word for it to be tagged; odds: how much oftener than clean ones.
+    buckets: of hashed features. chance: how many words may be tagged by chance, of all that are tried (Chernoff's bound);
+    near copies count once.
     """
 
     toxic: int = 1000
     clean: int = 1500
+    counted: int = 4500
     buckets: int = 1 << 18
-    least: int = 4
-    odds: float = 20.0
+    chance: float = 0.5
     steps: int = 60
     rate: float = 0.1
     decay: float = 1e-5
@@ -129,12 +130,12 @@ def forward_backward(potential: np.ndarray, first: np.ndarray, trans: np.ndarray
     return p, expected, log_z
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     b = np.zeros(x.shape[1])
     for _ in range(60):
         q = 1 / (1 + np.exp(-np.clip(x @ b, -50, 50)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(len(b))
-        step = np.linalg.solve(h, x.T @ (q - y) + 1e-2 * b)
+        h = (x * (weight * q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(len(b))
+        step = np.linalg.solve(h, x.T @ (weight * (q - y)) + 1e-2 * b)
         b = b - step * min(1.0, 3 / max(1e-9, np.abs(step).max()))
     return b
 
@@ -162,23 +163,59 @@ def _runs(ends: np.ndarray, size: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def fit(docs: Iterable[tuple[list[str], int]], s: Settings) -> Model | None:
-    """docs: (words, label), both labels among them; None otherwise, or where no word tells them apart."""
-    names: dict[str, int] = {}
-    word_lists, labels = [], []
-    for words, label in docs:
-        word_lists.append(np.array([names.setdefault(w, len(names)) for w in words], np.int32))
-        labels.append(label)
-    label = np.array(labels, np.int64)
-    if set(labels) != {0, 1}:
-        return None
-    held = np.zeros((2, len(names)))
-    for own, k in zip(word_lists, labels):
-        held[k, np.unique(own)] += 1
-    rates = (held + 0.5) / (np.bincount(label, minlength=2)[:, None] + 1)
-    telling = (held[1] >= s.least) & (rates[1] > s.odds * rates[0])
-    if not telling.any():
+def _cluster(words: list[str]) -> int:
+    """The least hash of a text's five-word shingles: near copies mostly share it."""
+    return min((zlib.crc32(" ".join(words[i : i + 5]).encode("utf-8", "replace")) for i in range(max(1, len(words) - 4))), default=0)
+
+
+def telling_words(texts: list[str | None], labels: list[int], s: Settings) -> set[str]:
+    """Words that toxic documents hold more often than chance allows; near copies of one label count once."""
+    seen: set[tuple[int, int]] = set()
+    counts: dict[str, list[int]] = {}
+    many = [0, 0]
+    for label in (1, 0):
+        for text, own in zip(texts, labels):
+            if own != label:
+                continue
+            words = words_of(text)
+            key = (label, _cluster(words))
+            if key in seen:
+                continue
+            seen.add(key)
+            many[label] += 1
+            for w in set(words):
+                if label:
+                    counts.setdefault(w, [0, 0])[1] += 1
+                elif w in counts:
+                    counts[w][0] += 1
+        if label:
+            counts = {w: c for w, c in counts.items() if c[1] > 2}
+    if not all(many):
+        return set()
+    base, least, out = many[1] / sum(many), math.log(max(1, len(counts)) / s.chance), set()
+    for w, (clean, toxic) in counts.items():
+        n, share = clean + toxic, toxic / (clean + toxic)
+        if share > max(0.5, base):
+            gap = share * math.log(share / base) + (1 - share) * math.log((1 - share) / (1 - base) if share < 1 else 1)
+            if n * gap >= least:
+                out.add(w)
+    return out
+
+
+def fit(texts: list[str | None], labels: list[int], s: Settings) -> Model | None:
+    """Whole texts and their labels, both among them; None otherwise, or where no word tells them apart."""
+    if set(labels) != {0, 1} or not (tags := telling_words(texts, labels, s)):
         return None
+    names: dict[str, int] = {}
+    word_lists, used_labels, clean = [], [], 0
+    for text, k in zip(texts, labels):
+        clean += k == 0
+        if k or clean <= s.clean:
+            word_lists.append(np.array([names.setdefault(w, len(names)) for w in words_of(text)], np.int32))
+            used_labels.append(k)
+    label = np.array(used_labels, np.int64)
+    weight = np.where(label == 1, 1.0, clean / max(1, min(clean, s.clean)))
+    telling = np.array([w in tags for w in names])
     sizes = np.array([len(x) for x in word_lists])
     word, ends = np.concatenate(word_lists), np.cumsum(sizes)
     first = np.zeros(len(word), bool)
@@ -215,7 +252,7 @@ def fit(docs: Iterable[tuple[list[str], int]], s: Settings) -> Model | None:
     full[used] = w
     score = potentials(w, bias)
     told = [_summary(forward_backward(score[word[a:b]], first[a:b], trans, start)[0], ends[i:j] - a) for i, j, a, b in runs]
-    document = _logistic(np.concatenate(told), label.astype(float))
+    document = _logistic(np.concatenate(told), label.astype(float), weight)
     return Model(full, float(bias), trans, start, tuple(map(float, document)))
 
 
@@ -226,13 +263,13 @@ def words_of(text: str | None) -> list[str]:
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model | None:
     known = training_rows(labels=labels, docs=docs, label="toxic").cache()
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    parts = [sampled(known.where(f"label = {k}"), n, counts.get(k, 0), f"toxic{k}") for k, n in ((1, s.toxic), (0, s.clean))]
+    parts = [sampled(known.where(f"label = {k}"), n, counts.get(k, 0), f"toxic{k}") for k, n in ((1, s.toxic), (0, s.clean + s.counted))]
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").select("doc_id", "text", "label").toArrow()
     known.unpersist()
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return fit(((words_of(t.as_py()), k.as_py()) for t, k in zip(rows["text"], rows["label"])), s)
+    return fit(rows["text"].to_pylist(), rows["label"].to_pylist(), s)
 
 
 class Tagger:
