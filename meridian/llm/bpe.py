@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,6 +53,21 @@ def merged(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
         a, b = tree[2 * p], tree[2 * p + 1]
         tree[p] = a if a < b else b
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+    def put(at: int, value: int) -> None:
+        p = size + at
+        if tree[p] == value:
+            return
+        tree[p] = value
+        p >>= 1
+        while p:
+            a, b = tree[2 * p], tree[2 * p + 1]
+            least = a if a < b else b
+            if tree[p] == least:
+                return
+            tree[p] = least
+            p >>= 1
+
     while (top := tree[1]) != NONE:
         i = top & 0xFFFFFFFF
         j = after[i]
@@ -58,34 +75,27 @@ def merged(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
         symbols[j] = -1
         k, h = after[j], before[i]
         after[i] = k
-        changed = [(j, NONE)] if j < n - 1 else []
+        value = NONE
         if k < n:
             before[k] = i
-            found = get(symbols[i] << 20 | symbols[k])
-            changed.append((i, found[0] << 32 | i if found else NONE))
-        else:
-            changed.append((i, NONE))
+            if found := get(symbols[i] << 20 | symbols[k]):
+                value = found[0] << 32 | i
+        if j < n - 1:
+            put(j, NONE)
+        put(i, value)
         if h >= 0:
             found = get(symbols[h] << 20 | symbols[i])
-            changed.append((h, found[0] << 32 | h if found else NONE))
-        for at, value in changed:
-            p = size + at
-            tree[p] = value
-            p >>= 1
-            while p:
-                a, b = tree[2 * p], tree[2 * p + 1]
-                least = a if a < b else b
-                if tree[p] == least:
-                    break
-                tree[p] = least
-                p >>= 1
+            put(h, found[0] << 32 | h if found else NONE)
     return [s for s in symbols if s >= 0]
 
 
 class WordBpe:
-    """A vocabulary file's encoder and decoder. ``keep``: pieces held in memory at most."""
+    """A vocabulary file's encoder and decoder. ``keep``: words, and pieces between white space, in memory.
 
-    def __init__(self, path: str, keep: int = 200_000):
+    Both are held in two generations of that size: when the young one is full it becomes the old one.
+    """
+
+    def __init__(self, path: str, keep: int = 150_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -104,26 +114,37 @@ class WordBpe:
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.marks = tuple(self.special)
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.keep = keep
 
-    def word(self, piece: str) -> list[int]:
+    def word(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "replace")
         symbols = [self.plain[b] for b in data[:-1]] + [self.last[data[-1]]]
-        return merged([s for s in symbols if s >= 0], self.pairs)
+        if -1 in symbols:
+            symbols = [s for s in symbols if s >= 0]
+        return array("I", merged(symbols, self.pairs)).tobytes() if sys.byteorder == "little" else np.array(merged(symbols, self.pairs), "<u4").tobytes()
+
+    def _word(self, piece: str) -> bytes:
+        own = self.old_words.get(piece)
+        if own is None:
+            own = self.word(piece)
+            if len(piece) > 255:
+                return own
+        if len(self.words) >= self.keep:
+            self.old_words, self.words = self.words, {}
+        self.words[piece] = own
+        return own
 
     def _piece(self, chunk: str) -> bytes:
-        if len(self.known) >= self.keep:
-            self.known.clear()
-        if len(self.words) >= self.keep:
-            self.words.clear()
-        ids: list[int] = []
-        for w in PIECES.findall(chunk):
-            if (own := self.words.get(w)) is None:
-                self.words[w] = own = self.word(w)
-            ids += own
-        out = np.array(ids, "<u4").tobytes()
+        out = self.old.get(chunk)
+        if out is None:
+            get, new = self.words.get, self._word
+            out = b"".join([get(w) or new(w) for w in ((chunk,) if chunk.isalpha() else PIECES.findall(chunk))])
         if len(chunk) < 256:
+            if len(self.known) >= self.keep:
+                self.old, self.known = self.known, {}
             self.known[chunk] = out
         return out
 
@@ -132,8 +153,7 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         chunks = SPACES.split(text) if any(c in text for c in SEPARATORS) else text.split()
-        get, new = self.known.get, self._piece
-        return b"".join([new(c) if (own := get(c)) is None else own for c in chunks])
+        return b"".join([self._piece(c) if (own := self.known.get(c)) is None else own for c in chunks])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
