@@ -28,13 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where the session names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where
-    sc = spark.sparkContext
+    where, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="meridian-checkpoint-"))
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="meridian-checkpoint-"))
+    return where or sc.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
