@@ -58,14 +58,25 @@ def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float,
     return top_k(scored, [left_id], k, "score", right_id)
 
 
-def near_duplicate_pairs(items: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding", by: list[str] = ()) -> DataFrame:
-    """(a, b, score), a < b: pairs of one group at or above the threshold, each once."""
-    a = items.select(*by, F.col(id_col).alias("a"), unit(F.col(vec)).alias("__av"))
-    b = items.select(*[F.col(c).alias(f"__{c}") for c in by], F.col(id_col).alias("b"), unit(F.col(vec)).alias("__bv"))
-    hit = F.col("a") < F.col("b")
-    for c in by:
-        hit = hit & (F.col(c) == F.col(f"__{c}"))
-    return a.join(b, hit).select(*by, "a", "b", dot(F.col("__av"), F.col("__bv")).alias("score")).where(F.col("score") >= threshold)
+def near_duplicate_pairs(items: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding", by: list[str] = (), block: int = 1024) -> DataFrame:
+    """(by.., a, b, score), a < b: pairs of one group at or above the threshold, each once.
+
+    Every pair of a group is compared, so the work is quadratic in a group; groups are cut into blocks of about ``block``
+    rows and pairs of blocks are the join's keys, so that a large group spreads over all tasks. Only pairs that reach the
+    threshold leave the join.
+    """
+    keys = [*by] or ["__all"]
+    rows = items.where(F.col(id_col).isNotNull() & F.col(vec).isNotNull()).select(*by, F.lit(1).alias("__all"), F.col(id_col).alias("__id"), unit(F.col(vec)).alias("__v"))
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("__k"))
+    cut = rows.join(sizes, keys).withColumn("__own", F.pmod(F.xxhash64("__id"), F.col("__k")).cast("int"))
+    one = cut.select(*keys, F.col("__id").alias("__a"), F.col("__v").alias("__av"), F.col("__own").alias("__i"), F.explode(F.sequence("__own", F.col("__k") - 1)).alias("__j"))
+    two = cut.select(*keys, F.col("__id").alias("__b"), F.col("__v").alias("__bv"), F.explode(F.sequence(F.lit(0), "__own")).alias("__i"), F.col("__own").alias("__j"))
+    hit = (one["__i"] == two["__i"]) & (one["__j"] == two["__j"])
+    for c in keys:
+        hit = hit & (one[c] == two[c])
+    score = dot(F.col("__av"), F.col("__bv"))
+    hit = hit & ((one["__i"] < two["__j"]) | (F.col("__a") < F.col("__b"))) & (F.col("__a") != F.col("__b")) & (score >= threshold)
+    return one.join(two, hit).select(*[one[c] for c in by], F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), score.alias("score"))
 
 
 def weighted_mean(df: DataFrame, by: list[str], vec: str, weight: Column | float = 1.0, normal: bool = True) -> DataFrame:

@@ -102,3 +102,15 @@ def test_propagation(spark):
     direct = spark.createDataFrame([(1, "a"), (1, "b")], "item int, node string")
     edges = spark.createDataFrame([("a", "b", 2000), ("a", "c", 1000), ("b", "d", 999)], "src string, dst string, weight int")
     assert [(r.item, r.node) for r in search.propagated(direct, edges, "item", "node", 1000).collect()] == [(1, "c")]
+
+
+def test_pairs_do_not_depend_on_blocks(spark):
+    import math
+
+    rows = [(i, i % 2, [math.cos(i * 0.3), math.sin(i * 0.3)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, g int, embedding array<double>")
+    want = {(a, b) for a, _, u in rows for b, _, v in rows if a < b and sum(x * y for x, y in zip(u, v)) >= 0.9}
+    for block in (3, 7, 1000):
+        assert sorted((r.a, r.b) for r in vectors.near_duplicate_pairs(df, 0.9, block=block).collect()) == sorted(want)
+        inner = [(r.a, r.b) for r in vectors.near_duplicate_pairs(df, 0.9, by=["g"], block=block).collect()]
+        assert sorted(inner) == sorted((a, b) for a, b in want if a % 2 == b % 2)
