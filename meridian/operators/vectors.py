@@ -46,15 +46,17 @@ def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float,
     """
     a = left.select(F.col(left_id).alias("__l"), unit(F.col(lv)).alias("__lv"))
     b = right.select(F.col(right_id).alias("__r"), unit(F.col(rv)).alias("__rv"))
-    keep = F.size("__lv") == F.size("__rv")
+    score = dot(F.col("__lv"), F.col("__rv"))
+    keep = (F.size("__lv") == F.size("__rv")) & (score >= threshold)
     if not_self:
         keep = keep & (F.col("__l") != F.col("__r"))
     if right.count() <= MOST_BROADCAST:
         pairs = a.join(F.broadcast(b), keep)
     else:
         dealt = b.withColumn("__g", F.pmod(F.xxhash64("__r"), F.lit(groups)))
-        pairs = a.withColumn("__g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long")).join(dealt, "__g").where(keep)
-    scored = pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), dot(F.col("__lv"), F.col("__rv")).alias("score")).where(F.col("score") >= threshold)
+        spread = a.withColumn("__h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long"))
+        pairs = spread.join(dealt, (F.col("__h") == F.col("__g")) & keep)
+    scored = pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), score.alias("score"))
     return top_k(scored, [left_id], k, "score", right_id)
 
 

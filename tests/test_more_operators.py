@@ -114,3 +114,12 @@ def test_pairs_do_not_depend_on_blocks(spark):
         assert sorted((r.a, r.b) for r in vectors.near_duplicate_pairs(df, 0.9, block=block).collect()) == sorted(want)
         inner = [(r.a, r.b) for r in vectors.near_duplicate_pairs(df, 0.9, by=["g"], block=block).collect()]
         assert sorted(inner) == sorted((a, b) for a, b in want if a % 2 == b % 2)
+
+
+def test_similarity_join_without_broadcast(spark, monkeypatch):
+    rows = [(i, [float(i % 7 - 3), float(i % 5 - 2), 1.0]) for i in range(30)]
+    left = spark.createDataFrame(rows, "l int, embedding array<double>")
+    right = spark.createDataFrame(rows[:12], "r int, embedding array<double>")
+    want = {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r").collect()}
+    monkeypatch.setattr(vectors, "MOST_BROADCAST", 5)
+    assert want and {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r", groups=4).collect()} == want
