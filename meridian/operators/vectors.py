@@ -54,7 +54,7 @@ def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float,
         pairs = a.join(F.broadcast(b), keep)
     else:
         dealt = b.withColumn("__g", F.pmod(F.xxhash64("__r"), F.lit(groups)))
-        spread = a.withColumn("__h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long"))
+        spread = a.withColumn("__h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
         pairs = spread.join(dealt, (F.col("__h") == F.col("__g")) & keep)
     scored = pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), score.alias("score"))
     return top_k(scored, [left_id], k, "score", right_id)

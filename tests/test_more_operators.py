@@ -123,3 +123,12 @@ def test_similarity_join_without_broadcast(spark, monkeypatch):
     want = {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r").collect()}
     monkeypatch.setattr(vectors, "MOST_BROADCAST", 5)
     assert want and {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r", groups=4).collect()} == want
+
+
+def test_many_places_go_through_the_grid(spark):
+    from meridian.operators import nearest
+
+    points = spark.createDataFrame([(i, i * 0.01, i * 0.02) for i in range(30)], "p int, lat double, lon double")
+    places = spark.createDataFrame([(i, i * 0.03, i * 0.05) for i in range(15)], "q int, lat double, lon double")
+    few = {(r.p, r.q) for r in nearest.nearest_of_few(points, places, "p", "q", 5000.0).collect()}
+    assert few and {(r.p, r.q) for r in nearest.nearest_of_few(points, places, "p", "q", 5000.0, most_places=3).collect()} == few
