@@ -406,6 +406,13 @@ def test_token_files(spark, sf, real, docs, none):
     assert token_files.read_back(token_files.files(none)).count() == 0
 
 
+def test_token_files_beyond_the_broadcast_bound(docs, monkeypatch):
+    layout = token_files.Layout(ids_per_file=2000)
+    want = sorted((r.start, r.n_tokens, r.ids_crc32) for r in token_files.read_back(token_files.files(docs, layout)).collect())
+    monkeypatch.setattr(token_files, "MOST_BROADCAST", 0)
+    assert sorted((r.start, r.n_tokens, r.ids_crc32) for r in token_files.read_back(token_files.files(docs, layout)).collect()) == want
+
+
 def test_licences(spark, docs, none):
     mit = "MIT LICENCE\n\nCopyright (c) 2020 Someone\nAll rights reserved.\n\n" + licences._MIT.replace(",", "").upper()
     rows = [(1, mit), (2, "prose\nReleased under the  MIT Licence\nmore"), (3, mit + " extra"), (4, None), (5, "LICENSED UNDER CC BY-NC 4.0!\nThis work is licensed under the GNU General Public License, version 3.")]
