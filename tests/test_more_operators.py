@@ -132,3 +132,12 @@ def test_many_places_go_through_the_grid(spark):
     places = spark.createDataFrame([(i, i * 0.03, i * 0.05) for i in range(15)], "q int, lat double, lon double")
     few = {(r.p, r.q) for r in nearest.nearest_of_few(points, places, "p", "q", 5000.0).collect()}
     assert few and {(r.p, r.q) for r in nearest.nearest_of_few(points, places, "p", "q", 5000.0, most_places=3).collect()} == few
+
+
+def test_vocabulary_links(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "A."), (3, None), (4, "")], "id int, t string")
+    names = spark.createDataFrame([(1, "B, c d"), (2, "A"), (3, "a b c d"), (4, "c a")], "n int, name string")
+    for most in (search.MOST_NAMES, 0):
+        monkeypatch.setattr(search, "MOST_NAMES", most)
+        got = {(r.id, r.n) for r in search.vocabulary_links(docs, names, "id", "t", "n", "name").collect()}
+        assert got == {(1, 1), (1, 2), (1, 3), (2, 2)}
