@@ -288,7 +288,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
     labelled = checkpointed(
         nodes.join(labels.withColumnRenamed("a", "node"), "node", "left").select("fp", "least", F.coalesce("label", "node").alias("label"))
     )
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    least = checkpointed(labelled.groupBy("label").agg(F.min("least").alias("component_id")))  # of its own partitioning: a hot label can be split
     by_fp = labelled.join(least, "label").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
