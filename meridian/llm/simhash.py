@@ -5,11 +5,16 @@ that agree on some bits into one bucket; a bucket of more than ``block`` nodes i
 blocks is a unit of work, so that no task gets a whole hot bucket. In a unit, the bit planes of up to 64 nodes lie in one
 word each: a query's bit against a plane is one XOR for 64 distances, added into vertical carry-save counters, and a word
 is abandoned once all its lanes exceed the radius. A unit returns a spanning forest of its links, never all pairs.
+
+A plan with a similarity links by the Jaccard similarity of the sets of shingles instead, and misses no pair: two similar
+sets share a shingle of their prefixes in any common order, here the rarest first.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import LOWER_ASCII, checkpointed, frugal, trimmed
+from meridian.llm.common import LOWER_ASCII, checkpointed, frugal, stored, trimmed
 from meridian.llm.components import components
 
 SEED = 42
@@ -31,6 +36,7 @@ class Plan:
 
     tables and key_bits: 0 for the exact blocking by pigeonholes (quarters of the fingerprint, two of which agree when
     at most two bits differ), else that many tables of as many sampled bits. block: nodes in a block of a bucket.
+    similarity: of a link at least, where it is given; the fields but ``words`` don't count then.
     """
 
     words: int = 3
@@ -39,6 +45,7 @@ class Plan:
     tables: int = 0
     key_bits: int = 0
     block: int = 512
+    similarity: float = 0.0
 
     def chosen(self) -> list[np.ndarray]:
         """The bits that each table compares."""
@@ -53,9 +60,12 @@ class Plan:
 
 #: op2: three words, 64 bits, 2 bits apart at most.
 CONTRACT = Plan()
-#: Five words; 38 of 256 bits is the angle of two texts whose shingle sets have a Jaccard similarity of 0.8. A pair at
-#: 0.8 differs in 13 of 100 bits as measured; with 36 tables of 16 bits it shares a bucket with a probability of 0.98.
-NEAR_DEDUP = Plan(words=5, bits=256, radius=38, tables=36, key_bits=16)
+#: Five words, a Jaccard similarity of 0.8 or more.
+NEAR_DEDUP = Plan(words=5, similarity=0.8)
+#: Shingles are counted in a sample of so many texts; so many of the most common ones go last in the order of prefixes.
+SAMPLE, MOST_COMMON = 20_000, 200_000
+#: Slack of comparisons with a product of the similarity.
+EPS = 1e-9
 
 
 def _mixed(h: np.ndarray, lanes: int) -> np.ndarray:
@@ -82,17 +92,24 @@ def _ones(h: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str | None, plan: Plan = CONTRACT) -> np.ndarray:
-    """The fingerprint's words, least significant first; zero for a text without words (null: none)."""
+def shingles(text: str | None, k: int) -> np.ndarray:
+    """The hashes of a text's runs of k words (of all its words, where they are fewer); none without words."""
     words = (text or "").encode("utf-8", "replace").translate(LOWER_ASCII).split()
     if not words:
-        return np.zeros(plan.bits // 64, dtype=np.uint64)
-    joined, k = b" ".join(words), plan.words
+        return np.zeros(0, dtype=np.uint64)
+    joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts, stops = [0, *ends[:-1].tolist()], (ends - 1).tolist()
     digest = xxhash.xxh64_intdigest
     spans = zip(starts, stops[k - 1 :]) if len(words) > k else ((0, len(joined)),)
-    h = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, plan: Plan = CONTRACT) -> np.ndarray:
+    """The fingerprint's words, least significant first; zero for a text without words (null: none)."""
+    h = shingles(text, plan.words)
+    if not len(h):
+        return np.zeros(plan.bits // 64, dtype=np.uint64)
     ones = _ones(_mixed(h, plan.bits // 64))
     return np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")
 
@@ -267,12 +284,144 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
     return units.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
+    """(doc_id, text) -> (doc_id, node long, size int, p0 to p3 long, shingles binary): a row's set of shingles.
+
+    node is a digest of the set. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
+    at least as many shingles as their parities differ in bits.
+    """
+
+    def told(text: str | None) -> tuple:
+        h = np.unique(shingles(text, plan.words))
+        data = h.tobytes()
+        parity = np.packbits(np.bincount((h & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1, bitorder="little").view("<i8")
+        return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True), len(h), *parity.tolist(), data
+
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                rows = [told(t) for t in part.column(1).to_pylist()]
+                made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], ["doc_id", "node", "size", "p0", "p1", "p2", "p3", "shingles"])
+
+    schema = "doc_id long, node long, size int, p0 long, p1 long, p2 long, p3 long, shingles binary"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most common shingles of a sample of the sets, sorted, and their counts there."""
+    n, parts = rows.count(), 1_000_003
+    part = rows.where(F.pmod(F.xxhash64("node"), F.lit(parts)) < max(1, int(parts * min(1.0, SAMPLE / max(n, 1)))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        for batch in batches:
+            for h in _sets(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["token"])
+
+    counted = part.select("shingles").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 3")
+    top = counted.orderBy(F.col("n").desc(), "token").limit(MOST_COMMON).toArrow()
+    tokens, counts = (top.column(c).to_numpy() for c in ("token", "n"))
+    order = np.argsort(tokens.view(np.uint64))
+    return tokens.view(np.uint64)[order], counts[order]
+
+
+def _prefixes(rows: DataFrame, similarity: float, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(token, node, size): the rarest shingles of each set, as many as two similar sets can't differ in and one more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                names, sizes, out = part.column(0).to_numpy(), part.column(1).to_numpy(), []
+                for h in _sets(part.column(2)):
+                    n = len(h) - math.ceil(len(h) * similarity - EPS) + 1 if len(h) else 0
+                    if len(tokens):
+                        at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+                        h = h[np.argsort(np.where(tokens[at] == h, counts[at], 0), kind="stable")]
+                    out.append(h[:n])
+                many = np.array([len(h) for h in out], np.int64)
+                flat = np.concatenate([*out, np.empty(0, np.uint64)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(names, many)), pa.array(np.repeat(sizes, many))], ["token", "node", "size"])
+        trimmed()
+
+    return rows.select("node", "size", "shingles").mapInArrow(run, "token long, node long, size int")
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) distinct -> those whose sets are similar: by size, by parities, then exactly."""
+    of = lambda s: nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("size", "p0", "p1", "p2", "p3")])
+    apart = sum((F.bit_count(F.col(f"a_p{i}").bitwiseXOR(F.col(f"b_p{i}"))) for i in range(4)), F.lit(0))
+    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + EPS
+    sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - EPS
+    likely = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= most)).select("a", "b"))
+    wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    sets = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frugal()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part, keep = batch.slice(start, 512), []
+                for x, y in zip(_sets(part.column(2)), _sets(part.column(3))):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(both >= (len(x) + len(y) - both) * similarity - EPS)
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        trimmed()
+
+    whole = likely.join(sets.select(F.col("node").alias("a"), F.col("h").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("h").alias("y")), "b")
+    return checkpointed(whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+
+
+def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The shingled rows, and (node, label) of the nodes that are linked.
+
+    First each set meets the least one that shares a shingle of its prefix; then all pairs that share one meet, but those
+    that are connected already.
+    """
+    rows = stored(shingled(docs, plan), "shingles")
+    nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "p0", "p1", "p2", "p3")]))
+    prefixes = _prefixes(rows, plan.similarity, *_common(rows))
+    held = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("token", "least")
+    shared = checkpointed(prefixes.join(held, "token").select("token", "node", "size", "least").distinct())
+    first = _similar(shared.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, rows, plan.similarity)
+    near = components(first).withColumnRenamed("a", "node")
+    named = checkpointed(shared.select("token", "node", "size").join(near, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    apart = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
+    rest = named.join(apart, "token", "left_semi")
+    other = rest.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"))
+    fit = F.least("size", "b_size") >= F.greatest("size", "b_size") * plan.similarity - EPS
+    pairs = rest.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & fit).select(F.col("node").alias("a"), "b").distinct()
+    found = first.unionByName(_similar(pairs, nodes, rows, plan.similarity))
+    return rows, components(found).withColumnRenamed("a", "node")
+
+
+def _labelled(docs: DataFrame, plan: Plan) -> DataFrame:
+    """(doc_id, text, ...) -> (doc_id, node, label) by similarity: every row, with its set and the set's component."""
+    rows, labels = _by_similarity(docs, plan)
+    return checkpointed(rows.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")))
+
+
 def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, fp binary, component_id): every row, copies included.
 
     component_id is the least doc_id reachable over links, itself included; null where no document of the component has
-    an id. Null and blank texts have fingerprint zero and link like any other. Repeated rows stay repeated.
+    an id. Null and blank texts have fingerprint zero and link like any other. Repeated rows stay repeated. Under a plan
+    with a similarity fp is a digest of the set of shingles.
     """
+    if plan.similarity:
+        rows = _labelled(docs, plan)
+        least = checkpointed(rows.groupBy("label").agg(F.min("doc_id").alias("component_id")))
+        return rows.join(least, "label").select("doc_id", F.unhex(F.lpad(F.hex("node"), 16, "0")).alias("fp"), "component_id")
     rows = checkpointed(fingerprints(docs, plan))
     nodes = checkpointed(
         rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id())

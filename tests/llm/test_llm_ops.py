@@ -131,6 +131,24 @@ def test_near_dedup_finds_planted_copies(spark):
     assert got == {x: a for a, b in pairs for x in (a, b)}
 
 
+def test_near_dedup_misses_no_similar_pair(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "MOST_COMMON", 50)
+    rng = np.random.default_rng(8)
+    passage, rows = [f"p{i}" for i in range(30)], [(9000, "short text"), (9001, "Short  text"), (9002, "short texts")]
+    for d in range(150):
+        base = [f"w{x}" for x in rng.integers(0, 100_000, int(rng.integers(60, 400)))] + passage
+        for c in range(3):
+            copy = base.copy()
+            for at in rng.choice(len(base), int(len(base) * 0.025 * c), replace=False):
+                copy[at] = f"x{rng.integers(0, 100_000)}"
+            rows.append((d * 10 + c, " ".join(copy)))
+    sets = {i: set(simhash.shingles(t, 5).tolist()) for i, t in rows}
+    near = {(a, b): j for a in sets for b in sets if a < b and (j := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= 0.8}
+    assert sum(j < 0.85 for j in near.values()) > 20
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR_DEDUP).collect()}
+    assert got == brute_components(sets, near)
+
+
 def test_ann_is_exact(spark, sf):
     got = ann.op1_curves(spark, sf).collect()
     e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
