@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.llm.common import LOWER_ASCII, checkpointed, frugal, stored, trimmed
@@ -284,8 +284,13 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
     return units.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _digest() -> Column:
+    """Tells rows that share an id apart; a null text counts as empty."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("digest")
+
+
 def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, text) -> (doc_id, node long, size int, p0 to p3 long, shingles binary): a row's set of shingles.
+    """(doc_id, text) -> (doc_id, digest of the text, node long, size int, p0 to p3 long, shingles binary): a row's set.
 
     node is a digest of the set. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
     at least as many shingles as their parities differ in bits.
@@ -306,10 +311,10 @@ def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
                 part = batch.slice(at, 512)
                 rows = [told(t) for t in part.column(1).to_pylist()]
                 made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *made], ["doc_id", "node", "size", "p0", "p1", "p2", "p3", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *made], ["doc_id", "digest", "node", "size", "p0", "p1", "p2", "p3", "shingles"])
 
-    schema = "doc_id long, node long, size int, p0 long, p1 long, p2 long, p3 long, shingles binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = "doc_id long, digest string, node long, size int, p0 long, p1 long, p2 long, p3 long, shingles binary"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest()).mapInArrow(run, schema)
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -406,9 +411,10 @@ def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
 
 
 def _labelled(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, text, ...) -> (doc_id, node, label) by similarity: every row, with its set and the set's component."""
+    """(doc_id, text, ...) -> (doc_id, digest, node, label) by similarity: every row, with its set and the set's component."""
     rows, labels = _by_similarity(docs, plan)
-    return checkpointed(rows.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")))
+    label = F.coalesce("label", "node").alias("label")
+    return checkpointed(rows.select("doc_id", "digest", "node").join(labels, "node", "left").select("doc_id", "digest", "node", label))
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
@@ -443,14 +449,18 @@ def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, plan: Plan = NEAR_DEDUP) -> DataFrame:
-    """The documents but one of each group gone: those whose id is their component's stay, with all columns.
+    """The documents but one row of each group gone, with all columns; ``plan`` must have a similarity.
 
-    Of rows that repeat one id the first in the order of the columns stays. Rows without an id stay.
+    The row of the least id stays; of rows that repeat it the least text digest, then the first in the order of the
+    columns. A row without an id stays only where its group has no id.
     """
-    kept = near_duplicates(docs, plan).where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(*docs.columns))
-    stay = docs.join(kept, "doc_id", "left_semi").withColumn("__nth", one).where("__nth = 1").select(*docs.columns)
-    return stay.unionByName(docs.where("doc_id is null"))
+    if not plan.similarity:
+        raise ValueError("give a plan with a similarity")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("m")
+    kept = _labelled(docs, plan).groupBy("label").agg(first).select(F.col("m.doc_id").alias("__id"), F.col("m.digest").alias("__digest"))
+    rows = docs.withColumn("__d", _digest())
+    stay = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi")
+    return stay.groupBy("doc_id", "__d").agg(F.min(F.struct(*docs.columns)).alias("m")).select("m.*")
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -149,6 +149,13 @@ def test_near_dedup_misses_no_similar_pair(spark, monkeypatch):
     assert got == brute_components(sets, near)
 
 
+def test_deduplicated_decides_by_row(spark):
+    text = lambda n: " ".join(f"{n}w{i}" for i in range(50))
+    rows = [(3, text("a")), (5, text("a")), (5, text("b")), (6, text("b")), (6, text("c")), (None, text("d")), (None, text("d")), (None, text("e")), (7, text("e"))]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, text("d")), (3, text("a")), (5, text("b")), (6, text("c")), (7, text("e"))]
+
+
 def test_ann_is_exact(spark, sf):
     got = ann.op1_curves(spark, sf).collect()
     e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
