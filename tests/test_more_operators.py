@@ -141,3 +141,12 @@ def test_vocabulary_links(spark, monkeypatch):
         monkeypatch.setattr(search, "MOST_NAMES", most)
         got = {(r.id, r.n) for r in search.vocabulary_links(docs, names, "id", "t", "n", "name").collect()}
         assert got == {(1, 1), (1, 2), (1, 3), (2, 2)}
+
+
+def test_vocabulary_links_of_long_names(spark):
+    docs = spark.createDataFrame([(1, "zero one, two three four five six"), (2, "one two three"), (3, "one two three four six")], "id int, t string")
+    names = spark.createDataFrame([(1, "One two three four five"), (2, "two three"), (3, "zero one two three four five six"), (4, "one two three four five six seven")], "n int, name string")
+    for most in (1, 2, 4):
+        got = {(r.id, r.n) for r in search.vocabulary_links(docs, names, "id", "t", "n", "name", most).collect()}
+        assert got == {(1, 1), (1, 2), (2, 2), (3, 2), (1, 3)}
+    assert search.vocabulary_links(docs, names.where("n > 9"), "id", "t", "n", "name").count() == 0
