@@ -150,3 +150,14 @@ def test_vocabulary_links_of_long_names(spark):
         got = {(r.id, r.n) for r in search.vocabulary_links(docs, names, "id", "t", "n", "name", most).collect()}
         assert got == {(1, 1), (1, 2), (2, 2), (3, 2), (1, 3)}
     assert search.vocabulary_links(docs, names.where("n > 9"), "id", "t", "n", "name").count() == 0
+
+
+def test_fuzzy_keys_of_few_signs(spark):
+    lefts = ["clip_07", "2025_0303_clip_09", "ab", "zz", "x", "long_key_without", "clip_09"]
+    rights = [("2025_clip_07_front", "a/1"), ("clip_07_x", "b/2"), ("clip_09", "c/3"), ("abc", "d/4"), ("b", "e/5"), ("x", "f/6")]
+    want = {}
+    for k in lefts:
+        held = [(abs(len(k) - len(r)), p.count("/"), p) for r, p in rights if k in r or r in k]
+        want[k] = min(held)[2] if held else None
+    got = composites.fuzzy_key_join(spark.createDataFrame([(k,) for k in lefts], "k string"), spark.createDataFrame(rights, "rk string, path string"), "k", "rk", "path")
+    assert {r.k: r.path for r in got.collect()} == want
