@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -156,20 +157,47 @@ def test_deduplicated_decides_by_row(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, text("d")), (3, text("a")), (5, text("b")), (6, text("c")), (7, text("e"))]
 
 
-def test_ann_is_exact(spark, sf):
-    got = ann.op1_curves(spark, sf).collect()
-    e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
-    x = np.stack(e.embedding.values).astype(float)
+def brute_nearest(path, k=5):
+    """(query, neighbour) pairs by a full matrix of cosines, ties to the smaller id."""
+    e = pq.read_table(f"{path}/embeddings.parquet")
+    ids, x = e["vec_id"].to_numpy(), np.stack(e["embedding"].to_numpy(zero_copy_only=False)).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    by = defaultdict(list)
-    for r in got:
-        by[r.query_id].append(r)
-    assert set(by) == {i for i in e.vec_id if i % 50 == 0}
-    for q, rows in by.items():
-        s = x @ x[e.vec_id.values == q][0]
-        best = sorted((-v, i) for v, i in zip(s, e.vec_id) if i != q)[:5]
-        rows.sort(key=lambda r: r.rank)
-        assert [r.vec_id for r in rows] == [i for _, i in best] and np.allclose([r.score for r in rows], [-v for v, _ in best])
+    asked = np.nonzero(ids % 50 == 0)[0]
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -2
+    return {int(ids[q]): [(int(ids[j]), float(s[j])) for j in np.lexsort((ids, -s))[:k]] for q, s in zip(asked, score)}
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_curves_recall(spark, sf, folder):
+    path = f"{sf.rsplit('/', 1)[0]}/{folder}"
+    want, got = brute_nearest(path), defaultdict(list)
+    for r in ann.op1_curves(spark, path).orderBy("rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == set(want) and all(len(rows) == 5 for rows in got.values())
+    found = sum(len({v for v, _ in got[q]} & {v for v, _ in rows}) for q, rows in want.items())
+    assert found >= 0.9 * 5 * len(want)
+    scores = {(q, v): s for q, rows in want.items() for v, s in rows}
+    assert all(math.isclose(s, scores.get((q, v), s), rel_tol=1e-12) for q, rows in got.items() for v, s in rows)
+
+
+def test_windows_without_bound_are_exact(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    got = {(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, ix=ann.Index(recall=1.0)).collect()}
+    assert got == {(q, n, v) for q, rows in brute_nearest(sf).items() for n, (v, _) in enumerate(rows, 1)}
+
+
+def test_ann_ties_go_to_the_smaller_id(spark):
+    rows = [(i, [2.0**i, 2.0 ** (i + 1)]) for i in range(40)] + [(100 + i, [1.0, float(i)]) for i in range(30)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_ann_extreme_vectors(spark):
+    rows = [(0, [1e300, 1e300]), (1, [1e-300, 2e-300]), (2, [3.0, 3.0]), (3, [1.0, 0.0, 0.0]), (50, [0.0, 2.0, 0.0]), (51, [1e-320, 0.0]), (52, [])]
+    got = {(r.query_id, r["rank"], r.vec_id): r.score for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0).collect()}
+    assert set(got) == {(0, 1, 2), (0, 2, 1), (0, 3, 51), (50, 1, 3)}  # a vector meets those of its own length
+    assert math.isclose(got[0, 2, 1], 3 / math.sqrt(10))
 
 
 def test_ann_edge_cases(spark):
@@ -183,14 +211,16 @@ def test_ann_edge_cases(spark):
     assert [r.vec_id for r in ann.nearest(many, F.col("id") == 50).orderBy("rank").collect()] == [0, 1, 2, 3, 4]
 
 
-def test_curves_alone_find_clustered_neighbours(spark):
+def test_windows_are_fitted_to_structure(spark, monkeypatch):
     rng = np.random.default_rng(2)
-    centres = rng.normal(size=(40, 16)) * 10
-    rows = [(i, (centres[i % 40] + 0.01 * rng.normal(size=16)).tolist()) for i in range(1200)]
+    centres = rng.normal(size=(60, 16)) * 10
+    rows = [(i, (centres[i % 60] + 0.01 * rng.normal(size=16)).tolist()) for i in range(3000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    exact = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0).collect()}
-    found = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, exact=False).collect()}
-    assert len(exact & found) / len(exact) >= 0.9
+    windows, fit = [], ann.fitted_window
+    monkeypatch.setattr(ann, "fitted_window", lambda *a: windows.append(fit(*a)) or windows[-1])
+    exact = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, ix=ann.Index(recall=1.0)).collect()}
+    found = {(r.query_id, r.vec_id) for r in ann.nearest(df, F.col("id") % 50 == 0, ix=ann.Index(least=1, curves=8)).collect()}
+    assert len(exact) == 300 and len(exact & found) >= 0.9 * len(exact) and windows[0] < 60
 
 
 def test_hilbert_visits_neighbours():
