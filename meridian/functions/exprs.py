@@ -31,11 +31,14 @@ def haversine(lat1, lon1, lat2, lon2, radius: float = EARTH_M) -> Column:
     return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
-def bounding_box(lat: float, lon: float, radius_m: float) -> tuple[float, float, float, float]:
-    """(lat_min, lat_max, lon_min, lon_max) around a point; near the poles the cosine is held above 1e-6."""
-    dlat = radius_m / METRES_PER_DEGREE
-    dlon = radius_m / (METRES_PER_DEGREE * max(1e-6, math.cos(math.radians(lat))))
-    return lat - dlat, lat + dlat, lon - dlon, lon + dlon
+def half_extent(radius_m: float, lat: float) -> tuple[float, float]:
+    """Half height and half width, in degrees, of the box around a circle at a latitude.
+
+    A degree of longitude shrinks with the cosine of the latitude, which is held above 1e-6 near the poles.
+    """
+    shrink = max(math.cos(math.radians(lat)), 1e-6)
+    height = radius_m / METRES_PER_DEGREE
+    return height, height / shrink
 
 
 def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) -> Column:
@@ -65,22 +68,24 @@ def box_overlap_area(a: Column, b: Column) -> Column:
 
 
 def repaired_point(lat: Column, lon: Column, auto_west: bool = True, allow_swap: bool = True, box: tuple | None = None) -> Column:
-    """struct(lat, lon, flags): out-of-range values to null, eastern longitudes flipped west, swapped pairs put right.
+    """struct(lat, lon, flags): out-of-range values become null; whole pairs are flipped west or swapped where that mends them.
 
-    A pair is swapped only if it then falls inside ``box``; flags say what was done.
+    ``box`` is (lat_min, lat_max, lon_min, lon_max). An eastern longitude is flipped if the flipped pair lies in the box, or,
+    without a box, if it is between 20 and 170 degrees. A pair outside the box is swapped if it then lies inside. flags say
+    what was done: FIXED_WEST, SWAPPED.
     """
-    lat_ok, lon_ok = lat.between(-90, 90), lon.between(-180, 180)
-    la, lo = F.when(lat_ok, lat), F.when(lon_ok, lon)
-    flags = [F.when(lat.isNotNull() & ~lat_ok, F.lit("BAD_LAT")), F.when(lon.isNotNull() & ~lon_ok, F.lit("BAD_LON"))]
+    la, lo = F.when(lat.between(-90, 90), lat), F.when(lon.between(-180, 180), lon)
+    whole, flags = la.isNotNull() & lo.isNotNull(), []
     if auto_west:
-        flip = lo > 0
+        flip = whole & (lo > 0) & (in_box(la, -lo, box) if box else lo.between(20, 170))
         flags.append(F.when(flip, F.lit("FIXED_WEST")))
         lo = F.when(flip, -lo).otherwise(lo)
     if allow_swap and box:
-        swap = ~in_box(la, lo, box) & in_box(lo, la, box)
+        swap = whole & ~in_box(la, lo, box) & in_box(lo, la, box)
         flags.append(F.when(swap, F.lit("SWAPPED")))
         la, lo = F.when(swap, lo).otherwise(la), F.when(swap, la).otherwise(lo)
-    return F.struct(la.alias("lat"), lo.alias("lon"), F.array_compact(F.array(*flags)).alias("flags"))
+    found = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    return F.struct(la.alias("lat"), lo.alias("lon"), found.alias("flags"))
 
 
 # Vectors ------------------------------------------------------------------------------------------------------------
@@ -170,15 +175,17 @@ def file_key(x: Column) -> Column:
     return F.when(stamp != "", stamp).otherwise(plain)
 
 
-#: First-person words, bounded by anything that is no letter, digit or underscore.
-SELF = r"(?i)(^|[^\pL\pN_])(i|me|my|mine|myself|we|us|our|ours)($|[^\pL\pN_])"
+#: First-person words, dates (ISO, or a month's name and a day, a year after them or not) and clock times.
+SELF = r"(?i)\b(I|my|me|myself|we|our|us)\b"
+DATES = r"(?i)\b(\d{4}-\d{2}-\d{2}|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2}(?:,?\s+\d{4})?)"
+TIMES = r"(?i)\b(\d{1,2}:\d{2}(?::\d{2})?\s*(?:am|pm)?)\b"
 
 
 def mentions(x: Column) -> Column:
-    """struct(is_self, dates, times): first-person words, ISO or slashed dates, clock times; sorted and distinct."""
-    is_self = F.coalesce(x, F.lit("")).rlike(SELF)
-    found = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(p), F.lit(0))))
-    return F.struct(is_self.alias("is_self"), found(r"\b(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{2,4})\b").alias("dates"), found(r"(?i)\b\d{1,2}:\d{2}\s?(?:am|pm)?\b").alias("times"))
+    """struct(is_self, dates, times): first-person words, dates and clock times as written; sorted and distinct."""
+    text = F.coalesce(x, F.lit(""))
+    found = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(1))))
+    return F.struct(text.rlike(SELF).alias("is_self"), found(DATES).alias("dates"), found(TIMES).alias("times"))
 
 
 def tags(x: Column, rules: list[tuple[str, str]], most: int = 8) -> Column:
@@ -222,36 +229,132 @@ def srt_time(seconds: Column) -> Column:
     return F.concat(at(3_600_000, 100), F.lit(":"), at(60_000, 60), F.lit(":"), at(1000, 60), F.lit(","), F.lpad((ms % 1000).cast("string"), 3, "0"))
 
 
+def _with(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def python_repr_to_json(x: Column) -> Column:
-    """A Python dictionary's text as JSON text: quotes, booleans and None."""
-    out = F.regexp_replace(x, "'", '"')
-    for a, b in (("True", "true"), ("False", "false"), ("None", "null")):
-        out = F.regexp_replace(out, rf"\b{a}\b", b)
-    return out
+    """A Python literal's text as JSON text: quoting, booleans and None. What stands inside quotes is kept as it is."""
+    hexed = lambda v: F.regexp_replace(v, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+
+    def written(token: Column) -> Column:
+        inner = F.substring(token, F.lit(2), F.length(token) - 2)
+        single = F.concat(F.lit('"'), hexed(F.replace(F.replace(inner, F.lit('"'), F.lit('\\"')), F.lit("\\'"), F.lit("'"))), F.lit('"'))
+        bare = token
+        for a, b in (("True", "true"), ("False", "false"), ("None", "null")):
+            bare = F.regexp_replace(bare, rf"\b{a}\b", b)
+        return F.when(token.startswith("'"), single).when(token.startswith('"'), hexed(F.replace(token, F.lit("\\'"), F.lit("'")))).otherwise(bare)
+
+    tokens = F.regexp_extract_all(x, F.lit(r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'?|"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[^'"]++"""), F.lit(0))
+    return F.array_join(F.transform(tokens, written), "")
 
 
 def first_json_object(x: Column) -> Column:
-    """The first brace-balanced object without nesting deeper than two, null if there is none."""
-    found = F.regexp_extract(x, r"(?s)(\{(?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*\})", 1)
-    return F.when(found != "", found)
+    """The first brace-balanced object, at any depth of nesting; null if there is none. Braces in strings don't count.
+
+    A quotation mark opens a string wherever it stands, in front of the object too.
+    """
+    tokens = F.regexp_extract_all(x, F.lit(r"""(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[{}]|[^"{}]++"""), F.lit(0))
+    zero = F.struct(*[F.lit(0).alias(n) for n in ("depth", "at", "first", "last")])
+
+    def step(acc: Column, token: Column) -> Column:
+        at, open_ = acc["at"] + 1, acc["last"] == 0
+        opens, closes = open_ & (token == "{"), open_ & (token == "}") & (acc["depth"] > 0)
+        depth = acc["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        first = F.when(opens & (acc["depth"] == 0), at).otherwise(acc["first"])
+        last = F.when(closes & (depth == 0), at).otherwise(acc["last"])
+        return F.struct(depth.alias("depth"), at.alias("at"), first.alias("first"), last.alias("last"))
+
+    def cut(t: Column) -> Column:
+        return _with(F.aggregate(t, zero, step), lambda a: F.when(a["last"] > 0, F.array_join(F.slice(t, a["first"], a["last"] - a["first"] + 1), "")))
+
+    return _with(tokens, cut)
+
+
+_TASK = "title string, description string, labels array<string>, priority string, owner_hint string, agent struct<name:string,confidence:string,rationale:string>, plan array<struct<step:string,action:string,tool:string,operation:string,expected_output:string>>"
+PAYLOAD = f"version string, language string, summary string, key_points array<string>, topics array<string>, people array<string>, organizations array<string>, places array<string>, quality_notes string, tasks array<struct<{', '.join(f'{n}:{t}' for n, t in (part.split(' ', 1) for part in _TASK.split(', ')))}>>"
+
+
+def payload(x: Column) -> Column:
+    """The first JSON object of a text as a summary payload: version "1.0", empty texts and empty lists where fields lack.
+
+    Fixed values: a task without title and description goes; title, description, owner, agent and plan fields are cut to
+    140, 1000, 100, 60 / 200 and 200 / 50 / 80 / 200 signs, labels to 10 distinct ones and plans to 6 steps; priority is low,
+    medium, high or urgent, else medium; an agent's confidence is held to 0..1.
+    """
+    text = lambda v, n=None: F.coalesce(F.trim(v) if n is None else F.substring(F.trim(v), 1, n), F.lit(""))
+    items = lambda v: F.coalesce(v, F.array().cast("array<string>"))
+
+    def task(t: Column) -> Column:
+        level = F.lower(text(t["priority"]))
+        labels = F.slice(F.array_distinct(F.filter(F.transform(items(t["labels"]), lambda v: F.trim(v)), lambda v: v != "")), 1, 10)
+        sure = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t["agent"]["confidence"].try_cast("double"), F.lit(0.0))))
+        agent = F.struct(text(t["agent"]["name"], 60).alias("name"), sure.alias("confidence"), text(t["agent"]["rationale"], 200).alias("rationale"))
+        step = lambda p, i: F.struct(F.coalesce(p["step"].try_cast("int"), i + 1).alias("step"), text(p["action"], 200).alias("action"), text(p["tool"], 50).alias("tool"), text(p["operation"], 80).alias("operation"), text(p["expected_output"], 200).alias("expected_output"))
+        return F.struct(
+            text(t["title"], 140).alias("title"), text(t["description"], 1000).alias("description"), labels.alias("labels"),
+            F.when(level.isin("low", "medium", "high", "urgent"), level).otherwise("medium").alias("priority"), text(t["owner_hint"], 100).alias("owner_hint"),
+            agent.alias("agent"), F.coalesce(F.transform(F.slice(t["plan"], 1, 6), step), F.from_json(F.lit("[]"), "array<struct<step:int,action:string,tool:string,operation:string,expected_output:string>>")).alias("plan"),
+        )
+
+    def made(p: Column) -> Column:
+        told = F.filter(p["tasks"], lambda t: (text(t["title"]) != "") | (text(t["description"]) != ""))
+        plain = [F.coalesce(p[n], F.lit(d)).alias(n) for n, d in (("version", "1.0"), ("language", ""), ("summary", ""))]
+        lists = [items(p[n]).alias(n) for n in ("key_points", "topics", "people", "organizations", "places")]
+        return F.struct(*plain, *lists, F.coalesce(p["quality_notes"], F.lit("")).alias("quality_notes"), F.transform(F.coalesce(told, F.array().cast(f"array<struct<{_TASK}>>")), task).alias("tasks"))
+
+    return _with(F.from_json(F.coalesce(first_json_object(x), F.lit("{}")), PAYLOAD), made)
+
+
+#: Fixed values of the lyric rules.
+STOP_WORDS = ("the", "a", "an", "and", "or", "but", "to", "of", "in", "on", "for", "with", "is", "are", "am", "be", "was", "were", "it", "that", "this", "you", "i")
+REFRAIN = r"\b(la+|na+|yeah+|ooh+|mmm+)\b"
+_BLANK = r"[\x09-\x0D\x1C-\x20\x{85}\p{Z}]"
+
+
+def _stripped(x: Column) -> Column:
+    return F.regexp_replace(x, f"^{_BLANK}+|{_BLANK}+$", "")
+
+
+def _most_common(xs: Column) -> Column:
+    """struct(most, repeated): how often the commonest item stands in a list, and how many items stand there more than once."""
+    zero = F.struct(F.lit(None).cast("string").alias("item"), *[F.lit(0).alias(n) for n in ("run", "most", "repeated")])
+
+    def step(acc: Column, item: Column) -> Column:
+        run = F.when(acc["item"] == item, acc["run"] + 1).otherwise(1)
+        again = F.when(run == 2, 2).when(run > 2, 1).otherwise(0)
+        return F.struct(item.alias("item"), run.alias("run"), F.greatest(acc["most"], run).alias("most"), (acc["repeated"] + again).alias("repeated"))
+
+    return F.aggregate(F.array_sort(xs), zero, step)
 
 
 def lyric_features(text: Column) -> Column:
-    """struct of five shares and their weighted sum: repeated bigrams, rhyming line ends, stop words, fillers, line breaks."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z']+"), lambda w: w != "")
-    n = F.greatest(F.size(words), F.lit(1))
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    many = F.greatest(F.size(pairs), F.lit(1))
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda v: F.trim(v) != "")
-    ends = F.transform(lines, lambda v: F.lower(F.right(F.regexp_replace(v, r"\W+$", ""), F.lit(2))))
-    share = lambda xs: F.size(F.filter(words, lambda w: w.isin(*xs))) / n
-    repeat = 1 - F.size(F.array_distinct(pairs)) / many
-    rhyme = 1 - F.size(F.array_distinct(ends)) / F.greatest(F.size(ends), F.lit(1))
-    stop = share(["the", "a", "an", "and", "or", "of", "to", "in", "is", "it", "that", "i", "you"])
-    filler = share(["oh", "yeah", "la", "na", "ooh", "hey", "baby"])
-    breaks = F.least(F.lit(1.0), F.size(lines) * 6 / n)
-    score = 0.25 * repeat + 0.25 * rhyme + 0.2 * (1 - stop) + 0.15 * filler + 0.15 * breaks
-    return F.struct(repeat.alias("repeat"), rhyme.alias("rhyme"), stop.alias("stop"), filler.alias("filler"), breaks.alias("breaks"), score.alias("score"))
+    """struct(repetition, rhyme, stopwords, lala, linebreak, score): shares of 0 to 1 and their weighted sum.
+
+    repetition: three times the share of word pairs that occur again. rhyme: lines with the commonest last three letters,
+    of all lines. stopwords: how far the share of stop words stays under 0.4. lala: whether a refrain syllable occurs.
+    linebreak: line breaks for 80 letters. Weights .25, .25, .15, .20, .15. A blank or null text has zeros.
+    """
+
+    def made(t: Column, lines: Column, words: Column) -> Column:
+        many = F.size(words)
+        pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(many - 1, F.lit(0))), F.slice(words, F.lit(2), F.greatest(many - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+        ends = F.transform(F.filter(lines, lambda v: F.length(v) >= 3), lambda v: F.right(v, F.lit(3)))
+        repetition = F.least(F.lit(1.0), _most_common(pairs)["repeated"] / F.greatest(many - 1, F.lit(1)) * 3)
+        rhyme = F.least(F.lit(1.0), _most_common(ends)["most"] / F.greatest(F.size(lines), F.lit(1)))
+        stop = F.greatest(F.lit(0.0), 0.4 - F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS))) / F.greatest(many, F.lit(1))) / 0.4
+        breaks = F.least(F.lit(1.0), F.greatest(F.size(lines) - 1, F.lit(0)) / F.greatest(F.lit(1.0), F.length(t) / 80))
+        lala = F.when(t.rlike(REFRAIN), 1.0).otherwise(0.0)
+        return F.struct(repetition.alias("repetition"), rhyme.alias("rhyme"), F.when(t != "", stop).otherwise(0.0).alias("stopwords"), lala.alias("lala"), breaks.alias("linebreak"))
+
+    def bound(t: Column) -> Column:
+        lines = F.filter(F.transform(F.split(t, r"[\r\n]+"), _stripped), lambda v: v != "")
+        return _with(lines, lambda a: _with(F.regexp_extract_all(t, F.lit("[a-z']+"), F.lit(0)), lambda b: made(t, a, b)))
+
+    f = _with(_stripped(F.lower(F.coalesce(text, F.lit("")))), bound)
+    score = lambda v: 0.25 * v["repetition"] + 0.25 * v["rhyme"] + 0.20 * v["lala"] + 0.15 * v["linebreak"] + 0.15 * v["stopwords"]
+    return _with(f, lambda v: F.struct(*[v[n].alias(n) for n in ("repetition", "rhyme", "stopwords", "lala", "linebreak")], F.least(F.lit(1.0), F.greatest(F.lit(0.0), score(v))).alias("score")))
 
 
 def ensemble(audio: Column, text: Column, rules: Column, lyrics_at: float = 0.8, speech_at: float = 0.35) -> Column:
@@ -270,24 +373,26 @@ def any_time(x: Column) -> Column:
     return F.coalesce(by_epoch, F.try_to_timestamp(F.when(digits.isNull(), x)))
 
 
+#: Stamps in recordings' names, tried in this order, and their forms.
+STAMPS = (
+    (r"(\d{14})", "yyyyMMddHHmmss"),
+    (r"(\d{4}_\d{4}_\d{6})", "yyyy_MMdd_HHmmss"),
+    (r"(\d{8}_\d{6})", "yyyyMMdd_HHmmss"),
+    (r"(\d{4}-\d{2}-\d{2}[_\-]\d{2}-\d{2}-\d{2})", "yyyy-MM-dd_HH-mm-ss"),
+    (r"(\d{4}_\d{2}_\d{2}[_\-]\d{2}_\d{2}_\d{2})", "yyyy_MM_dd_HH_mm_ss"),
+)
+
+
 def key_time(key: Column, tz: str = "UTC") -> Column:
-    """TIMESTAMP in UTC from a recording key's local stamp: 2025_0202_171732, 20250202171732, 2025-02-02 17:17:32 and such."""
-    stamps = (
-        (r"(\d{4}_\d{4}_\d{6})", "yyyy_MMdd_HHmmss"),
-        (r"(\d{8}_\d{6})", "yyyyMMdd_HHmmss"),
-        (r"(\d{8}-\d{6})", "yyyyMMdd-HHmmss"),
-        (r"(\d{14})", "yyyyMMddHHmmss"),
-        (r"(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2})", "yyyy-MM-dd HH:mm:ss"),
-        (r"(\d{4}-\d{2}-\d{2}[_ ]\d{2}-\d{2}-\d{2})", "yyyy-MM-dd HH-mm-ss"),
-        (r"(\d{4}-\d{2}-\d{2})", "yyyy-MM-dd"),
-        (r"(\d{8})", "yyyyMMdd"),
-    )
-    tries = []
-    for pattern, form in stamps:
-        found = F.regexp_extract(key, pattern, 1)
-        if form.startswith("yyyy-MM-dd H"):
-            found = F.regexp_replace(found, "[T_]", " ")
-        tries.append(F.try_to_timestamp(F.when(found != "", found), F.lit(form)))
+    """TIMESTAMP in UTC from the local stamp in a recording's key or path; null without one.
+
+    Forms: those of STAMPS, then the folders /yyyy/MM/dd/ with six digits for the time in the file's name. A stamp that is
+    no valid time is passed over.
+    """
+    tries = [F.try_to_timestamp(F.nullif(F.regexp_extract(key, pattern, 1), F.lit("")), F.lit(form)) for pattern, form in STAMPS]
+    day = F.regexp_extract(key, r"/(\d{4}/\d{2}/\d{2})/", 1)
+    clock = F.regexp_extract(F.regexp_extract(key, r"([^/]*)$", 1), r"(?<!\d)(\d{6})(?!\d)", 1)
+    tries.append(F.try_to_timestamp(F.when((day != "") & (clock != ""), F.concat(day, clock)), F.lit("yyyy/MM/ddHHmmss")))
     return F.to_utc_timestamp(F.coalesce(*tries), tz)
 
 

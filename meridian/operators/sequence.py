@@ -4,11 +4,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from meridian.functions.exprs import EARTH_M
 
@@ -80,23 +83,59 @@ def ema(values: Column, decay: float) -> Column:
 # Sequential decisions -----------------------------------------------------------------------------------------------
 
 
-def sequential(df: DataFrame, by: list[str], order: list[str], step: Callable[[dict | None, dict], tuple[dict | None, object]], out: str, kind: str) -> DataFrame:
+def sequential(df: DataFrame, by: list[str], order: list[str], step: Callable[[object, dict], tuple[object, object]], out: str, kind: str, needs: list[str] = (), missing: object = None) -> DataFrame:
     """df + out: rows of a group in order; step(state, row) -> (state, value). The state starts as None.
 
-    A group is one recording or key; it is processed in one task, as each decision needs the one before.
+    Rows are dealt by group, sorted, and streamed: a task holds a batch and one state, whatever a group's size. A group's
+    rows pass through one task, as each decision needs the one before. Rows with a null or NaN in a column of ``needs`` get
+    ``missing`` and leave the state alone.
     """
-    names = df.columns
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="mergesort")
-        state, values = None, []
-        for row in rows.to_dict("records"):
-            state, value = step(state, row)
-            values.append(value)
-        return rows.assign(**{out: values})[[*names, out]]
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.groupBy(*by).applyInPandas(run, f"{kinds}, `{out}` {kind}")
+    schema = StructType([*df.schema.fields, StructField(out, _parse_datatype_string(kind))])
+    value_type = to_arrow_schema(StructType([schema[out]])).field(0).type
+    checked = [c for c in needs if c not in by]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, begun = None, None, False
+        for batch in batches:
+            values = []
+            for row in batch.to_pylist():
+                own = tuple("NaN" if row[c] != row[c] else row[c] for c in by)
+                if not begun or own != key:
+                    key, state, begun = own, None, True
+                if any(row[c] is None or row[c] != row[c] for c in checked):
+                    values.append(missing)
+                    continue
+                state, value = step(state, row)
+                values.append(value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, value_type)], [*batch.schema.names, out])
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, schema)
+
+
+def folded(df: DataFrame, by: list[str], order: list[str], step: Callable[[object, dict], tuple[object, list[tuple]]], finish: Callable[[object], list[tuple]], schema: str) -> DataFrame:
+    """(by.., schema): rows that a group gives off; step(state, row) -> (state, rows), finish(state) -> rows after the last one.
+
+    Streamed as in ``sequential``: a task holds a batch and one state.
+    """
+    out = StructType([*df.select(*by).schema.fields, *StructType.fromDDL(schema).fields])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state = None, None
+        for batch in batches:
+            made = []
+            for row in batch.to_pylist():
+                own = tuple(row[c] for c in by)
+                if own != key:
+                    made += [(*key, *r) for r in (finish(state) if key is not None else [])]
+                    key, state = own, None
+                state, rows = step(state, row)
+                made += [(*own, *r) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], f.type) for i, f in enumerate(arrow)], schema=arrow)
+        made = [(*key, *r) for r in (finish(state) if key is not None else [])]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], f.type) for i, f in enumerate(arrow)], schema=arrow)
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, out)
 
 
 def metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -114,7 +153,7 @@ def speed_gate(df: DataFrame, by: list[str], order: list[str], t: str, lat: str,
         ok = dt > 0 and metres(last[lat], last[lon], row[lat], row[lon]) / dt <= most_mps
         return (row, True) if ok else (last, False)
 
-    return sequential(df, by, order, step, "kept", "boolean")
+    return sequential(df, by, order, step, "kept", "boolean", [t, lat, lon], False)
 
 
 def plausible_fixes(df: DataFrame, by: list[str], order: list[str], lat: str, lon: str, mph: str, jump_m: float = 250.0, most_mph: float = 110.0) -> DataFrame:
@@ -125,7 +164,7 @@ def plausible_fixes(df: DataFrame, by: list[str], order: list[str], lat: str, lo
         ok = ok and (last is None or metres(last[lat], last[lon], row[lat], row[lon]) <= jump_m)
         return (row, True) if ok else (last, False)
 
-    return sequential(df, by, order, step, "kept", "boolean")
+    return sequential(df, by, order, step, "kept", "boolean", [lat, lon, mph], False)
 
 
 def anchored_sessions(df: DataFrame, by: list[str], t: str, span: float, order: list[str] = ()) -> DataFrame:
@@ -136,7 +175,7 @@ def anchored_sessions(df: DataFrame, by: list[str], t: str, span: float, order:
             state = {"t": row[t], "n": 0 if state is None else state["n"] + 1}
         return state, state["n"]
 
-    return sequential(df, by, [t, *order], step, "session", "int")
+    return sequential(df, by, [t, *order], step, "session", "int", [t])
 
 
 def spacing_filter(df: DataFrame, by: list[str], order: list[str], t: str, duration: float, gap: float, most: int) -> DataFrame:
@@ -148,12 +187,12 @@ def spacing_filter(df: DataFrame, by: list[str], order: list[str], t: str, durat
             return {"n": state["n"] + 1, "end": row[t] + duration}, True
         return state, False
 
-    return sequential(df, by, order, step, "kept", "boolean")
+    return sequential(df, by, order, step, "kept", "boolean", [t], False)
 
 
 def suppressed(df: DataFrame, by: list[str], score: str, t: str, tie: str, gap: float, most: int) -> DataFrame:
     """df + kept: best score first, dropped if within ``gap`` of any kept row on either side; ``most`` of a group."""
-    return sequential(df.withColumn("__neg", -F.col(score)), by, ["__neg", tie], _far_from_all(t, gap, most), "kept", "boolean").drop("__neg")
+    return sequential(df.withColumn("__neg", -F.col(score)), by, ["__neg", tie], _far_from_all(t, gap, most), "kept", "boolean", [score, t], False).drop("__neg")
 
 
 def _far_from_all(t: str, gap: float, most: int):
@@ -176,23 +215,24 @@ def consecutive_distinct(df: DataFrame, by: list[str], order: list[str], vec: st
             return last, False
         return (v, size), True
 
-    return sequential(df, by, order, step, "kept", "boolean")
+    return sequential(df, by, order, step, "kept", "boolean", [vec], False)
 
 
 def tracks(df: DataFrame, by: list[str], frame: str, box: str, reach: int, tie: str) -> DataFrame:
     """df + track: a box joins the first active track whose last box it overlaps, seen at most ``reach`` frames before."""
 
     def step(state, row):
-        state = state or []
-        x = row[box]
-        for n, (at, y) in enumerate(state):
-            if row[frame] - at <= reach and min(x[2], y[2]) > max(x[0], y[0]) and min(x[3], y[3]) > max(x[1], y[1]):
-                state[n] = (row[frame], x)
-                return state, n
-        state.append((row[frame], x))
-        return state, len(state) - 1
-
-    return sequential(df, by, [frame, tie], step, "track", "int")
+        count, active = state or (0, {})
+        at, x = row[frame], row[box]
+        active = {n: seen for n, seen in active.items() if at - seen[0] <= reach}  # the others can't be joined any more
+        for n, (_, y) in active.items():
+            if min(x[2], y[2]) > max(x[0], y[0]) and min(x[3], y[3]) > max(x[1], y[1]):
+                active[n] = (at, x)
+                return (count, active), n
+        active[count] = (at, x)
+        return (count + 1, active), count
+
+    return sequential(df, by, [frame, tie], step, "track", "int", [frame, box])
 
 
 def trajectory(points: DataFrame, by: list[str], t: str, x: str, y: str, steps: int = 60, harmonics: int = 16) -> DataFrame:

@@ -13,13 +13,13 @@ from meridian.plans.vector_queries import SEED, _seed
 part, orders, docs, conv, emb, lineitem = (load(n) for n in ("part", "orders", "documents", "conversations", "embeddings", "lineitem"))
 
 
-@register("fuzzy_key_join", """WITH l AS (SELECT p_partkey, 'key' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS k FROM part WHERE p_partkey < 200),
- r AS (SELECT 'key' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') || CASE WHEN p_partkey % 3 = 0 THEN '_x' ELSE '' END AS k, 'a/' || p_partkey AS path FROM part WHERE p_partkey < 200 AND p_partkey % 5 <> 0)
+@register("fuzzy_key_join", """WITH l AS (SELECT p_partkey, 'key' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS k FROM part),
+ r AS (SELECT 'key' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') || CASE WHEN p_partkey % 3 = 0 THEN '_x' ELSE '' END AS k, 'a/' || p_partkey AS path FROM part WHERE p_size % 5 <> 0)
  SELECT l.p_partkey, r.path FROM l LEFT JOIN r ON contains(r.k, l.k)""")
 def fuzzy_key_join(s, d):
-    p = part(s, d).where("p_partkey < 200")
+    p = part(s, d)
     key = F.concat(F.lit("key"), F.lpad(F.col("p_partkey").cast("string"), 6, "0"))
-    right = p.where("p_partkey % 5 <> 0").select(F.concat(key, F.when(F.col("p_partkey") % 3 == 0, "_x").otherwise("")).alias("rk"), F.concat(F.lit("a/"), F.col("p_partkey").cast("string")).alias("path"))
+    right = p.where("p_size % 5 <> 0").select(F.concat(key, F.when(F.col("p_partkey") % 3 == 0, "_x").otherwise("")).alias("rk"), F.concat(F.lit("a/"), F.col("p_partkey").cast("string")).alias("path"))
     return composites.fuzzy_key_join(p.select("p_partkey", key.alias("k")), right, "k", "rk", "path").select("p_partkey", "path")
 
 
@@ -41,9 +41,9 @@ def plan_lookup(s, d):
 
 @register("calendar_fill")
 def calendar_fill(s, d):
-    slots = part(s, d).where("p_partkey < 60").select(F.col("p_partkey").alias("slot"), F.col("p_type").alias("topic"))
-    shorts = part(s, d).where("p_partkey between 100 and 150").select(F.col("p_partkey").cast("string").alias("short_id"), F.col("p_type").alias("topic"), F.col("p_partkey").alias("place"))
-    return composites.calendar(slots, shorts)
+    slots = part(s, d).select("p_brand", F.col("p_partkey").alias("slot"), F.concat(F.lit("t"), F.col("p_size") % 5).alias("topic"))
+    shorts = part(s, d).select("p_brand", F.col("p_partkey").cast("string").alias("short_id"), F.concat(F.lit("t"), F.col("p_partkey") % 7).alias("topic"), F.col("p_size").alias("place"))
+    return composites.calendar(slots, shorts, ["p_brand"])
 
 
 @register("audio_quality", """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings), q AS (SELECT vec_id, sqrt(list_sum(list_transform(x, lambda y: y * y)) / len(x)) AS rms, list_sort(list_transform(x, lambda y: abs(y)))[greatest(1, CAST(ceil(len(x) * 0.2) AS INTEGER))] AS noise FROM v)
@@ -117,14 +117,18 @@ def seed_resolution(s, d):
     return vectors.knn(e, q, 5, "vec_id", exclude=7).select("vec_id", F.round("score", 6).alias("score"))
 
 
-@register("community_samples", "WITH c AS (SELECT vec_id AS id, label AS component FROM embeddings), t AS (SELECT component FROM c GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 3), r AS (SELECT component, id, row_number() OVER (PARTITION BY component ORDER BY id) AS n FROM c JOIN documents ON doc_id = id WHERE component IN (SELECT component FROM t)) SELECT component, CAST(n AS INTEGER) AS nth, substr(text, 1, 20) AS text FROM r JOIN documents ON doc_id = id WHERE n <= 2")
+@register("community_samples", "WITH c AS (SELECT vec_id AS id, label AS component FROM embeddings), t AS (SELECT component FROM c GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 3), r AS (SELECT component, id, row_number() OVER (PARTITION BY component ORDER BY id) AS n FROM c JOIN documents ON doc_id = id WHERE component IN (SELECT component FROM t)) SELECT component, CAST(n AS INTEGER) AS nth, text FROM r JOIN documents ON doc_id = id WHERE n <= 2")
 def community_samples(s, d):
     c = emb(s, d).select(F.col("vec_id").alias("id"), F.col("label").alias("component"))
-    texts = docs(s, d).select(F.col("doc_id").alias("id"), F.substring("text", 1, 20).alias("text"))
+    texts = docs(s, d).select(F.col("doc_id").alias("id"), "text")
     return graph.community_samples(c, texts, 3, 2)
 
 
-@register("key_times", "SELECT event_id, CAST(ts AS TIMESTAMP) AS at FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events) e")
+_FORMS = ("yyyy_MMdd_HHmmss", "yyyyMMdd_HHmmss", "yyyyMMddHHmmss", "yyyy-MM-dd_HH-mm-ss", "yyyy_MM_dd_HH_mm_ss", "'/m/'yyyy/MM/dd/'a_'HHmmss'.mp4'", "yyyy-MM-dd")
+
+
+@register("key_times", f"SELECT event_id, CASE WHEN event_id % {len(_FORMS)} < {len(_FORMS) - 1} THEN date_trunc('second', ts)::TIMESTAMP END AS at FROM events e")
 def key_times(s, d):
-    key = F.concat(F.lit("clip_"), F.date_format("ts", "yyyy_MMdd_HHmmss"), F.lit("_FR"))
+    nth = F.col("event_id") % len(_FORMS)
+    key = F.coalesce(*[F.when(nth == i, F.concat(F.lit("clip_"), F.date_format("ts", form), F.lit("_FR"))) for i, form in enumerate(_FORMS)])
     return events(s, d).select("event_id", X.key_time(key).cast("timestamp_ntz").alias("at"))

@@ -239,12 +239,12 @@ def stall_detection(s, d):
     return incremental.stalled(now, old, "event_type", "n")
 
 
-@register("grid_raster", """WITH b AS (SELECT user_id, event_id * 37 % 80 * 1e0 AS x, event_id * 53 % 60 * 1e0 AS y FROM events WHERE user_id < 20), c AS (
+@register("grid_raster", """WITH b AS (SELECT user_id, event_id * 37 % 80 * 1e0 AS x, event_id * 53 % 60 * 1e0 AS y FROM events), c AS (
    SELECT user_id, x, y, cx, cy FROM b, range(0, 4) t(cx), range(0, 4) u(cy))
  SELECT user_id, CAST(cy AS INTEGER) AS cell_y, CAST(cx AS INTEGER) AS cell_x, round(sum(greatest(0, least(x + 20, (cx + 1) * 25e0) - greatest(x, cx * 25e0)) * greatest(0, least(y + 20, (cy + 1) * 20e0) - greatest(y, cy * 20e0)) / 400), 6) AS value
  FROM c GROUP BY 1, 2, 3 HAVING sum(greatest(0, least(x + 20, (cx + 1) * 25e0) - greatest(x, cx * 25e0)) * greatest(0, least(y + 20, (cy + 1) * 20e0) - greatest(y, cy * 20e0))) > 0""")
 def grid_raster(s, d):
-    e = events(s, d).where("user_id < 20")
+    e = events(s, d)
     x, y = (F.col("event_id") * 37 % 80).cast("double"), (F.col("event_id") * 53 % 60).cast("double")
     got = aggregates.rasterised(e.select("user_id", F.array(x, y, x + 20, y + 20).alias("box")), ["user_id"], "box", 100.0, 80.0, 4, 4)
     return got.withColumn("value", F.round("value", 6))

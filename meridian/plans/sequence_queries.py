@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import exprs as X
 from meridian.operators import intervals, sequence
-from meridian.plans.base import EVENTS, events, load, spans, spans_sql
+from meridian.plans.base import EVENTS, cosine_sql, events, haversine_sql, load, spans, spans_sql
 from meridian.plans.registry import register
 from meridian.streaming import detection
 
@@ -89,10 +89,10 @@ def out_of_order(s, d):
     return intervals.out_of_order(spans(s, d), ["user_id"], "span_id", "start", "stop")
 
 
-@register("chunk_plan", """WITH x AS (SELECT event_id, value * 10 AS dur FROM events WHERE event_id < 500), k AS (SELECT event_id, dur, unnest(range(0, greatest(0, CAST(ceil(dur / 60e0) AS BIGINT) - 1) + 1)) AS chunk FROM x)
+@register("chunk_plan", """WITH x AS (SELECT event_id, value * 10 AS dur FROM events), k AS (SELECT event_id, dur, unnest(range(0, greatest(0, CAST(ceil(dur / 60e0) AS BIGINT) - 1) + 1)) AS chunk FROM x)
  SELECT event_id, CAST(chunk AS INTEGER) AS chunk, chunk * 60e0 AS chunk_start, least(dur, chunk * 60e0 + 63e0) AS chunk_stop FROM k""")
 def chunk_plan(s, d):
-    e = events(s, d).where("event_id < 500").select("event_id", (F.col("value") * 10).alias("dur"))
+    e = events(s, d).select("event_id", (F.col("value") * 10).alias("dur"))
     return intervals.chunk_plan(e, "dur").select("event_id", "chunk", "chunk_start", "chunk_stop")
 
 
@@ -110,11 +110,11 @@ def word_chunks(s, d):
     return got.select("doc_id", "chunk", F.md5("chunk_text").alias("digest"))
 
 
-@register("words_with_timing", r"""WITH w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS w FROM conversations WHERE conv_id < 20),
+@register("words_with_timing", r"""WITH w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS w FROM conversations),
  l AS (SELECT *, list_transform(w, lambda x: length(x)) AS n FROM w), e AS (SELECT conv_id, turn, unnest(range(0, len(w))) AS pos, w, n FROM l)
  SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos, w[pos + 1] AS word, round(10e0 * coalesce(list_sum(n[1:pos]), 0) / list_sum(n), 6) AS word_start, round(10e0 * (coalesce(list_sum(n[1:pos]), 0) + n[pos + 1]) / list_sum(n), 6) AS word_stop FROM e""")
 def words_with_timing(s, d):
-    c = load("conversations")(s, d).where("conv_id < 20").withColumn("a", F.lit(0.0)).withColumn("b", F.lit(10.0))
+    c = load("conversations")(s, d).withColumn("a", F.lit(0.0)).withColumn("b", F.lit(10.0))
     got = intervals.words_with_timing(c, "text", "a", "b")
     return got.select("conv_id", "turn", "pos", "word", F.round("word_start", 6).alias("word_start"), F.round("word_stop", 6).alias("word_stop"))
 
@@ -133,13 +133,25 @@ def speed_gate(s, d):
     return sequence.sequential(e, ["user_id"], ["t", "event_id"], step, "kept", "boolean").select("event_id", "kept")
 
 
-@register("gps_speed_gate")
+_FIXES = f"o AS (SELECT event_id, user_id, t, lat, lon, value, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS n FROM {EVENTS} e)"
+_METRES = haversine_sql("w.la", "w.lo", "o.lat", "o.lon")
+
+
+@register("gps_speed_gate", f"""WITH RECURSIVE {_FIXES},
+ w AS (SELECT event_id, user_id, n, t AS kt, lat AS la, lon AS lo, true AS kept FROM o WHERE n = 1
+   UNION ALL SELECT o.event_id, o.user_id, o.n, CASE WHEN ok THEN o.t ELSE w.kt END, CASE WHEN ok THEN o.lat ELSE w.la END, CASE WHEN ok THEN o.lon ELSE w.lo END, ok
+   FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1, LATERAL (SELECT o.t > w.kt AND {_METRES} / (o.t - w.kt) <= 0.5 AS ok) k)
+ SELECT event_id, kept FROM w""")
 def gps_speed_gate(s, d):
     e = events(s, d).select("event_id", "user_id", "t", "lat", "lon")
     return sequence.speed_gate(e, ["user_id"], ["t", "event_id"], "t", "lat", "lon", 0.5).select("event_id", "kept")
 
 
-@register("plausible_fixes")
+@register("plausible_fixes", f"""WITH RECURSIVE {_FIXES},
+ w AS (SELECT event_id, user_id, n, CASE WHEN value BETWEEN 0 AND 60 THEN lat END AS la, CASE WHEN value BETWEEN 0 AND 60 THEN lon END AS lo, value BETWEEN 0 AND 60 AS kept FROM o WHERE n = 1
+   UNION ALL SELECT o.event_id, o.user_id, o.n, CASE WHEN ok THEN o.lat ELSE w.la END, CASE WHEN ok THEN o.lon ELSE w.lo END, ok
+   FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1, LATERAL (SELECT o.value BETWEEN 0 AND 60 AND (w.la IS NULL OR {_METRES} <= 8000) AS ok) k)
+ SELECT event_id, kept FROM w""")
 def plausible_fixes(s, d):
     e = events(s, d).select("event_id", "user_id", "t", "lat", "lon", F.col("value").alias("mph"))
     return sequence.plausible_fixes(e, ["user_id"], ["t", "event_id"], "lat", "lon", "mph", 8000.0, 60.0).select("event_id", "kept")
@@ -155,16 +167,23 @@ def spacing_filter(s, d):
     return sequence.spacing_filter(e, ["user_id"], ["shuffled", "event_id"], "t", 6.0, 8.0, 4).select("event_id", "kept")
 
 
-@register("greedy_suppression")
+@register("greedy_suppression", f"""WITH RECURSIVE o AS (SELECT event_id, user_id, t, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS n FROM {EVENTS} e),
+ w AS (SELECT event_id, user_id, n, [t] AS kept_at, true AS kept FROM o WHERE n = 1
+   UNION ALL SELECT o.event_id, o.user_id, o.n, CASE WHEN ok THEN list_append(w.kept_at, o.t) ELSE w.kept_at END, ok
+   FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1, LATERAL (SELECT len(w.kept_at) < 5 AND list_min(list_transform(w.kept_at, lambda x: abs(x - o.t))) >= {DAY!r}e0 AS ok) k)
+ SELECT event_id, kept FROM w""")
 def greedy_suppression(s, d):
     e = events(s, d).select("event_id", "user_id", "t", "value")
     return sequence.suppressed(e, ["user_id"], "value", "t", "event_id", DAY, 5).select("event_id", "kept")
 
 
-@register("consecutive_distinct")
+@register("consecutive_distinct", f"""WITH RECURSIVE o AS (SELECT vec_id, label, embedding AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n FROM embeddings),
+ w AS (SELECT vec_id, label, n, v, true AS kept FROM o WHERE n = 1
+   UNION ALL SELECT o.vec_id, o.label, o.n, CASE WHEN ok THEN o.v ELSE w.v END, ok FROM w JOIN o ON o.label = w.label AND o.n = w.n + 1, LATERAL (SELECT {cosine_sql('o.v', 'w.v')} < 0.1 AS ok) k)
+ SELECT vec_id, kept FROM w""")
 def consecutive_distinct(s, d):
-    e = load("embeddings")(s, d).select("vec_id", "label", F.slice("embedding", 1, 3).alias("v"))
-    return sequence.consecutive_distinct(e, ["label"], ["vec_id"], "v", 0.5).select("vec_id", "kept")
+    e = load("embeddings")(s, d).select("vec_id", "label", F.col("embedding").alias("v"))
+    return sequence.consecutive_distinct(e, ["label"], ["vec_id"], "v", 0.1).select("vec_id", "kept")
 
 
 @register("box_tracks")
@@ -211,7 +230,15 @@ def quota_per_kind(s, d):
     return events(s, d).select("event_id", "event_type").withColumn("n", nth).where("n <= 7").select("event_id")
 
 
-@register("detection_state_machine")
+@register("detection_state_machine", f"""WITH RECURSIVE o AS (SELECT 'cam' || user_id % 8 AS camera_id, t, value > 5 AS hit, row_number() OVER (PARTITION BY user_id % 8 ORDER BY t, value > 5 DESC) AS n FROM {EVENTS} e),
+ w AS (SELECT camera_id, n, hit::INT AS pending, NULL::DOUBLE AS opened, NULL::DOUBLE AS seen, 0 AS frames, NULL::DOUBLE AS ended, NULL::DOUBLE AS start, NULL::DOUBLE AS last_seen, 0 AS many FROM o WHERE n = 1
+   UNION ALL SELECT o.camera_id, o.n, p, CASE WHEN opens THEN o.t WHEN closes THEN NULL ELSE w.opened END, CASE WHEN opens OR (o.hit AND w.opened IS NOT NULL) THEN o.t WHEN closes THEN NULL ELSE w.seen END,
+     CASE WHEN opens THEN 1 WHEN closes THEN 0 WHEN o.hit AND w.opened IS NOT NULL THEN w.frames + 1 ELSE w.frames END, CASE WHEN closes THEN o.t ELSE w.ended END,
+     CASE WHEN closes THEN w.opened END, CASE WHEN closes THEN w.seen END, CASE WHEN closes THEN w.frames ELSE 0 END
+   FROM w JOIN o ON o.camera_id = w.camera_id AND o.n = w.n + 1, LATERAL (SELECT CASE WHEN o.hit THEN w.pending + 1 ELSE 0 END AS p,
+     o.hit AND w.opened IS NULL AND w.pending + 1 >= 2 AND (w.ended IS NULL OR o.t - w.ended >= 3600) AS opens, NOT o.hit AND w.opened IS NOT NULL AND o.t - w.seen > 7200 AS closes) k)
+ SELECT camera_id, round(start, 3) AS start, round(last_seen, 3) AS last_seen, many AS frames FROM w WHERE start IS NOT NULL
+ UNION ALL SELECT camera_id, round(opened, 3), round(seen, 3), frames FROM w WHERE opened IS NOT NULL AND n = (SELECT max(n) FROM o WHERE o.camera_id = w.camera_id)""")
 def detection_state_machine(s, d):
     e = events(s, d)
     frames = e.select(F.concat(F.lit("cam"), (F.col("user_id") % 8).cast("string")).alias("camera_id"), F.col("t").alias("ts"), F.when(F.col("value") > 5, 1).otherwise(0).alias("n_detections"))
@@ -232,8 +259,17 @@ def session_windows(s, d):
     return e.groupBy("user_id", F.session_window("ts", "12 hours").alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@register("location_repair", """WITH r AS (SELECT event_id, CASE WHEN value * 3 BETWEEN -90 AND 90 THEN value * 3 END AS la, CASE WHEN value * 5 BETWEEN -180 AND 180 THEN value * 5 END AS lo, value FROM events)
- SELECT event_id, la AS lat, CASE WHEN lo > 0 THEN -lo ELSE lo END AS lon, concat_ws(',', CASE WHEN la IS NULL THEN 'BAD_LAT' END, CASE WHEN lo IS NULL THEN 'BAD_LON' END, CASE WHEN lo > 0 THEN 'FIXED_WEST' END) AS flags FROM r""")
+_PAIR = "(SELECT event_id, event_id % 2 = 0 AS boxed, CASE event_id % 3 WHEN 0 THEN 35.5e0 WHEN 1 THEN -110.5e0 ELSE value * 3 END AS lat, CASE event_id % 3 WHEN 0 THEN 110.5e0 WHEN 1 THEN 35.5e0 ELSE value * 5 END AS lon FROM events)"
+
+
+@register("location_repair", f"""WITH r AS (SELECT event_id, boxed, CASE WHEN lat BETWEEN -90 AND 90 THEN lat END AS la, CASE WHEN lon BETWEEN -180 AND 180 THEN lon END AS lo FROM {_PAIR} p),
+ w AS (SELECT *, coalesce(la IS NOT NULL AND lo > 0 AND CASE WHEN boxed THEN la BETWEEN 30 AND 40 AND -lo BETWEEN -120 AND -100 ELSE lo BETWEEN 20 AND 170 END, false) AS west FROM r),
+ x AS (SELECT event_id, boxed, la, west, CASE WHEN west THEN -lo ELSE lo END AS lo FROM w),
+ y AS (SELECT *, coalesce(boxed AND NOT (la BETWEEN 30 AND 40 AND lo BETWEEN -120 AND -100) AND lo BETWEEN 30 AND 40 AND la BETWEEN -120 AND -100, false) AS swap FROM x)
+ SELECT event_id, CASE WHEN swap THEN lo ELSE la END AS lat, CASE WHEN swap THEN la ELSE lo END AS lon, concat_ws(',', CASE WHEN west THEN 'FIXED_WEST' END, CASE WHEN swap THEN 'SWAPPED' END) AS flags FROM y""")
 def location_repair(s, d):
-    p = X.repaired_point(F.col("value") * 3, F.col("value") * 5)
-    return events(s, d).select("event_id", p.alias("p")).select("event_id", "p.lat", "p.lon", F.array_join("p.flags", ",").alias("flags"))
+    pick = lambda a, b, c: F.when(F.col("event_id") % 3 == 0, a).when(F.col("event_id") % 3 == 1, b).otherwise(c)
+    e = events(s, d).select("event_id", pick(35.5, -110.5, F.col("value") * 3).alias("lat"), pick(110.5, 35.5, F.col("value") * 5).alias("lon"))
+    boxed, free = X.repaired_point(F.col("lat"), F.col("lon"), box=(30, 40, -120, -100)), X.repaired_point(F.col("lat"), F.col("lon"))
+    p = F.when(F.col("event_id") % 2 == 0, boxed).otherwise(free)
+    return e.select("event_id", p.alias("p")).select("event_id", "p.lat", "p.lon", F.array_join("p.flags", ",").alias("flags"))

@@ -30,9 +30,9 @@ def semi_join(s, d):
     return customer(s, d).join(orders(s, d).where("o_totalprice > 400000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
 
 
-@register("anti_join", "SELECT s_suppkey FROM supplier WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_orderkey < 50)")
+@register("anti_join", "SELECT s_suppkey FROM supplier WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity * l_discount > 4.9)")
 def anti_join(s, d):
-    return supplier(s, d).join(lineitem(s, d).where("l_orderkey < 50"), F.col("l_suppkey") == F.col("s_suppkey"), "left_anti").select("s_suppkey")
+    return supplier(s, d).join(lineitem(s, d).where("l_quantity * l_discount > 4.9"), F.col("l_suppkey") == F.col("s_suppkey"), "left_anti").select("s_suppkey")
 
 
 @register("optional_filters", "SELECT event_id FROM events WHERE event_type IN ('view', 'click') AND value >= 10 AND contains(props, '7')")

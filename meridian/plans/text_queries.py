@@ -19,7 +19,7 @@ _BM = f"""w AS (SELECT doc_id AS id, {WORDS} AS t FROM documents),
 
 
 def _bm25(s, d, k):
-    return search.bm25(docs(s, d), "the with", 100_000, "doc_id").select("id", F.round("score", 6).alias("score")).orderBy(F.col("score").desc(), "id").limit(k)
+    return search.bm25(docs(s, d), "the with", None, "doc_id").select("id", F.round("score", 6).alias("score")).orderBy(F.col("score").desc(), "id").limit(k)
 
 
 @register("bm25_topk", f"WITH {_BM} SELECT id, score FROM bm ORDER BY score DESC, id LIMIT 20")
@@ -36,10 +36,10 @@ def rrf_hybrid(s, d):
     return search.fused({"text": _bm25(s, d, 20), "vector": near}, 25).withColumn("score", F.round("score", 9))
 
 
-@register("inverted_index", f"SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT id, term, count(*) AS tf FROM (SELECT doc_id AS id, unnest({WORDS}) AS term FROM documents) x GROUP BY 1, 2) y GROUP BY term HAVING count(*) >= 50")
+@register("inverted_index", f"SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT id, term, count(*) AS tf FROM (SELECT doc_id AS id, unnest({WORDS}) AS term FROM documents) x GROUP BY 1, 2) y GROUP BY term")
 def inverted_index(s, d):
     ix = search.inverted_index(docs(s, d), "doc_id")
-    return ix.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).where("df >= 50")
+    return ix.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
 @register("context_window", "SELECT conv_id, start, text, stop FROM (SELECT conv_id, turn * 30e0 AS start, text, max(turn * 30e0 + 25) AS stop FROM conversations WHERE conv_id = 3 AND turn * 30e0 <= 105 AND turn * 30e0 + 25 >= -15 GROUP BY 1, 2, 3) x ORDER BY start, text LIMIT 5")
@@ -48,9 +48,9 @@ def context_window(s, d):
     return search.context([c.where("role = 'user'"), c.where("role <> 'user'")], "conv_id", 3, 45.0, 60.0, 5)
 
 
-@register("rag_context", f"WITH {_BM}, h AS (SELECT id, score FROM bm ORDER BY score DESC, id LIMIT 4) SELECT string_agg('[' || n || '] ' || substr(text, 1, 80), chr(10) ORDER BY n) AS context FROM (SELECT row_number() OVER (ORDER BY score DESC, id) AS n, text FROM h JOIN documents ON doc_id = id) x")
+@register("rag_context", f"WITH {_BM}, h AS (SELECT id, score FROM bm ORDER BY score DESC, id LIMIT 4) SELECT string_agg('[' || n || '] ' || text, chr(10) ORDER BY n) AS context FROM (SELECT row_number() OVER (ORDER BY score DESC, id) AS n, text FROM h JOIN documents ON doc_id = id) x")
 def rag_context(s, d):
-    hits = _bm25(s, d, 4).join(docs(s, d).select(F.col("doc_id").alias("id"), F.substring("text", 1, 80).alias("text")), "id")
+    hits = _bm25(s, d, 4).join(docs(s, d).select(F.col("doc_id").alias("id"), "text"), "id")
     return search.passages(hits, "text", 4)
 
 
@@ -63,12 +63,12 @@ def lexical_join(s, d):
     return search.vocabulary_links(docs(s, d), names, "doc_id", "text", "name_id", "name", 2)
 
 
-@register("propagate_1hop", """WITH dir AS (SELECT DISTINCT o_custkey AS item, l_suppkey AS node FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey < 50),
+@register("propagate_1hop", """WITH dir AS (SELECT DISTINCT o_custkey AS item, l_suppkey AS node FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
  e AS (SELECT a.l_suppkey AS src, b.l_suppkey AS dst, count(*) AS w FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey GROUP BY 1, 2 HAVING count(*) >= 28)
  SELECT DISTINCT dir.item, e.dst AS node FROM dir JOIN e ON e.src = dir.node WHERE NOT EXISTS (SELECT 1 FROM dir x WHERE x.item = dir.item AND x.node = e.dst)""")
 def propagate_1hop(s, d):
     o, li = load("orders")(s, d), load("lineitem")(s, d).select("l_orderkey", "l_suppkey")
-    direct = o.where("o_custkey < 50").join(li, o.o_orderkey == li.l_orderkey).select(F.col("o_custkey").alias("item"), F.col("l_suppkey").alias("node")).distinct()
+    direct = o.join(li, o.o_orderkey == li.l_orderkey).select(F.col("o_custkey").alias("item"), F.col("l_suppkey").alias("node")).distinct()
     other = li.select("l_orderkey", F.col("l_suppkey").alias("dst"))
     edges = li.join(other, "l_orderkey").where("l_suppkey <> dst").groupBy(F.col("l_suppkey").alias("src"), "dst").agg(F.count("*").alias("weight"))
     return search.propagated(direct, edges, "item", "node", 28)
@@ -80,11 +80,15 @@ def token_labels(s, d):
     return aggregates.label_keywords(docs(s, d), "lang", search.tokens(F.col("text")), ["the", "and", "der", "die", "les", "que"])
 
 
-@register("mention_extract", r"""SELECT conv_id, turn, regexp_matches(coalesce(text, ''), '(?i)(^|[^\pL\pN_])(i|me|my|mine|myself|we|us|our|ours)($|[^\pL\pN_])') AS is_self,
- array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, ''), '\b(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{2,4})\b'))), ',') AS dates FROM conversations""")
+_SPOKEN = "conversations, LATERAL (SELECT coalesce(text, '') || CASE turn % 3 WHEN 0 THEN ' Call me on June 14, 2026 at 10:15:30 pm, or 2026-06-1' || turn % 10 WHEN 1 THEN ' Sept. 3 it was, 7:05 AM' ELSE '' END AS said) t"
+
+
+@register("mention_extract", rf"""SELECT conv_id, turn, regexp_matches(said, '(?i)(^|[^\pL\pN_])(i|me|my|myself|we|us|our)($|[^\pL\pN_])') AS is_self,
+ array_to_string(list_sort(list_distinct(regexp_extract_all(said, '{X.DATES}', 1))), ';') AS dates, array_to_string(list_sort(list_distinct(regexp_extract_all(said, '{X.TIMES}', 1))), ';') AS times FROM {_SPOKEN}""")
 def mention_extract(s, d):
-    m = X.mentions(F.col("text"))
-    return conv(s, d).select("conv_id", "turn", m.is_self.alias("is_self"), F.array_join(m.dates, ",").alias("dates"))
+    late = F.concat(F.lit(" Call me on June 14, 2026 at 10:15:30 pm, or 2026-06-1"), (F.col("turn") % 10).cast("string"))
+    said = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("turn") % 3 == 0, late).when(F.col("turn") % 3 == 1, " Sept. 3 it was, 7:05 AM").otherwise(""))
+    return conv(s, d).select("conv_id", "turn", X.mentions(said).alias("m")).select("conv_id", "turn", "m.is_self", F.array_join("m.dates", ";").alias("dates"), F.array_join("m.times", ";").alias("times"))
 
 
 TOPICS = [("english", r"\bthe\b"), ("german", r"\bder\b"), ("french", r"\bdes\b"), ("symbols", r"[#$%&*]{3}"), ("licence", r"(?i)licen[sc]e"), ("number", r"\d")]
@@ -100,15 +104,22 @@ def route_classify(s, d):
     return docs(s, d).select("doc_id", X.route(F.col("text"), TOPICS[3:], "plain").alias("route"))
 
 
-@register("lyric_rules", r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z'']+'), lambda x: x <> '') AS w, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS l FROM documents WHERE lang = 'en'),
- p AS (SELECT doc_id, greatest(len(w), 1) AS n, w, l, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS b FROM w)
- SELECT doc_id, round(1 - len(list_distinct(b)) / CAST(greatest(len(b), 1) AS DOUBLE), 6) AS repeat,
-   round(len(list_filter(w, lambda x: x IN ('the', 'a', 'an', 'and', 'or', 'of', 'to', 'in', 'is', 'it', 'that', 'i', 'you'))) / CAST(n AS DOUBLE), 6) AS stop,
-   round(least(1e0, len(l) * 6 / CAST(n AS DOUBLE)), 6) AS breaks FROM p""")
+_STOP = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
+_COUNTS = "map_values(list_histogram({}))"
+
+
+@register("lyric_rules", rf"""WITH t AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '^[\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}]+|[\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}]+$', '', 'g') AS t FROM documents),
+ w AS (SELECT doc_id, t, regexp_extract_all(t, '[a-z'']+') AS w, list_filter(list_transform(string_split_regex(t, '[\r\n]+'), lambda x: regexp_replace(x, '^[\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}]+|[\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}]+$', '', 'g')), lambda x: x <> '') AS l FROM t),
+ p AS (SELECT *, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS b, list_transform(list_filter(l, lambda x: length(x) >= 3), lambda x: right(x, 3)) AS e FROM w),
+ f AS (SELECT doc_id, least(1e0, 3 * coalesce(list_sum(list_filter({_COUNTS.format('b')}, lambda v: v > 1)), 0) / CAST(greatest(len(b), 1) AS DOUBLE)) AS repetition,
+   least(1e0, coalesce(list_max({_COUNTS.format('e')}), 0) / CAST(greatest(len(l), 1) AS DOUBLE)) AS rhyme,
+   CASE WHEN t = '' THEN 0 ELSE greatest(0, 0.4e0 - len(list_filter(w, lambda x: x IN ({_STOP}))) / CAST(greatest(len(w), 1) AS DOUBLE)) / 0.4e0 END AS stopwords,
+   CASE WHEN regexp_matches(t, '(^|[^\pL\pN_])(la+|na+|yeah+|ooh+|mmm+)($|[^\pL\pN_])') THEN 1e0 ELSE 0 END AS lala, least(1e0, greatest(len(l) - 1, 0) / greatest(1, length(t) / 80e0)) AS linebreak FROM p)
+ SELECT doc_id, round(repetition, 6) AS repetition, round(rhyme, 6) AS rhyme, round(stopwords, 6) AS stopwords, lala, round(linebreak, 6) AS linebreak,
+   round(0.25 * repetition + 0.25 * rhyme + 0.2 * lala + 0.15 * linebreak + 0.15 * stopwords, 6) AS score FROM f""")
 def lyric_rules(s, d):
-    f = X.lyric_features(F.col("text"))
-    got = docs(s, d).where("lang = 'en'").select("doc_id", f.alias("f"))
-    return got.select("doc_id", *[F.round(f"f.{c}", 6).alias(c) for c in ("repeat", "stop", "breaks")])
+    got = docs(s, d).select("doc_id", X.lyric_features(F.col("text")).alias("f"))
+    return got.select("doc_id", "f.lala", *[F.round(f"f.{c}", 6).alias(c) for c in ("repetition", "rhyme", "stopwords", "linebreak", "score")])
 
 
 @register("ensemble_verdict", """WITH s AS (SELECT event_id, 0.5e0 * (value / 50) + 0.4e0 * (event_id % 100 / 100e0) + 0.1e0 * (event_id % 7 / 7e0) AS score FROM events)
@@ -118,16 +129,23 @@ def ensemble_verdict(s, d):
     return load("events")(s, d).select("event_id", v.alias("v")).select("event_id", F.round("v.score", 6).alias("score"), "v.verdict")
 
 
-@register("json_payload_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+@register("json_payload_parse", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, '1.0' AS version, 'brace } and "quote" ' || event_id AS summary, CASE event_id % 3 WHEN 0 THEN 'high' ELSE 'medium' END AS priority,
+ least(1e0, event_id % 5 / 2e0) AS confidence, [event_id % 4, 7] AS depths FROM events""")
 def json_payload_parse(s, d):
-    return load("events")(s, d).select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
+    e = load("events")(s, d)
+    tasks = F.concat(F.lit(', "tasks": [{"title": "", "description": " "}, {"title": " Do it ", "priority": "'), F.when(F.col("event_id") % 3 == 0, " HIGH ").otherwise("soon"), F.lit('", "agent": {"confidence": '), (F.col("event_id") % 5 / F.lit(2.0)).cast("string"), F.lit("}}]"))
+    deep = F.concat(F.lit(', "places": ["'), (F.col("event_id") % 4).cast("string"), F.lit('", "7"], "more": {"a": {"b": {"c": {"d": [{}]}}}}'))
+    text = F.concat(F.lit('Sure: ```json\n{"summary": "brace } and \\"quote\\" '), F.col("event_id").cast("string"), F.lit('", "quality_notes": "'), F.from_json("props", "k int").getField("k").cast("string"), F.lit('"'), tasks, deep, F.lit("} and {more}\n```"))
+    p = e.select("event_id", X.payload(text).alias("p"))
+    return p.select("event_id", F.col("p.quality_notes").cast("int").alias("k"), "p.version", "p.summary", F.col("p.tasks")[0]["priority"].alias("priority"), F.col("p.tasks")[0]["agent"]["confidence"].alias("confidence"), F.transform("p.places", lambda v: v.cast("long")).alias("depths"))
 
 
-@register("python_repr_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 2 = 0 AS moving FROM events")
+@register("python_repr_parse", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 2 = 0 AS moving, CASE event_id % 3 WHEN 0 THEN 'it''s True, None' WHEN 1 THEN 'say "no"' END AS note FROM events""")
 def python_repr_parse(s, d):
-    text = F.concat(F.lit("{'k': "), F.from_json("props", "k int").getField("k").cast("string"), F.when(F.col("event_id") % 2 == 0, ", 'moving': True").otherwise(", 'moving': False"), F.lit(", 'note': None}"))
+    note = F.when(F.col("event_id") % 3 == 0, "\"it's True, None\"").when(F.col("event_id") % 3 == 1, "'say \"no\"'").otherwise("None")
+    text = F.concat(F.lit("{'k': "), F.from_json("props", "k int").getField("k").cast("string"), F.when(F.col("event_id") % 2 == 0, ", 'moving': True").otherwise(", 'moving': False"), F.lit(", 'note': "), note, F.lit("}"))
     p = F.from_json(X.python_repr_to_json(text), "k int, moving boolean, note string")
-    return load("events")(s, d).select("event_id", p.alias("p")).select("event_id", "p.k", "p.moving")
+    return load("events")(s, d).select("event_id", p.alias("p")).select("event_id", "p.k", "p.moving", "p.note")
 
 
 @register("html_title", r"SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages")

@@ -94,7 +94,8 @@ def nearest_of_few(s, d):
     return got.select("event_id", "region_id", F.round("distance", 3).alias("distance"))
 
 
-_BOX = X.bounding_box(-40.0, 20.0, 2_000_000.0)
+_HALF = X.half_extent(2_000_000.0, -40.0)
+_BOX = (-40.0 - _HALF[0], -40.0 + _HALF[0], 20.0 - _HALF[1], 20.0 + _HALF[1])
 _BOX_SQL = f"lat BETWEEN {_BOX[0]!r} AND {_BOX[1]!r} AND lon BETWEEN {_BOX[2]!r} AND {_BOX[3]!r}"
 
 

@@ -168,13 +168,21 @@ def ndcg_overlap(s, d):
     return _rounded(vectors.retrieval_agreement(again(got), again(ref), "query", "item", "rank", 10), "ndcg_agreement", "jaccard")
 
 
-@register("connected_components")
+_LINKED = f"""p AS (SELECT x.vec_id AS a, y.vec_id AS b, {cosine_sql('x.embedding', 'y.embedding')} AS score FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id WHERE {cosine_sql('x.embedding', 'y.embedding')} >= 0.35),
+ e AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r(id, n) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.n),
+ c AS (SELECT id, min(n) AS component FROM r GROUP BY id)"""
+
+
+@register("connected_components", f"WITH RECURSIVE {_LINKED} SELECT id, component FROM c")
 def connected_components(s, d):
     pairs = vectors.near_duplicate_pairs(emb(s, d), 0.35, "vec_id")
     return graph.connected_components(pairs, "a", "b")
 
 
-@register("cluster_finalise")
+@register("cluster_finalise", f"""WITH RECURSIVE {_LINKED}, g AS (SELECT component, md5(string_agg(CAST(id AS VARCHAR), '|' ORDER BY CAST(id AS VARCHAR))) AS cluster_id, count(*) AS size FROM c GROUP BY 1),
+ i AS (SELECT component, count(*) AS n, min(score) AS least FROM p JOIN c ON p.a = c.id GROUP BY 1),
+ f AS (SELECT cluster_id, size, CASE WHEN n = size * (size - 1) / 2 THEN least ELSE 0 END AS confidence FROM g JOIN i USING (component))
+ SELECT cluster_id, size, round(confidence, 6) AS confidence, CASE WHEN confidence >= 0.36 THEN 'confirmed' ELSE 'tentative' END AS status FROM f""")
 def cluster_finalise(s, d):
     pairs = vectors.near_duplicate_pairs(emb(s, d), 0.35, "vec_id")
     members = graph.connected_components(pairs, "a", "b").withColumnRenamed("component", "label")

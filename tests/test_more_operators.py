@@ -54,9 +54,10 @@ def test_fuzzy_keys_and_calendar(spark):
     right = spark.createDataFrame([("2025_0101", "a/b/1"), ("2025_0101", "a/1"), ("2025_0202", "c/2")], "rk string, path string")
     got = {r.k: r.path for r in composites.fuzzy_key_join(left, right, "k", "rk", "path").collect()}
     assert got == {"2025_0101": "a/1", "2025_0202_x": "c/2", "nothing_here": None}
-    slots = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, "z")], "slot int, topic string")
-    shorts = spark.createDataFrame([("s1", "y", 0), ("s2", "x", 1), ("s3", "q", 2)], "short_id string, topic string, place int")
-    assert {r.slot: r.short for r in composites.calendar(slots, shorts).collect()} == {1: "s2", 2: "s1", 3: "s3", 4: None}
+    slots = spark.createDataFrame([("c", 1, "x"), ("c", 2, "y"), ("c", 3, "x"), ("c", 4, "z"), ("d", 1, "x")], "k string, slot int, topic string")
+    shorts = spark.createDataFrame([("c", "s1", "y", 0), ("c", "s2", "x", 1), ("c", "s3", "q", 2), ("e", "s4", "x", 0)], "k string, short_id string, topic string, place int")
+    got = {(r.k, r.slot): r.short for r in composites.calendar(slots, shorts, ["k"]).collect()}
+    assert got == {("c", 1): "s2", ("c", 2): "s1", ("c", 3): "s3", ("c", 4): None, ("d", 1): None}
 
 
 def test_suppression_tracks_and_copies(spark):

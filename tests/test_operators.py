@@ -19,8 +19,23 @@ def one(spark, *cols):
 def test_geometry(spark):
     r = one(spark, X.haversine(0.0, 0.0, 1.0, 0.0), X.box_overlap_area(F.array(*map(F.lit, (0.0, 0.0, 10.0, 10.0))), F.array(*map(F.lit, (5.0, 5.0, 15.0, 15.0)))), X.xywh_to_xyxy(50.0, 50.0, 100.0, 100.0))
     assert abs(r.c0 - 111_195) < 1 and r.c1 == 25 and r.c2 == [0, 0, 100, 100]
-    p = one(spark, X.repaired_point(F.lit(35.0), F.lit(120.0)), X.repaired_point(F.lit(999.0), F.lit(0.0)), X.repaired_point(F.lit(-120.0), F.lit(35.0), auto_west=False, allow_swap=True, box=(30, 40, -130, -110)))
-    assert (p.c0.lat, p.c0.lon, p.c0.flags) == (35.0, -120.0, ["FIXED_WEST"]) and p.c1.lat is None and p.c2.lat is None
+
+
+def test_repaired_points(spark):
+    box = (30, 40, -130, -110)  # Fixed values: results by definition.
+    cases = [
+        ((35.0, 120.0), None, (35.0, -120.0, ["FIXED_WEST"])),
+        ((999.0, 0.0), None, (None, 0.0, [])),
+        ((999.0, 120.0), None, (None, 120.0, [])),
+        ((35.0, 5.0), None, (35.0, 5.0, [])),
+        ((35.0, 171.0), None, (35.0, 171.0, [])),
+        ((35.0, 5.0), box, (35.0, 5.0, [])),
+        ((35.0, 120.0), box, (35.0, -120.0, ["FIXED_WEST"])),
+        ((35.0, 100.0), box, (35.0, 100.0, [])),
+        ((-80.0, 35.0), (30, 40, -90, -70), (35.0, -80.0, ["SWAPPED"])),
+    ]
+    got = one(spark, *[X.repaired_point(F.lit(la), F.lit(lo), box=b) for (la, lo), b, _ in cases])
+    assert [(p.lat, p.lon, p.flags) for p in got] == [want for *_, want in cases]
 
 
 def test_vectors_and_intervals(spark):
@@ -43,6 +58,68 @@ def test_numbers_and_text(spark):
     assert m.c0.is_self and m.c1.dates == ["2026-06-14"] and m.c1.times == ["3:30pm"] and not m.c2.is_self and not m.c2.dates
 
 
+def test_stamps_in_names(spark):
+    keys = ["20250202171732_x", "a/20250202_171732.mp4", "2025-02-02_17-17-32", "2025_02_02_17_17_32_F", "/v/2025/02/02/cam_171732.mp4", "/v/2025/02/02/cam_1717320.mp4", "2025-02-02", "20259999999999 2025_0202_171732", ""]
+    got = one(spark, *[X.key_time(F.lit(k)) for k in keys])
+    assert [str(t) if t else None for t in got] == ["2025-02-02 17:17:32"] * 5 + [None, None, "2025-02-02 17:17:32", None]
+
+
+def test_json_in_text(spark):
+    cases = {
+        '{"a":{"b":{"c":{"d":1}}}}': '{"a":{"b":{"c":{"d":1}}}}',
+        '```json\n{"a": "}{"} {"b": 1}\n```': '{"a": "}{"}',
+        'x } {"a": "\\"}"} y': '{"a": "\\"}"}',
+        'a "quoted { brace" {"n": 1}': '{"n": 1}',
+        '{"open": 1': None,
+        '"never closed { }': None,
+        "": None,
+        "{" * 500 + "}" * 500: "{" * 500 + "}" * 500,
+        '{"t": "' + "long " * 20000 + '"}': '{"t": "' + "long " * 20000 + '"}',
+    }
+    assert list(one(spark, *[X.first_json_object(F.lit(k)) for k in cases])) == list(cases.values())
+    p = one(spark, X.payload(F.lit('{"tasks": [{"title": "' + "x" * 200 + '", "priority": "Urgent", "labels": [" a ", "a", ""], "agent": {"confidence": "7"}, "plan": [{"action": "go"}]}, {}]}')), X.payload(F.lit("no object")), X.payload(F.lit(None).cast("string")))
+    t = p.c0.tasks[0]
+    assert len(p.c0.tasks) == 1 and len(t.title) == 140 and (t.priority, t.labels, t.agent.confidence, t.plan[0].step, t.plan[0].tool) == ("urgent", ["a"], 1.0, 1, "")
+    assert p.c0.version == "1.0" and p.c1 == p.c2 and p.c1.tasks == [] and p.c1.summary == ""
+
+
+def test_python_literals_as_json(spark):
+    import json
+
+    cases = [{"a": "it's"}, {"a": 'say "no"'}, {"a": "both ' and \""}, {"True": [True, None, False], "n": -1.5}, {"a": "line\nend\\", "x": "\x00é🙂"}, {"a": "None of 'them'"}]
+    got = one(spark, *[X.python_repr_to_json(F.lit(repr(c))) for c in cases])
+    assert [json.loads(t) for t in got] == cases
+
+
+def test_lyric_rules_by_definition(spark):
+    import re
+    from collections import Counter
+
+    def brute(text):
+        t = text.lower().strip()
+        if not t:
+            return (0.0,) * 6
+        lines, words = [x.strip() for x in re.split(r"[\r\n]+", t) if x.strip()], re.findall("[a-z']+", t)
+        pairs, ends = Counter(zip(words, words[1:])), Counter(x[-3:] for x in lines if len(x) >= 3)
+        rep = min(1.0, 3 * sum(v for v in pairs.values() if v > 1) / max(1, len(words) - 1))
+        rhyme = max(ends.values(), default=0) / max(1, len(lines))
+        stop = max(0.0, 0.4 - sum(w in X.STOP_WORDS for w in words) / max(1, len(words))) / 0.4
+        lala, breaks = float(bool(re.search(X.REFRAIN, t))), min(1.0, (len(lines) - 1) / max(1, len(t) / 80))
+        return rep, rhyme, stop, lala, breaks, min(1.0, 0.25 * rep + 0.25 * rhyme + 0.2 * lala + 0.15 * breaks + 0.15 * stop)
+
+    texts = ["", "  \n ", "La la la\nla la la\nyeah yeah", "The cat sat on the mat and the dog", "mañana\r\nlà-bas", "one two one two one two", "ab\ncd\nef", "oooh " * 40 + "\nend"]
+    got = one(spark, *[X.lyric_features(F.lit(t)) for t in texts])
+    for r, t in zip(got, texts):
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(r, brute(t))), (t, r, brute(t))
+
+
+def test_mentions_by_definition(spark):
+    # Results by definition.
+    m = one(spark, X.mentions(F.lit("June 14, 2026 at 10:15:30 pm")), X.mentions(F.lit("Sept. 3 and sep 3, at 7:05")), X.mentions(F.lit("Mine is ours; myself too")), X.mentions(F.lit("in 12026-06-14")), X.mentions(F.lit(None).cast("string")))
+    assert (m.c0.dates, m.c0.times) == (["June 14, 2026"], ["10:15:30 pm"]) and m.c1.dates == ["Sept. 3", "sep 3"] and m.c1.times == ["7:05"]
+    assert m.c2.is_self and not m.c3.dates and not m.c4.is_self and m.c4.times == []
+
+
 def test_sessions_differ(spark):
     df = spark.createDataFrame([("a", 1, 0.0, 100.0), ("a", 2, 10.0, 20.0), ("a", 3, 90.0, 95.0)], "k string, id int, start double, stop double")
     gap = {r.id: r.session for r in intervals.gap_sessions(df, ["k"], "start", "stop", 30).collect()}
@@ -174,8 +251,42 @@ FRAMES = [("c", 0.0, 1), ("c", 0.02, 1), ("c", 0.5, 0), ("c", 1.2, 0), ("c", 1.5
 def test_detection_machine(spark):
     df = spark.createDataFrame(FRAMES, "camera_id string, ts double, n_detections int")
     got = [(r.start, r.last_seen) for r in detection.events(df).orderBy("start").collect()]
-    assert got == [(0.02, 0.02), (3.1, 3.1)]
+    assert got == [(0.02, 0.02), (3.0, 3.1)]  # positive frames count on through the cooldown
     assert detection.events(df, flush=False).count() == 1
+    assert detection.events(df.limit(0)).count() == 0
+
+
+def test_detection_machine_on_random_frames(spark):
+    import random
+
+    class Machine:
+        """By definition: pending positives, an open event, the last close."""
+
+        def __init__(self, rules):
+            self.rules, self.pending, self.open, self.closed, self.out = rules, 0, None, None, []
+
+        def frame(self, t, hit):
+            self.pending = self.pending + 1 if hit else 0
+            if self.open is None and hit and self.pending >= self.rules.persistence and not (self.closed is not None and t - self.closed < self.rules.cooldown):
+                self.open = [t, t, 0]
+            if self.open is not None and hit:
+                self.open[1:] = t, self.open[2] + 1
+            elif self.open is not None and t - self.open[1] > self.rules.merge:
+                self.out.append(tuple(self.open))
+                self.open, self.closed = None, t
+
+    rng, rows, want = random.Random(3), [], []
+    rules = detection.Rules(2, 1.5, 2.0)
+    for camera in ("a", "b", "c"):
+        t, machine = 0.0, Machine(rules)
+        for _ in range(400):
+            t = round(t + rng.choice([0.1, 0.5, 1.0, 3.0]), 3)
+            n = int(rng.random() < 0.5)
+            rows.append((camera, t, n))
+            machine.frame(t, n > 0)
+        want += [(camera, *e) for e in machine.out + ([tuple(machine.open)] if machine.open else [])]
+    df = spark.createDataFrame(rows, "camera_id string, ts double, n_detections int").repartition(5)
+    assert sorted(tuple(r) for r in detection.events(df, rules).collect()) == sorted(want) and len(want) > 30
 
 
 def test_detection_stream(spark, tmp_path):
