@@ -177,7 +177,7 @@ def fitted_window(nodes: DataFrame, pages: DataFrame, k: int, ix: Index) -> int:
     One pass over all vectors for at most ``sample`` queries, and one over the pages' nodes. Only the sample, its neighbours
     and their ranks come to the driver.
     """
-    asked = [(r.node, bytes(r.v)) for r in nodes.where("isq").orderBy(F.xxhash64("node"), "node").limit(ix.sample).select("node", "v").collect()]
+    asked = [(r.node, bytes(r.v)) for r in nodes.where("isq").orderBy(F.xxhash64("v"), "v").limit(ix.sample).select("node", "v").collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()

@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import textwrap
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -468,14 +470,51 @@ def test_token_files_beyond_the_broadcast_bound(docs, monkeypatch):
     assert sorted((r.start, r.n_tokens, r.ids_crc32) for r in token_files.read_back(token_files.files(docs, layout)).collect()) == want
 
 
+def wrapped(text, width, lead=""):
+    """The text as files carry it: lines of ``width`` signs, each with a comment's lead."""
+    return "\n".join(lead + line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+
 def test_licences(spark, docs, none):
     mit = "MIT LICENCE\n\nCopyright (c) 2020 Someone\nAll rights reserved.\n\n" + licences._MIT.replace(",", "").upper()
-    rows = [(1, mit), (2, "prose\nReleased under the  MIT Licence\nmore"), (3, mit + " extra"), (4, None), (5, "LICENSED UNDER CC BY-NC 4.0!\nThis work is licensed under the GNU General Public License, version 3.")]
-    got = {r.doc_id: (r.licence, r.notices) for r in licences.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ("MIT", ""), 2: (None, "MIT"), 3: (None, ""), 4: (None, ""), 5: (None, "CC-BY-NC-4.0,GPL-3.0")}
+    wide = "Released under the " + "-" * 400 + " MIT License."
+    rows = [
+        (1, mit), (2, "prose\nReleased under the  MIT Licence\nmore"), (3, mit + " extra"), (4, None),
+        (5, "LICENSED UNDER CC BY-NC 4.0!\nThis work is licensed under the GNU General Public License, version 3."), (6, wide), (7, "x\n/*" + "*" * 300 + "/ " + wide),
+        (None, "Released under Apache 2.0"), (None, "Released under Apache 2.0"), (9, "Released under the MIT Licence and more"),
+    ]
+    got = sorted((r.doc_id or 0, r.licence, r.notices) for r in licences.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [
+        (0, None, "Apache-2.0"), (0, None, "Apache-2.0"), (1, "MIT", ""), (2, None, "MIT"), (3, None, ""), (4, None, ""),
+        (5, None, "CC-BY-NC-4.0,GPL-3.0"), (6, None, "MIT"), (7, None, "MIT"), (9, None, ""),
+    ]
     assert licences.scanned(docs).count() == len(ROWS) and licences.scanned(none).count() == 0
 
 
+@pytest.mark.parametrize("width,lead", [(72, ""), (40, " * "), (60, "# "), (1000, "    ")])
+def test_licences_as_files_carry_them(spark, width, lead):
+    holders = ["Copyright (c) 2019-2024, Somebody Else <a@b.c>", "Copyright © Another", "(C) 2001 A Third", "All rights reserved."]
+    rows = [(i, "\n".join(lead + h for h in holders) + "\n\n" + wrapped(text.replace('"', "''"), width, lead)) for i, (_, text) in enumerate(licences.TEXTS)]
+    got = {r.doc_id: r.licence for r in licences.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(licences.TEXTS)} and len(set(got.values())) >= 20
+
+
+def test_full_texts_of_long_licences(spark):
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(name, (folder / file).read_text()) for file, name in names.items() if (folder / file).exists()]
+    if not rows:
+        pytest.skip("no licence texts on this machine")
+    got = licences.scanned(spark.createDataFrame([(i, "\t" + t.upper()) for i, (_, t) in enumerate(rows)], "doc_id long, text string"))
+    assert {r.doc_id: r.licence for r in got.collect()} == {i: name for i, (name, _) in enumerate(rows)}
+
+
+def test_licences_of_a_table_of_ones_own(spark):
+    own = spark.createDataFrame([("House", "You may look, but not touch.")], "licence string, text string")
+    docs = spark.createDataFrame([(1, "YOU MAY LOOK -- but not touch"), (2, "You may touch")], "doc_id long, text string")
+    assert {r.doc_id: r.licence for r in licences.scanned(docs, own).collect()} == {1: "House", 2: None}
+
+
 def test_pipeline(spark, sf):
     corpus = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{sf}/documents.parquet")
