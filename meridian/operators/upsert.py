@@ -96,9 +96,78 @@ def pending_intents(intents: DataFrame, landed: DataFrame, key: str, most_tries:
     return intents.join(landed.select(key).distinct(), key, "left_anti").where((F.col("status") != "done") & (F.col("tries") < most_tries))
 
 
+def file_moves(files: DataFrame, existing: DataFrame, strategy: str = "skip") -> DataFrame:
+    """files (id, path, dst, size, hash) + (action, final): what to do where a destination is taken.
+
+    ``existing`` (path, size, hash) are the files that are there. Of several files with one destination the least id comes
+    first. A file that lies at its destination is left ("same"), a free destination is taken ("move"). Else, by strategy:
+    skip ("duplicate" if size and hash agree, a null hash counting as equal, "exists" otherwise), overwrite, fail (the row
+    raises when it is read), or rename: a number before the extension, the least that gives a free name. A name that another
+    file asks for isn't given away.
+    """
+    if strategy not in ("skip", "overwrite", "fail", "rename"):
+        raise ValueError(f"unknown strategy {strategy}")
+    there = existing.groupBy(F.col("path").alias("__e")).agg(F.first("size").alias("__size"), F.first("hash").alias("__hash"))
+    rows = files.join(there, F.col("dst") == F.col("__e"), "left").withColumn("__same", F.col("path") == F.col("dst"))
+    nth = F.row_number().over(Window.partitionBy("dst").orderBy(~F.coalesce(F.col("__same"), F.lit(False)), "id"))
+    taken = F.col("__e").isNotNull() | (nth > 1)
+    rows = rows.withColumn("__nth", nth).withColumn("__taken", taken)
+    equal = (F.col("size") == F.col("__size")) & F.coalesce(F.col("hash") == F.col("__hash"), F.lit(True))
+    clash = {
+        "skip": F.when(F.coalesce(equal, F.lit(False)), "duplicate").otherwise("exists"),
+        "overwrite": F.lit("overwrite"),
+        "fail": F.raise_error(F.concat(F.lit("destination exists: "), F.col("dst"))).cast("string"),
+        "rename": F.lit("rename"),
+    }[strategy]
+    rows = rows.withColumn("action", F.when(F.col("__same"), "same").when(~F.col("__taken"), "move").otherwise(clash))
+    final = F.when(F.col("action").isin("move", "overwrite"), F.col("dst"))
+    if strategy == "rename":
+        rows = _numbered(rows, existing)
+        final = F.when(F.col("action") == "rename", F.concat("__stem", F.lit("_"), F.col("__k").cast("string"), "__ext")).otherwise(final)
+    return rows.withColumn("final", final).select(*files.columns, "action", "final")
+
+
+def _stem(path: str) -> Column:
+    return F.regexp_replace(path, r"(?<=[^/])\.[^./]*$", "")
+
+
+def _numbered(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """rows + (__stem, __ext, __k): the n-th file of a destination to be renamed takes the n-th number that no name has."""
+    names = existing.select(F.col("path").alias("p")).union(rows.select("dst")).distinct()
+    number = F.regexp_extract(_stem("p"), r"_([1-9][0-9]*)$", 1)
+    used = names.select(F.regexp_replace(_stem("p"), r"_[1-9][0-9]*$", "").alias("__s"), F.substring("p", F.length(_stem("p")) + 1, F.lit(1 << 20)).alias("__x"), number.try_cast("long").alias("n")).where("n IS NOT NULL")
+    used = used.groupBy("__s", "__x").agg(F.array_sort(F.collect_set("n")).alias("__used"))
+    rows = rows.withColumn("__stem", _stem("dst")).withColumn("__ext", F.substring("dst", F.length(_stem("dst")) + 1, F.lit(1 << 20)))
+    order = F.row_number().over(Window.partitionBy("dst", "action").orderBy("__nth")).cast("long")
+    rows = rows.withColumn("__o", order).join(used, (F.col("__stem") == F.col("__s")) & (F.col("__ext") == F.col("__x")), "left")
+    return rows.withColumn("__k", F.aggregate(F.coalesce("__used", F.array().cast("array<bigint>")), F.col("__o"), lambda k, u: F.when(u <= k, k + 1).otherwise(k)))
+
+
 def free_name(names: DataFrame, taken: DataFrame, name: str = "name") -> DataFrame:
-    """names + final: repeated or taken names get a number before the extension."""
-    stem, ext = F.regexp_replace(name, r"\.[^.]*$", ""), F.regexp_extract(name, r"(\.[^.]*)$", 1)
-    have = taken.groupBy(name).agg(F.count("*").alias("__t"))
-    rows = names.join(have, name, "left").withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy("id")) - 1 + F.coalesce("__t", F.lit(0)))
-    return rows.withColumn("final", F.when(F.col("__n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("__n").cast("string"), ext))).drop("__n", "__t")
+    """names (id, name) + final: a taken or repeated name gets the least number that gives a free one."""
+    files = names.select("*", F.lit("").alias("path"), F.col(name).alias("dst"), F.lit(0).alias("size"), F.lit("").alias("hash"))
+    there = taken.select(F.col(name).alias("path"), F.lit(0).alias("size"), F.lit("").alias("hash"))
+    return file_moves(files, there, "rename").select(*names.columns, "final")
+
+
+def outdated(df: DataFrame, version: int, column: str = "schema_version") -> Column:
+    """Rows of an older schema version, or of none."""
+    return F.coalesce(F.col(column), F.lit(-1)) < version
+
+
+def normalised(df: DataFrame, version: int, change: Callable[[DataFrame], DataFrame], column: str = "schema_version") -> DataFrame:
+    """The table after ``change`` has run over the outdated rows alone; they get the new version, others stay as they are."""
+    old = outdated(df, version, column)
+    done = change(df.where(old)).withColumn(column, F.lit(version).cast(df.schema[column].dataType))
+    return df.where(~old).unionByName(done.select(*df.columns))
+
+
+def linked(left: DataFrame, links: DataFrame, right: DataFrame, left_id: str, right_id: str, least: float = 0.0) -> DataFrame:
+    """left joined to another store's rows through a table of links (left_id, right_id, score) with at least that score."""
+    good = links.where(F.col("score") >= least).select(left_id, right_id, "score")
+    return left.join(good, left_id).join(right, right_id)
+
+
+def sample_of(df: DataFrame, n: int, seed: int, keys: list[str]) -> DataFrame:
+    """n rows without replacement, the same for the same seed whatever the partitioning: the least hashes of the keys."""
+    return df.withColumn("__h", F.xxhash64(F.lit(seed), *keys)).orderBy("__h", *keys).limit(n).drop("__h")
