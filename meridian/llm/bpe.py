@@ -3,12 +3,17 @@
 A word's adjacent pairs are leaves that hold (rank, position); inner nodes hold the least of their children, so the root
 is the leftmost pair of lowest rank. A merge sets three leaves, each in logarithmic time, until the root is empty. Words
 repeat, so pieces between white space are kept, up to a bound, with their ids.
+
+Letters, numbers and lower case come from Python's tables where these agree with the vocabulary's library, which is asked
+once for each sign. A text with a sign on which they differ, or that Python's tables don't know, is normalised and split by
+the library; its words are merged here all the same.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import sys
 import unicodedata
 from array import array
@@ -25,9 +30,12 @@ from meridian.llm.common import frugal, table
 
 #: Fixed values of this vocabulary's splitting rule: contractions, runs of letters, single digits, runs of other signs.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+LETTER = regex.compile(r"\p{L}")
 SPACES = regex.compile(r"\s+")
 #: White space to str.split() but not to the vocabulary's rule.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Combining marks of several classes, which tell whether another mark is put in order before or after them.
+MARKS = "\u0334\u3099\u094d\u0327\u0316\u0301\u0345"
 NONE = 1 << 62
 
 
@@ -118,6 +126,47 @@ class WordBpe:
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
         self.keep = keep
+        self.path, self.library = path, None
+        self.safe: set[str] = set()
+
+    def _agrees(self, c: str) -> bool:
+        """Whether this module's Unicode tables treat a sign as the vocabulary's library does.
+
+        A sign that they don't know yet never counts as safe: it might combine with its neighbours.
+        """
+        if self.library is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        if unicodedata.category(c) in ("Cn", "Cs") or (c.isalpha() and not LETTER.match(c)):
+            return False
+        marked = [x for m in MARKS for x in (f"a{c}{m}", f"a{m}{c}")] if unicodedata.combining(c) else []
+        return all(self._split(x) == self._pieces(x) for x in (*marked, c, f"a{c}a", f"1{c}1", f"!{c}!", f"' {c}'s", f"a{c}", f"{c}1"))
+
+    def _split(self, text: str) -> list[str]:
+        """The words by the library's normalizer and splitting rule."""
+        if not text:
+            return []
+        plain = self.library.normalizer.normalize_str(text)
+        return [plain[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+
+    def _chunks(self, text: str) -> list[str]:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        return SPACES.split(text) if any(c in text for c in SEPARATORS) else text.split()
+
+    def _pieces(self, text: str) -> list[str]:
+        return [w for chunk in self._chunks(text) for w in PIECES.findall(chunk)]
+
+    def _odd(self, text: str) -> bool:
+        """Whether a text has a sign on which the tables differ; signs that were found safe are kept."""
+        for c in set(text) - self.safe:
+            if not self._agrees(c):
+                return True
+            self.safe.add(c)
+        return False
 
     def word(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "replace")
@@ -149,11 +198,9 @@ class WordBpe:
         return out
 
     def _plain(self, text: str) -> bytes:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        chunks = SPACES.split(text) if any(c in text for c in SEPARATORS) else text.split()
-        return b"".join([self._piece(c) if (own := self.known.get(c)) is None else own for c in chunks])
+        if not text.isascii() and self._odd(text):
+            return b"".join([self.words.get(w) or self._word(w) for w in self._split(text)])
+        return b"".join([self._piece(c) if (own := self.known.get(c)) is None else own for c in self._chunks(text)])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -180,7 +227,7 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, text, ...) -> (doc_id, ids array<int>); null texts have no ids, repeated rows stay."""
+    """(doc_id, text, ...) -> (doc_id, ids array<int>); null and empty texts have no ids, repeated rows and null ids stay."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,4 +276,6 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
+    """All documents' whole texts, encoded and decoded: null and empty texts have no ids, repeated and null doc_ids keep a row
+    each, an empty table gives no rows, other columns are ignored."""
     return digests(table(spark, sf_dir, "documents"))

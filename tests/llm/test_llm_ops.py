@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import textwrap
 import zlib
 from collections import defaultdict
@@ -426,6 +427,18 @@ def test_bpe_equals_the_library(real, docs, none):
     assert back[7].startswith("ü") or "</w>" in back[7]
 
 
+def test_bpe_on_signs_of_all_planes():
+    from tokenizers import Tokenizer
+
+    path, rng = bpe.default_path(), random.Random(5)
+    library, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    pools = [range(32, 127), range(0x80, 0x250), range(0x250, 0x3000), range(0x3000, 0xD800), range(0xE000, 0x10000), range(0x10000, 0x33480), [9, 10, 13, 32, 0x1C, 0x85, 0xA0, 0x2028, 0x3000, 0x200B]]
+    pools.append([0x558, 0x1C89, 0x1C8A, 0x3262F, 0xA7DA, 0x130, 0x3A3, 0x3C2, 0x1E9E, 0x345, 0x301, 0x327, 0x1ABF, 0x1AC0, 0x8CA])
+    texts = ["".join(chr(rng.choice(rng.choice(pools))) for _ in range(rng.randint(1, 12))) for _ in range(100_000)]
+    for text, want in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == want.ids, ascii(text)
+
+
 def test_segment_tree_merges_leftmost_lowest():
     rng = np.random.default_rng(8)
     pairs = {a << 20 | b: (int(r), 100 + i) for i, (r, (a, b)) in enumerate(zip(rng.permutation(16), [(a, b) for a in range(4) for b in range(4)]))}
