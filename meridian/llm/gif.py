@@ -2,7 +2,7 @@
 
 Writing: samples become indexes of a grey palette in frames 192 pixels wide, compressed with GIF's LZW. Reading: sub-blocks
 are joined, codes of 9 to 12 bits are cut out of a run between clear codes all at once, strings are expanded, and each
-frame is drawn on the canvas under its disposal and transparency rules.
+frame is drawn on the canvas under its disposal and transparency rules; colour histograms are of the canvas as it is shown.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from meridian.llm.common import frugal, stored, table
 
@@ -161,8 +163,10 @@ class Frame:
     palette: np.ndarray
     index: np.ndarray
 
-    def rgb(self) -> np.ndarray:
-        return self.palette[self.index]
+    @property
+    def opaque(self) -> np.ndarray:
+        """The palette with full alpha."""
+        return np.hstack([self.palette, np.full((256, 1), 255, np.uint8)])
 
 
 def _sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -178,11 +182,17 @@ def _colours(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(data[at : at + n], np.uint8).reshape(-1, 3), at + n
 
 
-def read_frames(data: bytes) -> tuple[tuple[int, int], list[Frame]]:
+#: Pixels of a canvas or a frame beyond which a file is not read: a few bytes can ask for any size.
+MOST_PIXELS = 1 << 26
+
+
+def read_frames(data: bytes, most_pixels: int = MOST_PIXELS) -> tuple[tuple[int, int], list[Frame]]:
     """Canvas (width, height) and frames. Indexes beyond a palette are black; short streams leave index 0."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > most_pixels:
+        raise ValueError("canvas too large")
     at, shared, frames, clock = 13, np.zeros((0, 3), np.uint8), [], 0
     if flags & 0x80:
         shared, at = _colours(data, at, flags)
@@ -195,12 +205,16 @@ def read_frames(data: bytes) -> tuple[tuple[int, int], list[Frame]]:
             _, at = _sub_blocks(data, at + 2)
         elif data[at] == 0x2C:
             left, top, w, h, bits = struct.unpack_from("<HHHHB", data, at + 1)
+            if w * h > most_pixels:
+                raise ValueError("frame too large")
             at += 10
             palette = shared
             if bits & 0x80:
                 palette, at = _colours(data, at, bits)
             palette = np.vstack([palette, np.zeros((256 - len(palette), 3), np.uint8)])
             size = data[at]
+            if not 1 <= size <= 8:
+                raise ValueError(f"code size {size}")
             stream, at = _sub_blocks(data, at + 1)
             pixels = np.frombuffer(lzw_decode(stream, size, w * h).ljust(w * h, b"\0"), np.uint8).reshape(h, w)
             if bits & 0x40:
@@ -215,18 +229,21 @@ def read_frames(data: bytes) -> tuple[tuple[int, int], list[Frame]]:
 
 
 def drawn(size: tuple[int, int], frames: list[Frame]) -> Iterator[np.ndarray]:
-    """Each frame's canvas (height, width, 4): disposal 2 clears a frame's area afterwards, 3 puts back what was there."""
+    """Each frame's canvas (height, width, 4): disposal 2 clears a frame's area afterwards, 3 puts back what was there.
+
+    The array is drawn on for the next frame; a caller that keeps it takes a copy.
+    """
     canvas = np.zeros((size[1], size[0], 4), np.uint8)
     for f in frames:
         area = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
         before = area.copy() if f.disposal == 3 else None
         index = f.index[: area.shape[0], : area.shape[1]]
         if f.transparent is None:
-            area[..., :3], area[..., 3] = f.palette[index], 255
+            area[:] = f.opaque[index]
         else:
             seen = index != f.transparent
-            area[seen] = np.concatenate([f.palette[index[seen]], np.full((int(seen.sum()), 1), 255, np.uint8)], axis=1)
-        yield canvas.copy()
+            area[seen] = f.opaque[index[seen]]
+        yield canvas
         if f.disposal == 2:
             area[:] = 0
         elif f.disposal == 3:
@@ -234,19 +251,20 @@ def drawn(size: tuple[int, int], frames: list[Frame]) -> Iterator[np.ndarray]:
 
 
 def read_samples(data: bytes) -> bytes:
-    """The samples that ``write_gif`` stored: the frames' grey levels, through the palette."""
-    return b"".join(f.rgb()[..., 0].tobytes() for f in read_frames(data)[1])
+    """The samples that ``write_gif`` stored: the grey levels of each frame's area on the canvas."""
+    size, frames = read_frames(data)
+    return b"".join(_area(canvas, f)[..., 0].tobytes() for f, canvas in zip(frames, drawn(size, frames)))
+
+
+def _area(canvas: np.ndarray, f: Frame) -> np.ndarray:
+    return canvas[f.top : f.top + f.height, f.left : f.left + f.width]
 
 
-def histogram(data: bytes) -> list[list[int]]:
-    """Red, green and blue counts in 16 bins each, over all frames' pixels."""
-    counts = np.zeros((3, BINS), np.int64)
-    for f in read_frames(data)[1]:
-        seen = f.index if f.transparent is None else f.index[f.index != f.transparent]
-        by_index = np.bincount(seen.ravel(), minlength=256)
-        for c in range(3):
-            counts[c] += np.bincount(f.palette[:, c] >> 4, weights=by_index, minlength=BINS).astype(np.int64)
-    return counts.tolist()
+def histogram(canvas: np.ndarray) -> np.ndarray:
+    """(3, BINS): red, green and blue counts of a canvas's pixels, those that nothing was drawn on left out."""
+    packed = canvas.view("<u4")[..., 0].ravel()
+    shown = packed if (canvas[..., 3] == 255).all() else packed[canvas[..., 3].ravel() == 255]
+    return np.stack([np.bincount((shown >> at & 0xF).astype(np.uint8), minlength=BINS) for at in (4, 12, 20)])
 
 
 def payload(text: str | None) -> tuple[bytes, int]:
@@ -255,7 +273,9 @@ def payload(text: str | None) -> tuple[bytes, int]:
 
 
 MEDIA = "doc_id long, n_bytes long, media binary"
-FRAMES = "array<struct<start_ms:int,delay_ms:int,left:int,top:int,width:int,height:int>>"
+PLACE = ("start_ms", "delay_ms", "left", "top", "width", "height", "disposal")
+FRAMES = f"array<struct<{','.join(f'{n}:int' for n in PLACE)},transparent:int,red:array<bigint>,green:array<bigint>,blue:array<bigint>>>"
+READ = f"frames {FRAMES}, red array<bigint>, green array<bigint>, blue array<bigint>, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, error string"
 
 
 def encoded(docs: DataFrame) -> DataFrame:
@@ -272,46 +292,81 @@ def encoded(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, MEDIA)
 
 
+def _told(data: bytes | None) -> dict:
+    """A file's frames, histograms and digests as READ names them; where it can't be read, the reason alone."""
+    if data is None:
+        return {"error": "no media"}
+    try:
+        size, frames = read_frames(data)
+        told, total, parts = [], np.zeros((3, BINS), np.int64), []
+        for f, canvas in zip(frames, drawn(size, frames)):
+            bins = histogram(canvas)
+            total += bins
+            red, green, blue = bins.tolist()
+            told.append({**{n: getattr(f, n) for n in PLACE}, "transparent": f.transparent, "red": red, "green": green, "blue": blue})
+            parts.append(_area(canvas, f)[..., 0].tobytes())
+    except (ValueError, IndexError, struct.error) as error:
+        return {"error": f"{type(error).__name__}: {error}", "media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest()}
+    samples, (red, green, blue) = b"".join(parts), total.tolist()
+    return {
+        "frames": told, "red": red, "green": green, "blue": blue, "payload_bytes": len(samples), "payload_sha256": hashlib.sha256(samples).hexdigest(),
+        "tail_crc32": zlib.crc32(samples[-16:]), "media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest(),
+    }
+
+
 def frames_of(media: DataFrame) -> DataFrame:
-    """(..., media) -> the same rows with frames (timed areas) and red, green and blue histograms."""
-    names = media.columns
-    kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("start_ms", "delay_ms", "left", "top", "width", "height")]))
+    """(..., media) -> the same rows with the columns of READ, whose names must be free.
+
+    frames: each frame's time, area, disposal, transparent index and colour histogram of the canvas as it is shown, that is
+    with palettes, transparency and the disposal of the frames before applied; red, green, blue: sums over the frames in 16
+    bins; payload: the red levels of the frames' areas. error: why a file can't be read, its columns being null; null media
+    too. Repeated rows stay, an empty table gives no rows.
+    """
+    clash = [n for n in to_arrow_schema(StructType.fromDDL(READ)).names if n in media.columns]
+    if clash:
+        raise ValueError(f"columns {clash} are there already")
+    names, out = media.columns, StructType([*media.schema.fields, *StructType.fromDDL(READ).fields])
+    at, added = names.index("media"), list(to_arrow_schema(StructType.fromDDL(READ)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
         for batch in batches:
-            data = batch.column(names.index("media")).to_pylist()
-            told = [[] if d is None else [{n: getattr(f, n) for n in ("start_ms", "delay_ms", "left", "top", "width", "height")} for f in read_frames(d)[1]] for d in data]
-            bins = [None if d is None else histogram(d) for d in data]
-            colours = [pa.array([None if b is None else b[c] for b in bins], pa.list_(pa.int64())) for c in range(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told, kind), *colours], [*names, "frames", "red", "green", "blue"])
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                rows = [_told(d) for d in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array([r.get(f.name) for r in rows], f.type) for f in added]], [*names, *[f.name for f in added]])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema)
-    return media.mapInArrow(run, f"{kinds}, frames {FRAMES}, red array<bigint>, green array<bigint>, blue array<bigint>")
+    return media.mapInArrow(run, out)
 
 
-def digests(media: DataFrame) -> DataFrame:
-    """Stored media, read back -> the digest columns of op4."""
+def shown(media: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, media, ...) -> (key, nth, start_ms, delay_ms, width, height, rgba): a row a frame, its canvas as it is shown.
 
-    def told(data: bytes) -> tuple:
-        _, frames = read_frames(data)
-        samples = b"".join(f.rgb()[..., 0].tobytes() for f in frames)
-        bins = np.bincount(np.frombuffer(samples, np.uint8) >> 4, minlength=BINS)
-        feature = f"{len(frames)}x{frames[0].delay_ms}ms:" + ",".join(map(str, bins.tolist()))
-        return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature
-
-    kinds = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
+    rgba: height * width * 4 bytes, compressed by zlib. Files that can't be read give no rows; ``frames_of`` tells why.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
         for batch in batches:
-            rows = [told(d) for d in batch.column(2).to_pylist()]
-            made = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "n_bytes", *[n for n, _ in kinds]])
+            for own, data in zip(batch.column(0), batch.column(1).to_pylist()):
+                try:
+                    size, frames = read_frames(data) if data is not None else ((0, 0), [])
+                except (ValueError, IndexError, struct.error):
+                    continue
+                for n, (f, canvas) in enumerate(zip(frames, drawn(size, frames))):
+                    row = [n, f.start_ms, f.delay_ms, *size, zlib.compress(canvas.tobytes(), 1)]
+                    kinds = [*[pa.int32()] * 5, pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([own.as_py()], batch.column(0).type), *[pa.array([x], k) for x, k in zip(row, kinds)]], ["key", "nth", "start_ms", "delay_ms", "width", "height", "rgba"])
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+    kind = media.schema[key].dataType.simpleString()
+    return media.select(F.col(key).alias("key"), "media").mapInArrow(run, f"key {kind}, nth int, start_ms int, delay_ms int, width int, height int, rgba binary").withColumnRenamed("key", key)
 
 
 def op4_gif(spark, sf_dir: str) -> DataFrame:
-    return digests(stored(encoded(table(spark, sf_dir, "documents")), "gif"))
+    """All documents' texts stored as GIF files and read back; the feature is made of the frame and histogram columns.
+
+    Null texts count as empty, repeated and null doc_ids keep a row each, an empty table gives no rows.
+    """
+    read = frames_of(stored(encoded(table(spark, sf_dir, "documents")), "gif"))
+    feature = F.concat(F.size("frames").cast("string"), F.lit("x"), F.col("frames")[0]["delay_ms"].cast("string"), F.lit("ms:"), F.array_join(F.transform("red", lambda v: v.cast("string")), ","))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))

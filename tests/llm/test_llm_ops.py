@@ -1,5 +1,6 @@
 """Edge cases and brute-force checks of the training-data operators."""
 
+import base64
 import hashlib
 import math
 import random
@@ -365,7 +366,7 @@ def test_gif_round_trips(spark, docs, none):
     for n in (192, 192 * 256, 192 * 257, 192 * 3000):
         for data in (bytes(n), bytes(rng.integers(0, 256, n, dtype=np.uint8)), (b"abcabd" * n)[:n]):
             assert gif.read_samples(gif.write_gif(data)) == data
-    got = {r.doc_id: r for r in gif.digests(gif.encoded(docs)).collect() if r.doc_id is not None}
+    got = {r.doc_id: r for r in gif.frames_of(gif.encoded(docs)).collect() if r.doc_id is not None}
     for i, text, *_ in ROWS:
         if i is None:
             continue
@@ -373,9 +374,10 @@ def test_gif_round_trips(spark, docs, none):
         padded = data + b" " * (-len(data) % 192 if data else 192)
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
-    assert gif.digests(gif.encoded(none)).count() == 0
-    frames = gif.frames_of(gif.encoded(docs)).where("doc_id = 6").first()
-    assert sum(frames.red) == sum(f.width * f.height for f in frames.frames) and frames.frames[1].start_ms == 40
+    assert gif.frames_of(gif.encoded(none)).count() == 0 and gif.shown(gif.encoded(none)).count() == 0
+    long = got[6]
+    assert sum(long.red) == 192 * 256 * len(long.frames) and long.frames[1].start_ms == 40 and long.error is None
+    assert [sum(c) for c in zip(*[f.red for f in long.frames])] == long.red == long.blue
 
 
 def _gif(frames, size=(4, 2), palette=bytes(range(12))):
@@ -398,7 +400,7 @@ def test_gif_rules():
     ])
     size, frames = gif.read_frames(data)
     assert size == (4, 2) and [(f.start_ms, f.delay_ms) for f in frames] == [(0, 50), (50, 70), (120, 90), (210, 0)]
-    a, b, c, d = gif.drawn(size, frames)
+    a, b, c, d = [canvas.copy() for canvas in gif.drawn(size, frames)]
     assert (a[..., :3] == [3, 4, 5]).all() and (b[0, 1:3, :3] == 200).all()
     assert c[0, 0, :3].tolist() == [6, 7, 8] and c[0, 1, :3].tolist() == [3, 4, 5]
     assert (d[:2, :2, 3] == 0).all() and d[1, 3, :3].tolist() == [0, 1, 2]
@@ -407,6 +409,75 @@ def test_gif_rules():
             gif.read_frames(b"JPEG" + data[:stop])
 
 
+#: Files that other programs wrote.
+SAMPLE = bytes.fromhex(
+    "474946383961 0a000a00910000 ffffffff00000000ff000000 21f9040000000000 2c000000000a000a0000"
+    "02168c2d99872a1cdc33a00275ec95faa8de608c04914c0100 3b"
+)
+DOT = base64.b64decode("R0lGODlhAQABAIAAAAAAAP///yH5BAEAAAAALAAAAAABAAEAAAIBRAA7")
+
+
+def plain_lzw(samples, size, clears):
+    """Codes by the book, one at a time; without ``clears`` a full table just stays."""
+    clear, bits, at = 1 << size, [], size + 1
+    put = lambda code, n: bits.extend(code >> i & 1 for i in range(n))
+    known, run = {(i,): i for i in range(clear)}, ()
+    put(clear, at)
+    for s in samples:
+        if (*run, s) in known:
+            run = (*run, s)
+            continue
+        put(known[run], at)
+        if len(known) + 2 < 4096:
+            known[(*run, s)] = len(known) + 2
+            at += len(known) + 1 == 1 << at and at < 12
+        elif clears:
+            put(clear, at)
+            known, at = {(i,): i for i in range(clear)}, size + 1
+        run = (s,)
+    put(known[run], at)
+    at += len(known) + 2 == 1 << at and at < 12
+    put(clear + 1, at)
+    return bytes(sum(b << i for i, b in enumerate(bits[k : k + 8])) for k in range(0, len(bits), 8))
+
+
+def test_gif_files_of_other_programs():
+    size, (frame,) = gif.read_frames(SAMPLE)
+    top, mid = [1] * 5 + [2] * 5, [1] * 3 + [0] * 4 + [2] * 3
+    rows = [top] * 3 + [mid] * 2 + [[3 - x if x else 0 for x in mid]] * 2 + [[3 - x for x in top]] * 3
+    assert size == (10, 10) and frame.index.tolist() == rows
+    size, (frame,) = gif.read_frames(DOT)
+    assert size == (1, 1) and frame.transparent == 0 and frame.index.tolist() == [[0]]
+    (canvas,) = gif.drawn(size, [frame])
+    assert canvas[0, 0, 3] == 0 and gif.histogram(canvas).sum() == 0
+
+
+@pytest.mark.parametrize("size", [2, 4, 8])
+@pytest.mark.parametrize("clears", [True, False])
+def test_lzw_of_another_encoder(size, clears):
+    rng = np.random.default_rng(size)
+    for n in (1, 2, 50, 30_000):
+        samples = bytes(rng.integers(0, 1 << size, n, dtype=np.uint8))
+        assert gif.lzw_decode(plain_lzw(samples, size, clears), size) == samples
+
+
+def test_media_columns(spark):
+    good = _gif([(0, 0, 4, 2, 1 << 2, 5, 0, None, [1] * 8), (0, 0, 1, 1, 2 << 2, 3, 0, None, [2]), (3, 1, 1, 1, 1, 0, 0, None, [0])])
+    odd = {"cut": good[:30], "text": b"hello", "none": None, "empty": b"", "huge": b"GIF89a" + b"\xff" * 4 + b"\0\0\0;", "code": good.replace(b"\x00\x08", b"\x00\x0e", 1), "head": b"GIF89a\x01"}
+    rows = [("good", good, 1), ("good", good, 1), *[(k, v, 1) for k, v in odd.items()]]
+    got = {r.name: r for r in gif.frames_of(spark.createDataFrame(rows, "name string, media binary, __x int")).collect()}
+    r = got["good"]
+    assert r.error is None and [(f.start_ms, f.delay_ms, f.disposal, f.transparent) for f in r.frames] == [(0, 50, 1, None), (50, 30, 2, None), (80, 0, 0, 0)]
+    assert [sum(f.red) for f in r.frames] == [8, 8, 7]  # the cleared corner is not counted, the transparent dot shows what was there
+    assert all(got[k].frames is None and got[k].error for k in odd) and got["none"].media_bytes is None and got["cut"].media_bytes == 30
+    flat = gif.shown(spark.createDataFrame(rows, "name string, media binary, __x int"), "name").orderBy("nth").collect()
+    assert len(flat) == 6 and {f.name for f in flat} == {"good"}
+    last = np.frombuffer(zlib.decompress(flat[-1].rgba), np.uint8).reshape(2, 4, 4)
+    assert last[0, 0].tolist() == [0] * 4 and last[1, 3].tolist() == [3, 4, 5, 255]
+    with pytest.raises(ValueError):
+        gif.frames_of(spark.createDataFrame([(b"", 1)], "media binary, red int"))
+
+
 ODD = ["", " ", "a  b", "A\x1cB", "İSTANBUL ΣΑΣ Σ", "é café", "don't WE'LL 12345", "<|endoftext|>x <|startoftext|>", "日本語 テキスト 🙂🙂", "x" * 5000, "a　b​c", "\x00\x01\x85 z", "!?" * 300, "\n", "x\n\ny", " x\n", "a\t b\r\nc"]
 
 
