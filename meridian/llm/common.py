@@ -30,10 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where the session names none."""
     where, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if where is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="meridian-checkpoint-"))
     return where or sc.getCheckpointDir()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as a column of ``df`` is called so (letter case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage and survives the loss of executors. For narrow rows."""
     shared_dir(df.sparkSession)
@@ -41,14 +51,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written as Parquet to the shared folder and read again; for wide rows. Deleted when the session ends."""
+    """Written as Parquet to the shared folder and read again; for wide rows. Deleted by ``discard`` or when the process ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
+    _stored.append(path)
+    if len(_stored) == 1:
+        atexit.register(discard, spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that ``stored`` has written in this process and that are still there.
+_stored: list[str] = []
+
+
+def bookmark() -> int:
+    return len(_stored)
+
+
+def discard(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Deletes the tables stored since a bookmark, but the last ``keep``. For results that are written already."""
+    upto = len(_stored) - keep
+    for path in _stored[since:upto]:
+        _delete(spark, path)
+    _stored[since:upto] = []
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
