@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meridian.llm.common import frugal, held_out, sampled, table, training_rows
+from meridian.llm.common import checkpointed, fresh, frugal, held_out, sampled, table, training_rows
 
 TOKEN = re.compile(r"\w+")
 SPANS = "array<struct<start:int,stop:int,score:double>>"
@@ -32,6 +33,8 @@ SPANS = "array<struct<start:int,stop:int,score:double>>"
 class Settings:
     """toxic, clean: bounds of the training samples in documents; counted: of the clean ones whose words are counted only.
 
+    document_bytes, label_bytes: bounds in bytes of a training document and of the training documents of one label.
+
     buckets: of hashed features. chance: how many words may be tagged by chance, of all that are tried (Chernoff's bound);
     near copies count once.
     """
@@ -39,6 +42,8 @@ class Settings:
     toxic: int = 1000
     clean: int = 1500
     counted: int = 4500
+    document_bytes: int = 1 << 20
+    label_bytes: int = 48 << 20
     buckets: int = 1 << 18
     chance: float = 0.5
     steps: int = 60
@@ -260,11 +265,27 @@ def words_of(text: str | None) -> list[str]:
     return TOKEN.findall((text or "").lower())
 
 
+def word_spans(text: str) -> list[tuple[int, int]]:
+    """Where the words of ``words_of`` stand in the text as it is written; a lower-case form can be longer than its letter."""
+    low = text.lower()
+    spans = [m.span() for m in TOKEN.finditer(low)]
+    if len(low) == len(text):
+        return spans
+    ends = np.cumsum([len(c.lower()) for c in text])
+    return [(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(ends, b - 1, "right")) + 1) for a, b in spans]
+
+
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model | None:
+    """A model from labelled documents of the training folds, within the bounds of ``s`` in rows and bytes; None without both labels."""
     known = training_rows(labels=labels, docs=docs, label="toxic").cache()
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [sampled(known.where(f"label = {k}"), n, counts.get(k, 0), f"toxic{k}") for k, n in ((1, s.toxic), (0, s.clean + s.counted))]
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").select("doc_id", "text", "label").toArrow()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    mine = docs.select("doc_id", text.alias("text"), F.octet_length(text).alias("bytes"), F.md5(text.cast("binary")).alias("digest")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").where(F.col("bytes") <= s.document_bytes)
+    one = mine.groupBy("doc_id", "label").agg(F.min(F.struct("digest", "bytes")).alias("m")).select("doc_id", "label", "m.digest", "m.bytes")
+    upto = Window.partitionBy("label").orderBy(F.xxhash64(F.lit("toxic"), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of the bounded sample
+    fit_in = checkpointed(one.withColumn("upto", F.sum("bytes").over(upto)).where(F.col("upto") <= s.label_bytes).select("doc_id", "digest"))
+    rows = mine.join(F.broadcast(fit_in), ["doc_id", "digest"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label").toArrow()
     known.unpersist()
     if not rows.num_rows:
         return None
@@ -304,7 +325,7 @@ class Tagger:
         hits = np.nonzero(p >= 0.5)[0]
         for d in np.unique(np.searchsorted(ends, hits, "right")):
             own = p[ends[d - 1] if d else 0 : ends[d]]
-            at = [m.span() for m in TOKEN.finditer(texts[d].lower())]
+            at = word_spans(texts[d])
             for i in np.nonzero(own >= 0.5)[0]:
                 if spans[d] and spans[d][-1]["last"] == i - 1:
                     spans[d][-1] |= {"stop": at[i][1], "score": max(spans[d][-1]["score"], float(own[i])), "last": i}
@@ -313,8 +334,8 @@ class Tagger:
         return score, [[{k: x[k] for k in ("start", "stop", "score")} for x in own] for own in spans]
 
 
-def scored(docs: DataFrame, model: Model | None, keep: list[str] | None = None, s: Settings = Settings()) -> DataFrame:
-    """The columns ``keep`` (all, by default), toxicity (0 to 1) and spans (offsets in characters of the lower-cased text).
+def scored(docs: DataFrame, model: Model | None, keep: list[str] | None = None, s: Settings = Settings(), out: tuple[str, str] = ("toxicity", "spans")) -> DataFrame:
+    """The columns ``keep`` (all, by default), toxicity (0 to 1) and spans (offsets in characters of the text), named by ``out``.
 
     Without a model: 0 and no spans. Null and empty texts get the score of a text without words.
     """
@@ -337,12 +358,14 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
                     at, chars = i + 1, 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(score)), pa.array(spans, kind)], [*names, "toxicity", "spans"])
 
-    plain = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col("text").cast("string").alias("__text"))
-    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.select(*keep).schema))
-    return plain.mapInArrow(run, f"{kinds}, toxicity double, spans {SPANS}").toDF(*keep, "toxicity", "spans")
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col("text").cast("string").alias("__text"))
+    kinds = StructType([*[StructField(n, f.dataType) for n, f in zip(names, docs.select(*[F.col(f"`{c}`") for c in keep]).schema)], StructField("toxicity", DoubleType()), *StructType.fromDDL(f"spans {SPANS}")])
+    return plain.mapInArrow(run, kinds).toDF(*keep, *out)
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Scores of all documents. Null and empty texts get the score of a text without words, well under the threshold; repeated
+    and null doc_ids keep a row each, a null one is not held out; an empty table gives no rows; other columns are ignored."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     s = Settings()
     found = scored(docs, train(docs, labels, s), ["doc_id"], s)
@@ -354,7 +377,10 @@ def op8_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def kept(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The documents whose score stays under the threshold, with their own columns."""
-    names = docs.columns
-    found = scored(docs, train(docs, labels, s), None, s)
-    return found.where(F.col("toxicity") < s.threshold).select(*names)
+    """The documents whose score stays under the threshold, with their own columns, whatever those are called.
+
+    Null and empty texts stay, repeated rows too; without labels of both kinds all documents do.
+    """
+    names, out = docs.columns, (fresh(docs, "toxicity"), fresh(docs, "spans"))
+    found = scored(docs, train(docs, labels, s), None, s, out)
+    return found.where(F.col(out[0]) < s.threshold).select(*[F.col(f"`{n}`") for n in names])
