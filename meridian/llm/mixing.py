@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import WORD, checkpointed, table
+from meridian.llm.common import WORD, checkpointed, fresh, table
 
 
 @dataclass(frozen=True)
@@ -94,19 +94,22 @@ def mixed(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
 
     taken: words, repeats counted, at most ``cap`` times the size; a source's sum is its target rounded down. position:
     0 to 1, null where nothing is taken; the rows are range-sorted by it. A null text has size 0; null sources are one
-    source, the last. Rows equal in id and size may stand for each other.
+    source, the last. Rows equal in source, id and size stand for each other: they are counted, not sorted, so that a row
+    or a null id that repeats without end does not fill a window. An empty table gives no rows.
     """
-    rows = checkpointed(sized(docs).withColumn("bucket", F.substring("key", 1, mix.digits)))
-    sources = checkpointed(targets(rows, mix))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
+    kinds = sized(docs).groupBy("source", "doc_id", "size", "key").agg(F.count("*").alias("copies"))
+    rows = checkpointed(kinds.withColumn("bucket", F.substring("key", 1, mix.digits)))
+    sources = checkpointed(targets(rows.withColumn("size", F.col("size") * F.col("copies")), mix))
+    sums = rows.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        rows.withColumn("inside", F.sum("size").over(inside))
+        rows.withColumn("inside", F.sum(F.col("size") * F.col("copies")).over(inside) - F.col("size") * F.col("copies"))
         .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
         .join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("upto", F.col("start") + F.col("inside"))
+        .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .withColumn("upto", F.col("start") + F.col("inside") + F.col("nth") * F.col("size"))
         .withColumn("first", F.floor((F.col("upto") - F.col("size")) * F.col("rate")))
         .withColumn("last", F.floor(F.col("upto") * F.col("rate")))
         .withColumn("taken", F.least(F.col("last") - F.col("first"), F.col("size") * mix.cap))
@@ -120,29 +123,30 @@ def mixed(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
     """The documents as the mix repeats them, whole, with their own columns, range-sorted by training position.
 
-    A source's rate is split into whole copies and a last one, drawn by the order key: the expected words are the target.
+    A source's rate is split into whole copies and a last one, drawn by a hash of the id (of the text, where the id is null):
+    the expected words are the target. Columns may have any names; null texts have size 0, null sources are one source.
     """
     rows = checkpointed(docs.select(F.col("source").cast("string"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")).groupBy("source").agg(F.sum("size").alias("size")))
-    sources = checkpointed(targets(rows, mix)).select(F.col("source").alias("__of"), F.col("kind").alias("__kind"), F.col("rate").alias("__rate"))
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    of, kind, rate, copies, copy, share, position = (fresh(docs, n) for n in ("of", "kind", "rate", "copies", "copy", "share", "position"))
+    sources = checkpointed(targets(rows, mix)).select(F.col("source").alias(of), F.col("kind").alias(kind), F.col("rate").alias(rate))
+    key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("string").cast("binary")))).cast("binary"))
     unit = lambda at: F.conv(F.substring(key, at, 8), 16, 10).cast("double") / 2.0**32
-    copies = F.floor(F.col("__rate") + unit(1)).cast("int")
-    share = (unit(9) + F.col("__copy")) / F.col("__copies")
-    names = docs.columns
+    names = [F.col(f"`{n}`") for n in docs.columns]
     return (
-        docs.join(sources, docs["source"].cast("string").eqNullSafe(F.col("__of")))
-        .withColumn("__copies", copies)
-        .where("__copies > 0")
-        .withColumn("__copy", F.explode(F.expr("sequence(0, __copies - 1)")))
-        .withColumn("__share", share)
-        .withColumn("__position", F.expr(position_sql(mix, "__kind", "__share")))
-        .repartitionByRange("__position", "doc_id")
-        .sortWithinPartitions("__position", "doc_id")
+        docs.join(sources, docs["source"].cast("string").eqNullSafe(F.col(of)))
+        .withColumn(copies, F.floor(F.col(rate) + unit(1)).cast("int"))
+        .where(F.col(copies) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(copies) - 1)))
+        .withColumn(share, (unit(9) + F.col(copy)) / F.col(copies))
+        .withColumn(position, F.expr(position_sql(mix, f"`{kind}`", f"`{share}`")))
+        .repartitionByRange(F.col(position), F.col("doc_id"))
+        .sortWithinPartitions(F.col(position), F.col("doc_id"))
         .select(*names)
     )
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
+    """All documents in the mix, as ``mixed`` states it for nulls, empty texts, ties and repeats; other columns are ignored."""
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
