@@ -22,15 +22,24 @@ from meridian.llm.hilbert import hilbert_index
 BITS = 5
 
 
+def _placed(rows: DataFrame, order: list) -> DataFrame:
+    """rows + (rank from 0, total): by a range sort, without any task that gets all rows."""
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = checkpointed(sorted_rows.withColumn("part", F.shiftright("at", 33)))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    parts = placed.groupBy("part").agg(F.count("*").alias("n"))
+    starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    return placed.join(starts, "part").withColumn("rank", F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("at", "part", "start")
+
+
 def _ranked(values: DataFrame, name: str) -> DataFrame:
     """(name) -> (name, name_q): the distinct values' ranks in code point order, nulls last, cut to 2**BITS levels."""
-    order = Window.orderBy(F.col(name).asc_nulls_last())
-    rank = F.row_number().over(order) - 1
-    return values.select(name).distinct().select(name, F.floor(rank * (1 << BITS) / F.count("*").over(Window.partitionBy())).cast("int").alias(f"{name}_q"))
+    ranked = _placed(values.select(name).distinct(), [F.col(name).asc_nulls_last()])
+    return ranked.select(name, F.expr(f"int((rank * {1 << BITS}) div total)").alias(f"{name}_q"))
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """(doc_id, text, lang, source, ...) -> (doc_id, size, text_crc32, hilbert, shard, slot), every row.
+    """(doc_id, text, lang, source, ...) -> (doc_id, size, text_crc32, hilbert, shard, slot, lang, source), every row.
 
     The law is `rows`: shards' row counts differ by one at most. Null texts count as empty, null languages and sources
     are values of their own, and repeated rows take slots of their own. Empty input: no rows.
@@ -62,27 +71,33 @@ def hilbert_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hilbert_index(xyz, BITS))], ["digest", "hilbert"])
 
     curve = points.mapInArrow(run, "digest binary, hilbert long")
-    keyed = rows.join(curve, "digest").select("doc_id", "bytes", "text_crc32", "hilbert", "digest")
-    order = ["hilbert", "digest", "doc_id"]
-    placed = checkpointed(
-        keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("digest").withColumn("at", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("at", 33).alias("part")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy(part).agg(F.count("*").alias("n"))
-    starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    rank = F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)
+    keyed = rows.join(curve, "digest").select("doc_id", "lang", "source", "bytes", "text_crc32", "hilbert", "digest")
+    placed = _placed(keyed, [F.col("hilbert"), F.col("digest"), F.col("doc_id")])
     shard = F.expr(f"(rank * {shards}) div total")
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
-    return (
-        placed.withColumn("part", part)
-        .join(starts, "part")
-        .withColumn("rank", rank)
-        .withColumn("shard", shard)
-        .select("doc_id", (F.col("bytes") + 8).alias("size"), "text_crc32", "hilbert", F.col("shard").cast("int").alias("shard"), (F.col("rank") - first).alias("slot"))
+    return placed.withColumn("shard", shard).select(
+        "doc_id", (F.col("bytes") + 8).alias("size"), "text_crc32", "hilbert", F.col("shard").cast("int").alias("shard"), (F.col("rank") - first).alias("slot"), "lang", "source"
     )
 
 
+def shard_index(found: DataFrame) -> DataFrame:
+    """A row a shard: rows, and the least and greatest language, source and size, by which readers skip shards."""
+    ends = [how(c).alias(f"{name}_{c}") for c in ("lang", "source", "size") for name, how in (("min", F.min), ("max", F.max))]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("lang", "source")]
+    return found.groupBy("shard").agg(F.count("*").alias("rows"), *ends, *nulls)
+
+
+def admitted(index: DataFrame, lang: str | None = None, source: str | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
+    """The shards that can hold rows of a language, a source and a range of sizes (ends included); None: any."""
+    for name, value in (("lang", lang), ("source", source)):
+        if value is not None:
+            index = index.where(F.lit(value).between(F.col(f"min_{name}"), F.col(f"max_{name}")))
+    if sizes is not None:
+        index = index.where((F.col("max_size") >= sizes[0]) & (F.col("min_size") <= sizes[1]))
+    return index.select("shard")
+
+
 def op10_hilbert_shards(spark, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards under the law `rows`; nulls, empty texts, ties and repeats as in ``hilbert_shards``."""
     found = hilbert_shards(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
