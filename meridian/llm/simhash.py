@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import LOWER_ASCII, checkpointed, frugal, stored, trimmed
+from meridian.llm.common import LOWER_ASCII, checkpointed, fresh, frugal, stored, trimmed
 from meridian.llm.components import components
 
 SEED = 42
@@ -286,7 +286,7 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
 
 def _digest() -> Column:
     """Tells rows that share an id apart; a null text counts as empty."""
-    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("digest")
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
 
 def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -314,7 +314,7 @@ def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *made], ["doc_id", "digest", "node", "size", "p0", "p1", "p2", "p3", "shingles"])
 
     schema = "doc_id long, digest string, node long, size int, p0 long, p1 long, p2 long, p3 long, shingles binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest()).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest().alias("digest")).mapInArrow(run, schema)
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -418,7 +418,7 @@ def _labelled(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
-    """(doc_id, text, ...) -> (doc_id, fp binary, component_id): every row, copies included.
+    """(doc_id, text, ...) -> (doc_id, fp binary, component_id): every row, copies included; other columns are ignored.
 
     component_id is the least doc_id reachable over links, itself included; null where no document of the component has
     an id. Null and blank texts have fingerprint zero and link like any other. Repeated rows stay repeated. Under a plan
@@ -457,13 +457,20 @@ def deduplicated(docs: DataFrame, plan: Plan = NEAR_DEDUP) -> DataFrame:
     if not plan.similarity:
         raise ValueError("give a plan with a similarity")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("m")
-    kept = _labelled(docs, plan).groupBy("label").agg(first).select(F.col("m.doc_id").alias("__id"), F.col("m.digest").alias("__digest"))
-    rows = docs.withColumn("__d", _digest())
-    stay = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi")
-    return stay.groupBy("doc_id", "__d").agg(F.min(F.struct(*docs.columns)).alias("m")).select("m.*")
+    own_id, own_digest, digest = (fresh(docs, n) for n in ("own_id", "own_digest", "digest"))
+    kept = _labelled(docs, plan).groupBy("label").agg(first).select(F.col("m.doc_id").alias(own_id), F.col("m.digest").alias(own_digest))
+    rows = docs.withColumn(digest, _digest())
+    stay = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (F.col(digest) == F.col(own_digest)), "left_semi")
+    plain = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    order = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(plain)])  # maps have no order of their own
+    whole = F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(docs.columns)])
+    one = stay.groupBy("doc_id", digest).agg(F.min_by(whole, order).alias("m"))
+    return one.select(*[F.col(f"m.c{i}").alias(n) for i, n in enumerate(docs.columns)])
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
+    """All documents' fingerprints and components, as ``near_duplicates`` states it for nulls, empty texts and repeats; an empty
+    table gives no rows."""
     from meridian.llm.common import table
 
     found = near_duplicates(table(spark, sf_dir, "documents"), CONTRACT)

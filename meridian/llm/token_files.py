@@ -272,4 +272,6 @@ def read_back(written: DataFrame) -> DataFrame:
 
 
 def op6_token_files(spark, sf_dir: str) -> DataFrame:
+    """All documents' whole texts in token files, read back: nulls, empty texts and repeats as ``files`` states it; an empty
+    table gives no rows, other columns are ignored."""
     return read_back(stored(files(table(spark, sf_dir, "documents")), "tokens"))

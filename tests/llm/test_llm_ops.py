@@ -234,6 +234,34 @@ def test_hilbert_visits_neighbours():
     assert (np.abs(np.diff(grid[np.argsort(h)], axis=0)).sum(axis=1) == 1).all()
 
 
+def test_shards_against_brute_force(spark, sf, real):
+    rows = [(r.doc_id, r.text or "", r.lang, r.source) for r in real.collect()]
+    lang, source = {}, {}
+    for _, t, la, so in rows:
+        lang[t], source[t] = min(la, lang.get(t, la)), min(so, source.get(t, so))
+    rank = lambda values: {v: i * 32 // len(set(values)) for i, v in enumerate(sorted(set(values)))}
+    langs, sources = rank(lang.values()), rank(source.values())
+    points = np.array([(langs[lang[t]], sources[source[t]], min(31, (len(t.encode()) + 8).bit_length())) for _, t, *_ in rows])
+    order = sorted(zip(hilbert.hilbert_index(points, 5).tolist(), [hashlib.md5(t.encode()).digest() for _, t, *_ in rows], [i for i, *_ in rows]))
+    n = len(rows)
+    want = {i: (h, at * 24 // n, at - -(-(at * 24 // n) * n // 24)) for at, (h, _, i) in enumerate(order)}
+    assert {r.doc_id: (r.hilbert, r.shard, r.slot) for r in sharding.op10_hilbert_shards(spark, sf).collect()} == want
+
+
+def test_shards_prune(spark, sf):
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.01/documents.parquet")
+    found = sharding.hilbert_shards(docs).cache()
+    index, dealt = sharding.shard_index(found).cache(), sharding.shard_index(found.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(24)))).cache()
+    read, plain = 0, 0
+    for r in found.select("lang", "source").distinct().collect():
+        for sizes in ((0, 300), (300, 3000), (3000, 1 << 40)):
+            here = {x.shard for x in sharding.admitted(index, r.lang, r.source, sizes).collect()}
+            hit = found.where((F.col("lang") == r.lang) & (F.col("source") == r.source) & F.col("size").between(*sizes))
+            assert {x.shard for x in hit.select("shard").distinct().collect()} <= here
+            read, plain = read + len(here), plain + sharding.admitted(dealt, r.lang, r.source, sizes).count()
+    assert read < plain / 3
+
+
 def test_shards(spark, sf, docs, none):
     got = sharding.op10_hilbert_shards(spark, sf).toPandas()
     counts = got.groupby("shard").slot.agg(["count", "min", "max", "nunique"])
@@ -262,6 +290,97 @@ def test_mixing_edge_cases(docs, none):
     assert whole.columns == docs.columns and whole.count() > 0 and mixing.mixed_documents(none).count() == 0
 
 
+def test_mixing_against_its_sql_on_odd_rows(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(4)
+    rows = [(None if rng.random() < 0.3 else rng.randrange(40), " ".join(["w"] * rng.choice([0, 0, 1, 5, 400])) or None, rng.choice(["a", "b", None])) for _ in range(300)]
+    rows += [(7, "again and again", "a")] * 500 + [(None, "no id", "b")] * 500
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    got = mixing.op9_mixing(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({mixing.ORACLE})").fetchall()
+    plain = lambda rows: sorted(str([None if v is None else round(v, 9) for v in r]) for r in rows)
+    assert plain(got.collect()) == plain(want)
+
+
+CLASHING = "quality toxicity spans of kind rate copies copy share position own_id own_digest digest __copy __nth __text c0 c1 label node".split()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    corpus = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(1)
+    words = [f"word{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, k=30)) + "." for _ in range(60)]
+    rows = [(i, t, "en", "web") for i, t in enumerate(texts)] + [(100, texts[0], "en", "web"), (None, texts[1], None, None), (101, None, "en", "web"), (102, "", "de", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for n in CLASHING:
+        df = df.withColumn(n, F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    df = df.withColumn("tags", F.create_map(F.lit("a"), F.col("lang"))).withColumn("a.b", F.struct(F.lit(1).alias("x")))
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), int(i % 7 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    for made in (quality.kept(df, labels), toxicity.kept(df, labels), simhash.deduplicated(df), mixing.mixed_documents(df)):
+        assert made.columns == df.columns
+        own = made.collect()
+        assert own and all(r[n] == f"{n} of {'none' if r.doc_id is None else r.doc_id}" for r in own for n in CLASHING)
+        assert all(r.tags == {"a": r.lang} and r["a.b"].x == 1 for r in own)
+    kept = [r.doc_id for r in simhash.deduplicated(df).collect()]
+    assert 100 not in kept and None not in kept and len(kept) == 61
+    assert corpus.STAGES[0][0] == "quality"
+
+
+def test_stages_on_empty_tables(spark, none, docs, tmp_path):
+    corpus = pytest.importorskip("corpus_pipeline")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus.STAGES:
+        made = stage(spark, none, str(tmp_path))
+        assert made.count() == 0 and (made.columns == none.columns or name == "tokens")
+        assert stage(spark, docs, str(tmp_path)).count() > 0
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus.run(spark, str(tmp_path)).count() == 0
+
+
+def test_storage(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from meridian.llm import common
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+    mark = common.bookmark()
+    tables = [common.stored(spark.range(3), "test") for _ in range(3)]
+    paths = [Path(t.inputFiles()[0].removeprefix("file:")).parent for t in tables]
+    common.discard(spark, mark, keep=1)
+    assert [p.exists() for p in paths] == [False, False, True] and common.bookmark() == mark + 1
+    assert common.fresh(spark.range(1).withColumn("_ID", F.lit(1)), "id") == "__id"
+
+
+def test_spans_point_into_the_text():
+    for text in ("İİ grobian İx grobheit", "plain grobian", "ŉ ﬀ İ̇ grobian", "ΑΣ Σ grobian"):
+        found = toxicity.words_of(text)
+        spans = toxicity.word_spans(text)
+        assert len(found) == len(spans)
+        assert all(text[a:b].lower() == w for w, (a, b) in zip(found, spans) if w.startswith("grob"))
+        assert any(w == "grobian" for w in found)
+
+
+def test_toxicity_training_is_bounded_in_bytes(spark):
+    rows = [(i, f"word{i} grobian " * (4000 if i % 10 == 0 else 20)) for i in range(0, 200, 2)] + [(i, f"word{i} kind " * 20) for i in range(1, 200, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(200)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit
+    toxicity.fit = lambda texts, marks, s: seen.append(sum(map(len, texts))) or fit(texts, marks, s)
+    try:
+        assert toxicity.train(df, labels, toxicity.Settings(document_bytes=10_000, label_bytes=12_000)) is not None
+    finally:
+        toxicity.fit = fit
+    assert 0 < seen[0] <= 24_000
+
+
 def test_positions_invert_the_schedule(spark):
     mix = mixing.DEFAULT
     for kind, knots in enumerate(mix.schedules):
@@ -288,13 +407,23 @@ def test_quality(spark, sf, docs, none):
 
 def test_non_negative_risk_separates_unlabelled_text():
     rng = np.random.default_rng(0)
-    good, bad = np.zeros((400, quality.FEATURES)), np.zeros((400, quality.FEATURES))
-    good[:, :40], bad[:, :40] = rng.normal(0.3, 0.1, (400, 40)), rng.normal(0.3, 0.1, (400, 40))  # texts use few features
+    n = 1600
+    good, bad = np.zeros((n, quality.FEATURES)), np.zeros((n, quality.FEATURES))
+    good[:, :40], bad[:, :40] = rng.normal(0.3, 0.1, (n, 40)), rng.normal(0.3, 0.1, (n, 40))  # texts use few features
     bad[:, :5] += 0.4
     good, bad = good.clip(0).astype(np.float32), bad.clip(0).astype(np.float32)
-    u = np.vstack([good[200:], bad[:100]])
-    m = quality.fit(good[:200], u, 2 / 3, np.vstack([good[:100], bad[:50]]), np.array([1] * 100 + [0] * 50), quality.Settings())
-    assert (m.score(good[200:]) >= 0.5).mean() > 0.95 and (m.score(bad[100:]) < 0.5).mean() > 0.95
+    u = np.vstack([good[n // 2 :], bad[: n // 4]])
+    m = quality.fit(good[: n // 2], u, 2 / 3, quality.Settings())
+    assert (m.score(good[n // 2 :]) >= 0.5).mean() > 0.95 and (m.score(bad[n // 4 :]) < 0.5).mean() > 0.95
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.9])
+def test_prior_is_estimated_from_positives_and_unlabelled(share):
+    rng = np.random.default_rng(3)
+    made = lambda n, up: (rng.normal(0.3, 0.1, (n, quality.FEATURES)) + 0.3 * up * (np.arange(quality.FEATURES) < 5)).clip(0).astype(np.float32) * (np.arange(quality.FEATURES) < 40)
+    many = 3000
+    u = np.vstack([made(int(many * share), 0), made(many - int(many * share), 1)])
+    assert abs(quality.estimated_prior(made(1600, 0), u, quality.Settings(steps=150)) - share) < 0.08
 
 
 def brute_marginals(potential, trans, start):
@@ -494,6 +623,7 @@ def test_bpe_equals_the_library(real, docs, none):
     got = bpe.digests(docs).collect()
     assert len(got) == len(ROWS) and {r.n_tokens for r in got if r.doc_id in (3, 4, 5)} == {0}
     assert bpe.digests(none).count() == 0
+    assert bpe.encoded(none).count() == 0
     back = {r.doc_id: r.text for r in bpe.decoded(bpe.encoded(docs)).collect()}
     assert back[7].startswith("ü") or "</w>" in back[7]
 
