@@ -23,6 +23,7 @@ def build_session(app: str = "meridian", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
