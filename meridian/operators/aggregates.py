@@ -42,10 +42,13 @@ def weighted_shares(shares: DataFrame, by: list[str]) -> DataFrame:
 def place_roles(shares: DataFrame, place: str, least: int = 200, least_weekday: float = 0.15) -> DataFrame:
     """shares + role: the busiest place is home; the best work score of the others is work; rare ones are travel."""
     score = 0.5 * F.col("weekday") + 0.3 * F.col("business") + 0.2 * F.when(F.col("weekday") > 0.5, F.col("evening")).otherwise(0.0)
-    everything = Window.orderBy(F.col("n").desc(), place)
-    rows = shares.withColumn("work_score", score).withColumn("__home", F.row_number().over(everything) == 1)
-    rows = rows.withColumn("__work", F.row_number().over(Window.partitionBy("__home").orderBy(F.col("work_score").desc(), place)) == 1)
-    role = F.when(F.col("__home"), "home").when(F.col("__work"), "work").when((F.col("n") < least) | (F.col("weekday") < least_weekday), "travel").otherwise("other")
+    rows = shares.withColumn("work_score", score)
+    best = lambda df, by, out: df.orderBy(F.col(by).desc(), place).limit(1).select(F.col(place).alias(out))
+    home = best(rows, "n", "__home")
+    work = best(rows.join(F.broadcast(home), F.col(place) == F.col("__home"), "left_anti"), "work_score", "__work")
+    rows = rows.join(F.broadcast(home), F.col(place) == F.col("__home"), "left").join(F.broadcast(work), F.col(place) == F.col("__work"), "left")
+    rare = (F.col("n") < least) | (F.col("weekday") < least_weekday)
+    role = F.when(F.col("__home").isNotNull(), "home").when(F.col("__work").isNotNull(), "work").when(rare, "travel").otherwise("other")
     return rows.withColumn("role", role).drop("__home", "__work")
 
 

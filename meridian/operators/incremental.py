@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.exprs import text_hash
@@ -47,13 +47,18 @@ def live_claims(jobs: DataFrame, now_ms: int, ttl_ms: int) -> DataFrame:
     return jobs.where(~claimable(jobs, now_ms, ttl_ms))
 
 
+def _first(rows: DataFrame, wanted: DataFrame, key: str, order: list[Column], most: int, out: str) -> DataFrame:
+    """rows with ``out`` true for the first ``most`` of the wanted ones, by key, which must be unique; false for others."""
+    few = wanted.orderBy(*order).limit(most).select(F.col(key).alias("__k"))
+    return rows.join(few, F.col(key) == F.col("__k"), "left").withColumn(out, F.col("__k").isNotNull()).drop("__k")
+
+
 def reaped(jobs: DataFrame, now_ms: int, ttl_ms: int, most: int | None = None) -> DataFrame:
     """The table with expired leases freed, the oldest ``most`` of them."""
     gone = (F.coalesce(F.col("owner"), F.lit("")) != "") & claimable(jobs, now_ms, ttl_ms)
     rows = jobs.withColumn("__g", gone)
     if most is not None:
-        nth = F.row_number().over(Window.partitionBy("__g").orderBy(F.col("claimed_at").asc_nulls_first(), "key"))
-        rows = rows.withColumn("__g", F.col("__g") & (nth <= most))
+        rows = _first(rows, rows.where("__g"), "key", [F.col("claimed_at").asc_nulls_first(), F.col("key")], most, "__g")
     return rows.withColumn("owner", F.when(F.col("__g"), "").otherwise(F.col("owner"))).withColumn("status", F.when(F.col("__g"), "pending").otherwise(F.col("status"))).drop("__g")
 
 
@@ -67,11 +72,10 @@ def stage_done(jobs: DataFrame, key: str, stage: str, last: str) -> DataFrame:
 
 def queue_step(tasks: DataFrame, frm: str, to: str, most: int | None = None) -> DataFrame:
     """Tasks of one state, best priority first, move to the next state."""
-    nth = F.row_number().over(Window.partitionBy("status").orderBy(F.col("priority").desc(), "id"))
-    move = F.col("status") == frm
+    rows = tasks.withColumn("__m", F.col("status") == frm)
     if most is not None:
-        move = move & (nth <= most)
-    return tasks.withColumn("__m", move).withColumn("status", F.when(F.col("__m"), to).otherwise(F.col("status"))).drop("__m")
+        rows = _first(rows, rows.where("__m"), "id", [F.col("priority").desc(), F.col("id")], most, "__m")
+    return rows.withColumn("status", F.when(F.col("__m"), to).otherwise(F.col("status"))).drop("__m")
 
 
 def valid_step(order: list[str], frm: Column, to: Column, forced: Column) -> Column:

@@ -17,7 +17,12 @@ from meridian.functions.exprs import EARTH_M
 
 
 def next_chain(df: DataFrame, by: list[str], order: list[str], id_col: str) -> DataFrame:
-    """(by.., src, dst): an edge from each row to the next of its group. With no ``by`` the chain is global: for few rows."""
+    """(by.., src, dst): an edge from each row to the next of its group; with no ``by`` the chain is one, by a range sort."""
+    if not by:
+        from meridian.operators.ranks import followed
+
+        rows = followed(df.withColumn("src", F.col(id_col)), [F.col(c) for c in order], "src", "dst")
+        return rows.select("src", "dst").where("dst is not null")
     w = Window.partitionBy(*by).orderBy(*order)
     return df.select(*by, F.col(id_col).alias("src"), F.lead(id_col).over(w).alias("dst")).where("dst is not null")
 

@@ -87,6 +87,10 @@ def delete_where(base: DataFrame, pred: Column) -> DataFrame:
 def retained(files: DataFrame, most_bytes: float, most_age: float, now: float, size: str = "size", mtime: str = "mtime", tie: str = "path", by: list[str] = ()) -> DataFrame:
     """Files young enough whose running size from the newest stays within the cap."""
     young = files.where(F.lit(now) - F.col(mtime) <= most_age)
+    if not by:
+        from meridian.operators.ranks import running_sum
+
+        return running_sum(young, [F.col(mtime).desc(), F.col(tie)], F.col(size), "__sum").where(F.col("__sum") <= most_bytes).drop("__sum")
     w = Window.partitionBy(*by).orderBy(F.col(mtime).desc(), tie).rowsBetween(Window.unboundedPreceding, 0)
     return young.withColumn("__sum", F.sum(size).over(w)).where(F.col("__sum") <= most_bytes).drop("__sum")
 

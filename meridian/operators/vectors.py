@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from meridian.functions.exprs import cosine, dot, unit
 
-#: A side is broadcast only up to this many rows, by count; beyond that, joins go through blocks.
-MOST_BROADCAST = 20_000
+#: A side is broadcast only up to so many bytes, by its rows and its longest vector; beyond that, joins go through blocks.
+MOST_BROADCAST = 16 << 20
 
 
 def top_k(df: DataFrame, by: list[str], k: int, score: str = "score", tie: str = "id") -> DataFrame:
@@ -38,11 +38,12 @@ def seed_vector(items: DataFrame, lookups: list[Column], vec_cols: list[str]) ->
     return list(row.v) if row else None
 
 
-def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float, left_id: str, right_id: str, lv: str = "embedding", rv: str = "embedding", not_self: bool = False, groups: int = 16) -> DataFrame:
+def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float, left_id: str, right_id: str, lv: str = "embedding", rv: str = "embedding", not_self: bool = False, block: int = 4096, parts: int = 16) -> DataFrame:
     """(left_id, right_id, score, rank): each left row's k best right rows at or above the threshold.
 
-    The right side (concepts, prototypes) is counted: up to MOST_BROADCAST rows it is broadcast, whose size that bounds; a
-    larger one is dealt into ``groups`` parts, and left rows are copied once a part, cut to k a part before they meet.
+    The right side (concepts, prototypes) is measured: up to MOST_BROADCAST bytes it is broadcast. A larger one is cut into
+    blocks of about ``block`` rows and the left side into ``parts``; every pair of a part and a block is a key of the join,
+    and a left row's best of a block are cut to k before the blocks meet.
     """
     a = left.select(F.col(left_id).alias("__l"), unit(F.col(lv)).alias("__lv"))
     b = right.select(F.col(right_id).alias("__r"), unit(F.col(rv)).alias("__rv"))
@@ -50,12 +51,15 @@ def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float,
     keep = (F.size("__lv") == F.size("__rv")) & (score >= threshold)
     if not_self:
         keep = keep & (F.col("__l") != F.col("__r"))
-    if right.count() <= MOST_BROADCAST:
+    n, longest = right.agg(F.count("*"), F.coalesce(F.max(F.size(rv)), F.lit(0))).first()
+    if n * (longest + 4) * 8 <= MOST_BROADCAST:
         pairs = a.join(F.broadcast(b), keep)
     else:
-        dealt = b.withColumn("__g", F.pmod(F.xxhash64("__r"), F.lit(groups)))
-        spread = a.withColumn("__h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-        pairs = spread.join(dealt, (F.col("__h") == F.col("__g")) & keep)
+        blocks = -(-n // block)
+        each = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+        dealt = b.withColumn("__g", F.pmod(F.xxhash64("__r"), F.lit(blocks))).withColumn("__p", each(parts))
+        spread = a.withColumn("__q", F.pmod(F.xxhash64("__l"), F.lit(parts))).withColumn("__h", each(blocks))
+        pairs = spread.join(dealt, (F.col("__h") == F.col("__g")) & (F.col("__q") == F.col("__p")) & keep)
     scored = pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), score.alias("score"))
     return top_k(scored, [left_id], k, "score", right_id)
 

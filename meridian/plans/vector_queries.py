@@ -14,7 +14,7 @@ emb = load("embeddings")
 
 def _seed(e, vec_id: int = 0) -> list[float]:
     row = e.where(F.col("vec_id") == vec_id).first()
-    return list(row.embedding)
+    return list(row.embedding) if row else []
 
 
 def _rounded(df, *cols, n: int = 6):
@@ -128,11 +128,12 @@ def vector_minute_sum(s, d):
  SELECT a, b, appearance, trajectory FROM r WHERE n = 1""")
 def gated_match(s, d):
     e = emb(s, d)
-    x = e.select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("va"))
-    y = e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("vb"))
-    part = lambda at: F.round(X.cosine(F.slice("va", at, 32), F.slice("vb", at, 32)), 6)
-    pairs = x.join(y, "label").where("a <> b").select("a", "b", part(1).alias("appearance"), part(33).alias("trajectory"))
-    return vectors.gated_match(pairs, at_first=0.3, at_second=0.2)
+    first = vectors.near_duplicate_pairs(e.select("label", "vec_id", F.slice("embedding", 1, 32).alias("half")), 0.3 - 1e-6, "vec_id", "half", ["label"])
+    other = e.select("vec_id", F.slice("embedding", 33, 32).alias("v"))
+    of = lambda name, v: other.select(F.col("vec_id").alias(name), F.col("v").alias(v))
+    pairs = first.join(of("a", "va"), "a").join(of("b", "vb"), "b").select("a", "b", F.round("score", 6).alias("appearance"), F.round(X.cosine(F.col("va"), F.col("vb")), 6).alias("trajectory"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "appearance", "trajectory"))
+    return vectors.gated_match(both, at_first=0.3, at_second=0.2)
 
 
 @register("priority_members", f"""WITH seed AS (SELECT vec_id, embedding FROM embeddings WHERE label = 3 ORDER BY vec_id LIMIT 20),
@@ -146,7 +147,7 @@ def priority_members(s, d):
 
 
 _AGREE = f"""WITH s AS (SELECT q.vec_id AS q, c.vec_id AS i, {cosine_sql('q.embedding', 'c.embedding')} AS full_score,
-   {cosine_sql('q.embedding[1:32]', 'c.embedding[1:32]')} AS half_score FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id < 20),
+   {cosine_sql('q.embedding[1:32]', 'c.embedding[1:32]')} AS half_score FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
  g AS (SELECT q, i, row_number() OVER (PARTITION BY q ORDER BY half_score DESC, i) AS r FROM s),
  f AS (SELECT q, i, row_number() OVER (PARTITION BY q ORDER BY full_score DESC, i) AS r FROM s),
  b AS (SELECT coalesce(g.q, f.q) AS q, g.r AS gr, f.r AS fr FROM (SELECT * FROM g WHERE r <= 10) g FULL JOIN (SELECT * FROM f WHERE r <= 10) f ON g.q = f.q AND g.i = f.i)
@@ -160,7 +161,7 @@ _AGREE = f"""WITH s AS (SELECT q.vec_id AS q, c.vec_id AS i, {cosine_sql('q.embe
 @register("ndcg_overlap", _AGREE)
 def ndcg_overlap(s, d):
     e = emb(s, d)
-    q = e.where("vec_id < 20").select(F.col("vec_id").alias("query"), "embedding", F.slice("embedding", 1, 32).alias("half"))
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), "embedding", F.slice("embedding", 1, 32).alias("half"))
     c = e.select(F.col("vec_id").alias("item"), "embedding", F.slice("embedding", 1, 32).alias("half"))
     ref = vectors.similarity_join(q, c, 11, -1.0, "query", "item", "embedding", "embedding").where("query <> item")
     got = vectors.similarity_join(q, c, 11, -1.0, "query", "item", "half", "half").where("query <> item")

@@ -122,8 +122,8 @@ def test_similarity_join_without_broadcast(spark, monkeypatch):
     left = spark.createDataFrame(rows, "l int, embedding array<double>")
     right = spark.createDataFrame(rows[:12], "r int, embedding array<double>")
     want = {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r").collect()}
-    monkeypatch.setattr(vectors, "MOST_BROADCAST", 5)
-    assert want and {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r", groups=4).collect()} == want
+    monkeypatch.setattr(vectors, "MOST_BROADCAST", 0)
+    assert want and {(x.l, x.r, x["rank"]) for x in vectors.similarity_join(left, right, 3, 0.2, "l", "r", block=7, parts=3).collect()} == want
 
 
 def test_many_places_go_through_the_grid(spark):
@@ -138,8 +138,8 @@ def test_many_places_go_through_the_grid(spark):
 def test_vocabulary_links(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d"), (2, "A."), (3, None), (4, "")], "id int, t string")
     names = spark.createDataFrame([(1, "B, c d"), (2, "A"), (3, "a b c d"), (4, "c a")], "n int, name string")
-    for most in (search.MOST_NAMES, 0):
-        monkeypatch.setattr(search, "MOST_NAMES", most)
+    for name, most in (("MOST_INLINE", search.MOST_INLINE), ("MOST_INLINE", 0), ("MOST_BROADCAST", 0)):
+        monkeypatch.setattr(search, name, most)
         got = {(r.id, r.n) for r in search.vocabulary_links(docs, names, "id", "t", "n", "name").collect()}
         assert got == {(1, 1), (1, 2), (1, 3), (2, 2)}
 
@@ -162,3 +162,70 @@ def test_fuzzy_keys_of_few_signs(spark):
         want[k] = min(held)[2] if held else None
     got = composites.fuzzy_key_join(spark.createDataFrame([(k,) for k in lefts], "k string"), spark.createDataFrame(rights, "rk string, path string"), "k", "rk", "path")
     assert {r.k: r.path for r in got.collect()} == want
+
+
+def test_ranks_without_windows_over_everything(spark):
+    import random
+
+    from meridian.operators import ranks
+
+    rows = [(i, random.Random(i).randrange(50), random.Random(i + 1).choice([1, 2, None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, k int, v int").repartition(7)
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    by = [F.col("k").desc(), F.col("id")]
+    assert {r.id: r["rank"] for r in ranks.ranked(df, by).collect()} == {r[0]: n for n, r in enumerate(order)}
+    sums, so_far = {}, 0
+    for i, _, v in order:
+        so_far += v or 0
+        sums[i] = so_far
+    assert {r.id: r.s for r in ranks.running_sum(df, by, F.col("v"), "s").collect()} == sums
+    assert {r.id: r.nxt for r in ranks.followed(df, by, "id", "nxt").collect()} == {a[0]: b[0] if b else None for a, b in zip(order, [*order[1:], None])}
+    for made in (ranks.ranked(df.limit(0), by), ranks.running_sum(df.limit(0), by, F.col("v"), "s"), ranks.followed(df.limit(0), by, "id", "nxt")):
+        assert made.count() == 0
+
+
+def test_kmeans_finds_separate_groups(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(i, [1000.0 * (i % 3) + rng.random(), -1000.0 * (i % 3) + rng.random()]) for i in range(90)] + [(900, [9000.0, 9000.0]), (901, [9000.1, 9000.0])]
+    got = {r.id: r.cluster for r in vectors.kmeans(spark.createDataFrame(rows, "id int, embedding array<double>"), [2, 4, 6], least=5).collect()}
+    assert got[900] is None and got[901] is None and len(got) == 92
+    assert len({got[i] for i in range(90)}) == 3 and all(got[i] == got[i % 3] is not None for i in range(90))
+
+
+def test_hashed_embedding_by_hand(spark):
+    import struct
+
+    import pytest
+
+    xxhash = pytest.importorskip("xxhash")
+
+    def brute(text, dims):
+        out = [0.0] * dims
+        for w in text.lower().split():
+            h = xxhash.xxh64_intdigest(w.encode(), 42)
+            signed = h - (1 << 64) if h >> 63 else h
+            second = xxhash.xxh64_intdigest(struct.pack("<i", 1), h)
+            out[signed % dims] += 1.0 if second % 2 == 0 else -1.0
+        size = sum(x * x for x in out) ** 0.5
+        return [x / size if size else x for x in out]
+
+    texts = ["the quick brown fox", "The the THE", "", "a b c d e f g h"]
+    got = spark.createDataFrame(list(enumerate(texts)), "id int, text string").select("id", composites.hashed_embedding(F.col("text"), 16).alias("v")).collect()
+    assert all(max(abs(a - b) for a, b in zip(r.v, brute(texts[r.id], 16))) < 1e-12 for r in got)
+
+
+def test_trajectory_vector_by_hand(spark):
+    import cmath
+    import math
+
+    points = [("a", float(t), 2.0 * t, 5.0) for t in range(0, 120, 2)]  # a straight walk: positions are evenly spaced
+    got = sequence.trajectory(spark.createDataFrame(points, "k string, t double, x double, y double"), ["k"], "t", "x", "y").first().embedding
+    at = [118 * i / 59 for i in range(60)]
+    xs, ys = [2 * t for t in at], [5.0] * 60
+    speed = lambda v: [0.0, *[b - a for a, b in zip(v, v[1:])]]
+    tone = lambda v, k: abs(sum(x * cmath.exp(-2j * math.pi * k * n / 60) for n, x in enumerate(v)))
+    want = [tone(v, k) for v in (xs, ys, speed(xs), speed(ys)) for k in range(16)]
+    size = math.sqrt(sum(w * w for w in want))
+    assert len(got) == 64 and all(abs(a - b / size) < 1e-9 for a, b in zip(got, want))
