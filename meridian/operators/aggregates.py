@@ -10,7 +10,7 @@ def coverage(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFrame:
     """(by.., property, filled, total, percent): how many rows have each property, in one pass."""
     sums = df.groupBy(*by).agg(F.count("*").alias("total"), *[F.count(c).alias(f"__{c}") for c in cols])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("property"), F.col(f"__{c}").alias("filled")) for c in cols])).alias("p")
-    return sums.select(*by, "total", pairs).select(*by, "p.property", "p.filled", "total", F.round(100.0 * F.col("p.filled") / F.col("total"), 2).alias("percent"))
+    return sums.select(*by, "total", pairs).select(*by, "p.property", "p.filled", "total", F.round(100.0 * F.col("p.filled") / F.nullif(F.col("total"), F.lit(0)), 2).alias("percent"))
 
 
 def dominant(df: DataFrame, by: list[str], label: str, weight: Column) -> DataFrame:

@@ -188,6 +188,8 @@ def kmeans(items: DataFrame, ks: list[int], vec: str = "embedding", seed: int =
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
+    if items.isEmpty():
+        return items.withColumn("cluster", F.lit(None).cast("int"))
     data = items.withColumn("__x", array_to_vector(F.col(vec).cast("array<double>")))
     fits = []
     for k in ks:

@@ -113,7 +113,7 @@ def validated_points(s, d):
 @register("seed_resolution", f"SELECT vec_id, round({cosine_sql('embedding', '(SELECT embedding FROM embeddings WHERE vec_id = 7)')}, 6) AS score FROM embeddings WHERE vec_id <> 7 ORDER BY score DESC, vec_id LIMIT 5")
 def seed_resolution(s, d):
     e = emb(s, d)
-    q = vectors.seed_vector(e, [F.col("vec_id") == -1, F.col("vec_id") == 7, F.col("vec_id") == 8], ["embedding"])
+    q = vectors.seed_vector(e, [F.col("vec_id") == -1, F.col("vec_id") == 7, F.col("vec_id") == 8], ["embedding"]) or []
     return vectors.knn(e, q, 5, "vec_id", exclude=7).select("vec_id", F.round("score", 6).alias("score"))
 
 

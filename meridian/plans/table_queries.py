@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from meridian.functions import exprs as X
 from meridian.operators import graph, incremental, intervals, nearest, upsert, vectors
-from meridian.plans.base import EVENTS, PLACES, events, haversine_sql, load, places
+from meridian.plans.base import EVENTS, PLACES, cosine_sql, events, haversine_sql, load, places
 from meridian.plans.registry import register
+from meridian.plans.vector_queries import CENTROIDS
 from meridian.sources import readers, writers
 
 orders, lineitem, part, customer, docs, conv, labels, nation, region, supplier, emb = (load(n) for n in ("orders", "lineitem", "part", "customer", "documents", "conversations", "labels", "nation", "region", "supplier", "embeddings"))
@@ -286,14 +287,23 @@ def highlights(s, d):
     return vectors.top_k(e.select(F.col("event_type").alias("kind"), "event_id", "value"), ["kind"], 5, "value", "event_id").select("kind", "event_id")
 
 
-@register("identity_linking")
+@register("identity_linking", f"""WITH RECURSIVE {CENTROIDS}, scored AS (SELECT vec_id, proto, {cosine_sql('embedding', 'c')} AS score FROM embeddings, centroids WHERE proto < 5),
+ found AS (SELECT vec_id, proto, score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, proto) AS n FROM scored WHERE score >= 0.35) x WHERE n = 1),
+ rest AS (SELECT * FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM found)),
+ p AS (SELECT x.vec_id AS a, y.vec_id AS b, {cosine_sql('x.embedding', 'y.embedding')} AS score FROM rest x JOIN rest y ON x.vec_id < y.vec_id WHERE {cosine_sql('x.embedding', 'y.embedding')} >= 0.35),
+ e AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r(id, n) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.n), m AS (SELECT id, min(n) AS component FROM r GROUP BY id),
+ g AS (SELECT component, md5(string_agg(CAST(id AS VARCHAR), '|' ORDER BY CAST(id AS VARCHAR))) AS cluster_id, count(*) AS size FROM m GROUP BY 1),
+ i AS (SELECT component, count(*) AS n, min(score) AS least FROM p JOIN m ON p.a = m.id GROUP BY 1),
+ f AS (SELECT cluster_id, size, CASE WHEN n = size * (size - 1) / 2 THEN least ELSE 0 END AS confidence FROM g JOIN i USING (component))
+ SELECT cluster_id, size, round(confidence, 6) AS confidence, CASE WHEN confidence >= 0.36 THEN 'confirmed' ELSE 'tentative' END AS status FROM f
+ UNION ALL SELECT 'known-' || proto, count(*), round(min(score), 6), 'confirmed' FROM found GROUP BY proto""")
 def identity_linking(s, d):
     """Fetch, prefilter against known prototypes, cluster the rest, finish clusters."""
     e = emb(s, d)
     known = vectors.weighted_mean(e.where("label < 5"), ["label"], "embedding").withColumnRenamed("label", "proto")
-    found = vectors.assign(e, known, 0.35, "vec_id", "proto")
+    found = graph.checkpointed(vectors.assign(e, known, 0.35, "vec_id", "proto"))
     rest = e.join(found, "vec_id", "left_anti")
-    pairs = vectors.near_duplicate_pairs(rest, 0.35, "vec_id")
+    pairs = graph.checkpointed(vectors.near_duplicate_pairs(rest, 0.35, "vec_id"))
     members = graph.connected_components(pairs, "a", "b").withColumnRenamed("component", "label")
     done = vectors.finished_clusters(members, pairs, "label", "id", 0.36)
     old = found.groupBy("proto").agg(F.count("*").alias("size"), F.min("score").alias("confidence")).select(F.concat(F.lit("known-"), F.col("proto").cast("string")).alias("cluster_id"), "size", "confidence", F.lit("confirmed").alias("status"))

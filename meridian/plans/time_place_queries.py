@@ -166,6 +166,6 @@ def midpoint_assign(s, d):
 @register("clip_to_window", f"""WITH b AS (SELECT min(t) + 864000e0 AS lo FROM {EVENTS} e) SELECT span_id, round(greatest(start, lo) - lo, 3) AS start, round(least(stop, lo + 86400) - lo, 3) AS stop
  FROM {spans_sql('view')} s, b WHERE start < lo + 86400 AND stop > lo AND least(stop, lo + 86400) > greatest(start, lo)""")
 def clip_to_window(s, d):
-    lo = events(s, d).agg(F.min("t").alias("m")).first().m + 864000.0
+    lo = (events(s, d).agg(F.min("t").alias("m")).first().m or 0.0) + 864000.0
     out = intervals.clip_to_window(spans(s, d).select("span_id", "start", "stop"), "start", "stop", lo, lo + 86400)
     return out.select("span_id", F.round("start", 3).alias("start"), F.round("stop", 3).alias("stop"))

@@ -185,7 +185,7 @@ def connected_components(s, d):
  f AS (SELECT cluster_id, size, CASE WHEN n = size * (size - 1) / 2 THEN least ELSE 0 END AS confidence FROM g JOIN i USING (component))
  SELECT cluster_id, size, round(confidence, 6) AS confidence, CASE WHEN confidence >= 0.36 THEN 'confirmed' ELSE 'tentative' END AS status FROM f""")
 def cluster_finalise(s, d):
-    pairs = vectors.near_duplicate_pairs(emb(s, d), 0.35, "vec_id")
+    pairs = graph.checkpointed(vectors.near_duplicate_pairs(emb(s, d), 0.35, "vec_id"))
     members = graph.connected_components(pairs, "a", "b").withColumnRenamed("component", "label")
     return _rounded(vectors.finished_clusters(members, pairs, "label", "id", 0.36), "confidence")
 

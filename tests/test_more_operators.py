@@ -229,3 +229,30 @@ def test_trajectory_vector_by_hand(spark):
     want = [tone(v, k) for v in (xs, ys, speed(xs), speed(ys)) for k in range(16)]
     size = math.sqrt(sum(w * w for w in want))
     assert len(got) == 64 and all(abs(a - b / size) < 1e-9 for a, b in zip(got, want))
+
+
+def test_calendar_query_by_brute_force(spark, sf):
+    from meridian.plans.catalogue import QUERIES
+
+    parts = spark.read.parquet(f"{sf}/part.parquet").collect()
+    want = {}
+    for brand in {p.p_brand for p in parts}:
+        own = [p for p in parts if p.p_brand == brand]
+        stock = [(p.p_size, str(p.p_partkey), f"t{p.p_partkey % 7}") for p in own]
+        for slot, topic in sorted((p.p_partkey, f"t{p.p_size % 5}") for p in own):
+            pick = min((x for x in stock if x[2] == topic), default=None) or min(stock, default=None)
+            want[slot] = pick[1] if pick else None
+            if pick:
+                stock.remove(pick)
+    assert {r.slot: r.short for r in QUERIES["calendar_fill"](spark, sf).collect()} == want and len(want) == len(parts)
+
+
+def test_queries_that_look_up_a_seed_on_empty_tables(spark, sf, tmp_path):
+    from meridian.plans.catalogue import QUERIES
+
+    for t in ("embeddings", "events", "part", "documents", "labels"):
+        df = spark.read.parquet(f"{sf}/{t}.parquet").limit(0)
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    for name in ("kmeans_clusters", "seed_resolution", "coverage_report", "clip_to_window", "knn_topk", "recall_media", "rrf_hybrid"):
+        rows = QUERIES[name](spark, str(tmp_path)).collect()
+        assert not rows or name == "coverage_report"
