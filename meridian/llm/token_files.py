@@ -213,6 +213,8 @@ MOST_BROADCAST = 500_000
 def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -> DataFrame:
     """(doc_id, text, ...) -> (part, seq, n_ids, file): in ascending doc_id order, an end id after every document.
 
+    A document lies in one file; one of more ids than ``ids_per_file`` has a file to itself, which must fit in a cell of 2 GB.
+
     Null ids come first, null texts have the end id alone, and rows of one id follow the order of their texts.
     """
     path = path or default_path("byte_bpe_50k.json")
