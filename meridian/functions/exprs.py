@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The earth's radius in metres and miles, metres in a degree of latitude.
 EARTH_M = 6_371_000.0
 EARTH_MILES = 3959.0
 METRES_PER_DEGREE = 111_320.0
@@ -171,6 +172,7 @@ def file_key(x: Column) -> Column:
     """The recording's stamp in a file name, else the name without directories, extension and known endings."""
     name = F.regexp_replace(F.regexp_replace(x, "^.*/", ""), r"\.[A-Za-z0-9]+$", "")
     stamp = F.regexp_extract(name, r"(\d{4}_\d{4}_\d{6})", 1)
+    # The known endings.
     plain = F.regexp_replace(name, "_(large|medium|small|base|tiny|transcription|speakers|entities|metadata|F|R|FR)+$", "")
     return F.when(stamp != "", stamp).otherwise(plain)
 
@@ -398,6 +400,7 @@ def key_time(key: Column, tz: str = "UTC") -> Column:
 
 def loose_date(x: Column) -> Column:
     """DATE from six common written forms."""
+    # The forms, in this order.
     forms = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "dd MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
     return F.coalesce(*[F.try_to_timestamp(F.trim(x), F.lit(f)) for f in forms]).cast("date")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meridian.functions.exprs import any_time, coalesce_columns, file_key, fraction, number
 from meridian.session import ship
 
+#: Kinds of files by their names.
 KINDS = (
     ("rttm", r"\.rttm$"),
     ("entities", r"entit[^/]*\.csv$"),

@@ -1,4 +1,4 @@
-"""Hand-computed cases of operators, expressions, readers, writers and streams."""
+"""Hand-computed cases of operators, expressions, readers, writers and streams. Expected results by definition."""
 
 import math
 import time
