@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meridian.functions.exprs import cosine, dot, unit
+from meridian.functions.exprs import cosine, unit
 
 #: A side is broadcast only up to so many bytes, by its rows and its longest vector; beyond that, joins go through blocks.
 MOST_BROADCAST = 16 << 20
+#: Between a product of matrices and the same sum term by term.
+SLACK = 1e-9
 
 
 def top_k(df: DataFrame, by: list[str], k: int, score: str = "score", tie: str = "id") -> DataFrame:
@@ -38,51 +47,147 @@ def seed_vector(items: DataFrame, lookups: list[Column], vec_cols: list[str]) ->
     return list(row.v) if row else None
 
 
-def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float, left_id: str, right_id: str, lv: str = "embedding", rv: str = "embedding", not_self: bool = False, block: int = 4096, parts: int = 16) -> DataFrame:
-    """(left_id, right_id, score, rank): each left row's k best right rows at or above the threshold.
+def _by_length(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Vectors -> length: (row numbers, matrix of the vectors at length 1); a zero vector stays as it is."""
+    sizes, out = pc.list_value_length(column).to_numpy(zero_copy_only=False), {}
+    for dim in np.unique(sizes):
+        at = np.nonzero(sizes == dim)[0]
+        rows = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), int(dim))
+        norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+        out[int(dim)] = at, np.divide(rows, norm, out=rows.copy(), where=norm > 0)
+    return out
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row, summed from the first component on, so that equal rows score alike wherever they stand."""
+    out = np.zeros(len(a))
+    for x, y in zip(a.T, b.T):
+        out = out + x * y
+    return out
+
+
+def _nearest_in(left: pa.Array, right: pa.Array, same: np.ndarray | None, k: int, threshold: float) -> tuple[np.ndarray, ...]:
+    """Row numbers (left, right) and scores: for each left row its best right rows, ties at the k-th place included.
 
-    The right side (concepts, prototypes) is measured: up to MOST_BROADCAST bytes it is broadcast. A larger one is cut into
-    blocks of about ``block`` rows and the left side into ``parts``; every pair of a part and a block is a key of the join,
-    and a left row's best of a block are cut to k before the blocks meet.
+    ``same``: for each left row the code of its id, and right codes, of which equal ones don't meet.
     """
-    a = left.select(F.col(left_id).alias("__l"), unit(F.col(lv)).alias("__lv"))
-    b = right.select(F.col(right_id).alias("__r"), unit(F.col(rv)).alias("__rv"))
-    score = dot(F.col("__lv"), F.col("__rv"))
-    keep = (F.size("__lv") == F.size("__rv")) & (score >= threshold)
-    if not_self:
-        keep = keep & (F.col("__l") != F.col("__r"))
-    n, longest = right.agg(F.count("*"), F.coalesce(F.max(F.size(rv)), F.lit(0))).first()
+    found = []
+    right_rows = _by_length(right)
+    for dim, (at, a) in _by_length(left).items():
+        if dim not in right_rows:
+            continue
+        to, b = right_rows[dim]
+        for start in range(0, len(at), 1024):
+            part = a[start : start + 1024]
+            score = part @ b.T
+            if same is not None:
+                score[same[0][at[start : start + 1024]][:, None] == same[1][to]] = -2.0
+            cut = np.full((len(part), 1), threshold)
+            if len(to) > k:
+                cut = np.maximum(cut, np.partition(score, len(to) - k, axis=1)[:, len(to) - k, None])
+            i, j = np.nonzero((score >= cut - SLACK) & (score > -2.0))
+            exact = _dots(part[i], b[j])
+            keep = exact >= threshold
+            found.append((at[start + i[keep]], to[j[keep]], exact[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _codes(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for ids, equal where the ids are."""
+    both = pa.concat_arrays([left, right.cast(left.type)]).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    return both[: len(left)], both[len(left) :]
+
+
+def _packed(df: DataFrame, by: list[str]) -> DataFrame:
+    """(by.., id, v) -> a row a block: (by.., ids, vs)."""
+    rows = df.groupBy(*by).agg(F.collect_list(F.struct("id", "v")).alias("r"))
+    return rows.select(*by, F.col("r.id").alias("ids"), F.col("r.v").alias("vs"))
+
+
+def _rows(df: DataFrame, id_col: str, vec: str, *more: str) -> DataFrame:
+    """(more.., id, v double[]): rows with an id, and a vector without nulls."""
+    v = F.col(vec).cast("array<double>")
+    return df.select(*more, F.col(id_col).alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+
+
+def similarity_join(left: DataFrame, right: DataFrame, k: int, threshold: float, left_id: str, right_id: str, lv: str = "embedding", rv: str = "embedding", not_self: bool = False, block: int = 2048, parts: int = 16) -> DataFrame:
+    """(left_id, right_id, score, rank): each left row's k best right rows at or above the threshold, ties to the smaller id.
+
+    Scores are products of matrices over Arrow batches. The right side (concepts, prototypes) is measured: up to
+    MOST_BROADCAST bytes it goes to every task. Larger, both sides are cut into blocks of about ``block`` rows; every left
+    block meets every right one under a key of the right block and one of ``parts``, and a left row's best of a block are cut
+    to k before the blocks meet. Vectors of different lengths don't match; rows without id or vector take no part.
+    """
+    a, b = _rows(left, left_id, lv), _rows(right, right_id, rv)
+    kinds = StructType([StructField("l", a.schema["id"].dataType), StructField("r", b.schema["id"].dataType), StructField("score", DoubleType())])
+    names = ["l", "r", "score"]
+    n, longest = b.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     if n * (longest + 4) * 8 <= MOST_BROADCAST:
-        pairs = a.join(F.broadcast(b), keep)
+        held = b.toArrow().combine_chunks()
+        ids, vs = (pa.concat_arrays(held[c].chunks) if held.num_rows else held[c].combine_chunks() for c in ("id", "v"))
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                same = _codes(batch.column(0), ids) if not_self else None
+                i, j, score = _nearest_in(batch.column(1), vs, same, k, threshold)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), ids.take(pa.array(j)), pa.array(score)], names)
+
+        scored = a.mapInArrow(near, kinds)
     else:
-        blocks = -(-n // block)
+        blocks, many = -(-n // block), F.lit(max(1, -(-a.count() // block)))
         each = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-        dealt = b.withColumn("__g", F.pmod(F.xxhash64("__r"), F.lit(blocks))).withColumn("__p", each(parts))
-        spread = a.withColumn("__q", F.pmod(F.xxhash64("__l"), F.lit(parts))).withColumn("__h", each(blocks))
-        pairs = spread.join(dealt, (F.col("__h") == F.col("__g")) & (F.col("__q") == F.col("__p")) & keep)
-    scored = pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), score.alias("score"))
-    return top_k(scored, [left_id], k, "score", right_id)
+        right_blocks = _packed(b.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(blocks))), ["g"]).select("g", each(parts).alias("p"), F.col("ids").alias("r_ids"), F.col("vs").alias("r_vs"))
+        left_blocks = _packed(a.withColumn("h", F.pmod(F.xxhash64("id"), many)), ["h"]).select((F.col("h") % parts).alias("p"), each(blocks).alias("g"), "ids", "vs")
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    l_ids, l_vs, r_ids, r_vs = (batch.column(c)[row].values for c in range(4))
+                    i, j, score = _nearest_in(l_vs, r_vs, _codes(l_ids, r_ids) if not_self else None, k, threshold)
+                    yield pa.RecordBatch.from_arrays([l_ids.take(pa.array(i)), r_ids.take(pa.array(j)), pa.array(score)], names)
+
+        scored = left_blocks.join(right_blocks, ["g", "p"]).select("ids", "vs", "r_ids", "r_vs").mapInArrow(meet, kinds)
+    return top_k(scored, ["l"], k, "score", "r").select(F.col("l").alias(left_id), F.col("r").alias(right_id), "score", "rank")
 
 
 def near_duplicate_pairs(items: DataFrame, threshold: float, id_col: str = "id", vec: str = "embedding", by: list[str] = (), block: int = 1024) -> DataFrame:
     """(by.., a, b, score), a < b: pairs of one group at or above the threshold, each once.
 
     Every pair of a group is compared, so the work is quadratic in a group; groups are cut into blocks of about ``block``
-    rows and pairs of blocks are the join's keys, so that a large group spreads over all tasks. Only pairs that reach the
-    threshold leave the join.
+    rows and pairs of blocks are the join's keys, so that a large group spreads over all tasks. A pair of blocks is one
+    product of matrices; only pairs that reach the threshold leave it. Rows without id or vector take no part.
     """
-    keys = [*by] or ["__all"]
-    rows = items.where(F.col(id_col).isNotNull() & F.col(vec).isNotNull()).select(*by, F.lit(1).alias("__all"), F.col(id_col).alias("__id"), unit(F.col(vec)).alias("__v"))
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("__k"))
-    cut = rows.join(sizes, keys).withColumn("__own", F.pmod(F.xxhash64("__id"), F.col("__k")).cast("int"))
-    one = cut.select(*keys, F.col("__id").alias("__a"), F.col("__v").alias("__av"), F.col("__own").alias("__i"), F.explode(F.sequence("__own", F.col("__k") - 1)).alias("__j"))
-    two = cut.select(*keys, F.col("__id").alias("__b"), F.col("__v").alias("__bv"), F.explode(F.sequence(F.lit(0), "__own")).alias("__i"), F.col("__own").alias("__j"))
-    hit = (one["__i"] == two["__i"]) & (one["__j"] == two["__j"])
-    for c in keys:
-        hit = hit & (one[c] == two[c])
-    score = dot(F.col("__av"), F.col("__bv"))
-    hit = hit & ((one["__i"] < two["__j"]) | (F.col("__a") < F.col("__b"))) & (F.col("__a") != F.col("__b")) & (score >= threshold)
-    return one.join(two, hit).select(*[one[c] for c in by], F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), score.alias("score"))
+    keys = [f"k{i}" for i in range(len(by))]
+    rows = _rows(items.select("*", *[F.col(c).alias(k) for c, k in zip(by, keys)]), id_col, vec, *keys).withColumn("all", F.lit(1))
+    groups = [*keys, "all"]
+    sizes = rows.groupBy(*groups).agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
+    same = lambda x, y: reduce(lambda p, q: p & q, [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in groups])
+    cut = rows.alias("x").join(sizes.alias("y"), same("x", "y")).select("x.*", "y.k").withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    packed = _packed(cut, [*groups, "k", "own"])
+    one = packed.select(*groups, F.col("own").alias("i"), F.explode(F.sequence("own", F.col("k") - 1)).alias("j"), "ids", "vs")
+    two = packed.select(*groups, F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), F.col("ids").alias("b_ids"), F.col("vs").alias("b_vs"))
+    met = one.alias("x").join(two.alias("y"), same("x", "y") & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")))
+    kind = rows.schema["id"].dataType
+    kinds = StructType([*[rows.schema[k] for k in keys], StructField("a", kind), StructField("b", kind), StructField("score", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a_ids, a_vs, b_ids, b_vs = (batch.column(len(keys) + 1 + c)[row].values for c in range(4))
+                own, other = _by_length(a_vs), _by_length(b_vs)
+                inner = batch.column(len(keys))[row].as_py()
+                for dim in own.keys() & other.keys():
+                    (at, a), (to, b) = own[dim], other[dim]
+                    i, j = np.nonzero(a @ b.T >= threshold - SLACK)
+                    score = _dots(a[i], b[j])
+                    x, y = a_ids.take(pa.array(at[i])), b_ids.take(pa.array(to[j]))
+                    keep = pc.and_(pa.array(score >= threshold), pc.less(x, y) if inner else pc.not_equal(x, y))  # a block with itself: each pair once
+                    swap = pc.greater(x, y)
+                    columns = [pa.array([batch.column(c)[row].as_py()] * len(i), batch.schema.field(c).type) for c in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*columns, pc.if_else(swap, y, x), pc.if_else(swap, x, y), pa.array(score)], [*keys, "a", "b", "score"]).filter(keep)
+
+    pairs = met.select(*[f"x.{k}" for k in keys], (F.col("x.i") == F.col("x.j")).alias("inner"), "x.ids", "x.vs", "y.b_ids", "y.b_vs").mapInArrow(run, kinds)
+    return pairs.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "a", "b", "score")
 
 
 def weighted_mean(df: DataFrame, by: list[str], vec: str, weight: Column | float = 1.0, normal: bool = True) -> DataFrame:
