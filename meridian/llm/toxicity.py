@@ -12,20 +12,24 @@ Forward-backward runs over many texts at once: laid end to end, cut into columns
 from __future__ import annotations
 
 import math
+import operator
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meridian.llm.common import checkpointed, fresh, frugal, held_out, sampled, table, training_rows
+from meridian.llm.common import fresh, frugal, held_out, sampled, table, training_rows
 
 TOKEN = re.compile(r"\w+")
+#: Steps of a drawn share.
+PARTS = 1_000_003
 SPANS = "array<struct<start:int,stop:int,score:double>>"
 
 
@@ -33,7 +37,7 @@ SPANS = "array<struct<start:int,stop:int,score:double>>"
 class Settings:
     """toxic, clean: bounds of the training samples in documents; counted: of the clean ones whose words are counted only.
 
-    document_bytes, label_bytes: bounds in bytes of a training document and of the training documents of one label.
+    document_bytes: of a training document at most. label_bytes: of the training documents of one label, about.
 
     buckets: of hashed features. chance: how many words may be tagged by chance, of all that are tried (Chernoff's bound);
     near copies count once.
@@ -283,8 +287,11 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     mine = docs.select("doc_id", text.alias("text"), F.octet_length(text).alias("bytes"), F.md5(text.cast("binary")).alias("digest")).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").where(F.col("bytes") <= s.document_bytes)
     one = mine.groupBy("doc_id", "label").agg(F.min(F.struct("digest", "bytes")).alias("m")).select("doc_id", "label", "m.digest", "m.bytes")
-    upto = Window.partitionBy("label").orderBy(F.xxhash64(F.lit("toxic"), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of the bounded sample
-    fit_in = checkpointed(one.withColumn("upto", F.sum("bytes").over(upto)).where(F.col("upto") <= s.label_bytes).select("doc_id", "digest"))
+    totals = {r.label: r.n for r in one.groupBy("label").agg(F.sum("bytes").alias("n")).collect()}
+    share = {k: min(1.0, s.label_bytes / max(1, n)) for k, n in totals.items()}
+    drawn = F.pmod(F.xxhash64(F.lit("toxic-bytes"), F.col("doc_id")), F.lit(PARTS))
+    fits = [(F.col("label") == k) & (drawn < int(PARTS * x)) for k, x in share.items()]
+    fit_in = one.where(reduce(operator.or_, fits, F.lit(False))).select("doc_id", "digest")
     rows = mine.join(F.broadcast(fit_in), ["doc_id", "digest"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label").toArrow()
     known.unpersist()
     if not rows.num_rows:

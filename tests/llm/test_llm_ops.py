@@ -378,7 +378,7 @@ def test_toxicity_training_is_bounded_in_bytes(spark):
         assert toxicity.train(df, labels, toxicity.Settings(document_bytes=10_000, label_bytes=12_000)) is not None
     finally:
         toxicity.fit = fit
-    assert 0 < seen[0] <= 24_000
+    assert 0 < seen[0] <= 1.5 * 24_000
 
 
 def test_positions_invert_the_schedule(spark):
