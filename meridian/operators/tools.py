@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.functions.exprs import loose_date
 from meridian.operators.intervals import containment_join
+from meridian.sources.readers import is_readonly
 
 
 @dataclass(frozen=True)
@@ -98,3 +100,24 @@ def personal_toolbox(spoken: DataFrame, written: DataFrame, concepts: DataFrame,
     told = lambda: spark.createDataFrame([(t["name"], t["description"], t["parameters"]) for t in box.describe()], "name string, description string, parameters map<string,string>")
     box.add(Tool("help", "Lists the tools.", {}, told, None))
     return box
+
+
+def query_of(text: str) -> str:
+    """The statement in a model's answer: inside a code fence if there is one, up to the first semicolon."""
+    fenced = re.search(r"```[a-zA-Z]*\s*(.*?)```", text, re.DOTALL)
+    return (fenced.group(1) if fenced else text).strip().split(";")[0].strip()
+
+
+def answered(spark: SparkSession, question: str, write: Callable[[str], str], most: int = 20) -> DataFrame:
+    """Rows that answer a question: ``write`` turns it into SQL, asked once more if nothing comes; only reading is allowed.
+
+    Raises ValueError without a statement and PermissionError for one that isn't a plain SELECT.
+    """
+    if not question.strip():
+        raise ValueError("no question")
+    sql = query_of(write(question)) or query_of(write(question))
+    if not sql:
+        raise ValueError("no statement was written")
+    if not is_readonly(sql):
+        raise PermissionError("the statement does more than read")
+    return spark.sql(sql).limit(most)

@@ -155,3 +155,83 @@ def test_query_tools(spark):
             box.call("said_about", **bad)
     with pytest.raises(KeyError):
         box.call("none")
+
+
+def test_models_by_hook(spark):
+    df = spark.createDataFrame([(1, "la la la", b"abc"), (2, None, None)], "id int, text string, raw binary")
+    hooks.CLASSIFIERS["la"] = lambda: lambda texts, labels: [[t.count("la") / 10, 1 - t.count("la") / 10] for t in texts]
+    got = {r.id: r.classes for r in hooks.classified(df, "text", ["song", "speech"], "la").collect()}
+    assert got == {1: {"song": 0.3, "speech": 0.7}, 2: {"song": 0.0, "speech": 1.0}}
+    hooks.WRITERS["loud"] = lambda: lambda texts: [t.upper() for t in texts]
+    assert [r.summary for r in hooks.written(df, "text", "loud").orderBy("id").collect()] == ["LA LA LA", ""]
+    long = spark.createDataFrame([("First one.  Second\none. " + "word " * 100,), ("x" * 50,), (None,)], "text string")
+    assert [r.summary for r in hooks.written(long, "text", most=30).collect()] == ["First one. Second one.", "x" * 30, ""]
+    hooks.SEGMENTERS["bytes"] = lambda: lambda contents: [[(0.0, float(len(c)), "music")] if c else [] for c in contents]
+    assert [tuple(r) for r in hooks.segmented(df, "id", "raw", "bytes").collect()] == [(1, 0.0, 3.0, "music")]
+    hooks.EMBEDDERS["raw"] = lambda: lambda contents: [[float(len(c))] for c in contents]
+    assert [r.embedding for r in hooks.embedded(df, "raw", model="raw").orderBy("id").collect()] == [[3.0], [0.0]]
+    items = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4)], "k string, n int")
+    cache = spark.createDataFrame([("a", 9.0)], "k string, v double")
+    rows, fresh = hooks.cached(items, cache, "k", "v", lambda df: df.withColumn("v", F.col("n").cast("double") * 0))
+    assert {(r.n, r.v) for r in rows.collect()} == {(1, 9.0), (2, 0.0), (3, 0.0), (4, 0.0)} and sorted(r.k for r in fresh.collect()) == ["b", "c"]
+
+
+FEED = b"""<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://x.org/abs/2401.1v1</id><title>A
+ title</title><summary> About it </summary><published>2024-01-02T00:00:00Z</published><author><name>Ann</name></author><author><name>Bo</name></author></entry>
+<entry><title>no id</title></entry></feed>"""
+FOLDERS = {
+    "https://h.org/cloud/remote.php/dav/me": ["/remote.php/dav/me/|dir", "/remote.php/dav/me/sub/|dir", "/remote.php/dav/me/a.mp4|5"],
+    "https://h.org/cloud/remote.php/dav/me/sub": ["/remote.php/dav/me/sub|dir", "/remote.php/dav/me/sub/b.JPG|7", "/remote.php/dav/me/sub/c.exe|1", "/remote.php/dav/me/sub/locked/|dir"],
+}
+
+
+def fake_server():
+    folders, feed = FOLDERS, FEED
+
+    def answer(method, url):
+        if method == "PROPFIND":
+            if url not in folders:
+                return 403, b""
+            item = lambda path, what: f"<d:response><d:href>{path}</d:href><d:propstat><d:prop>{'<d:resourcetype><d:collection/></d:resourcetype>' if what == 'dir' else f'<d:getcontentlength>{what}</d:getcontentlength>'}</d:prop></d:propstat></d:response>"
+            return 207, f"<d:multistatus xmlns:d='DAV:'>{''.join(item(*x.split('|')) for x in folders[url])}</d:multistatus>".encode()
+        if "api/query" in url:
+            return (200, feed) if "good" in url else (429, b"") if "busy" in url else (200, b"<broken")
+        if url.endswith("b.JPG"):
+            raise OSError("gone")
+        return 200, url.rsplit("/", 1)[-1].encode()
+
+    return answer  # a function of its own, which goes to the workers by value
+
+
+def test_feeds(spark):
+    from meridian.sources import remote
+
+    rows = remote.arxiv(spark, ["good one", "busy", "bad"], request=fake_server(), wait=0.0).collect()
+    assert [(r.arxiv_id, r.title, r.abstract, r.authors, r.published) for r in rows] == [("2401.1v1", "A  title", "About it", ["Ann", "Bo"], "2024-01-02T00:00:00Z")]
+    urls = spark.createDataFrame([("u://api/query/busy",), (None,)], "url string")
+    assert [(r.status, r.error) for r in remote.fetched(urls, fake_server(), wait=0.0).collect()] == [(429, "too many requests")]
+    bomb = spark.createDataFrame([(b"<!DOCTYPE x [<!ENTITY a 'b'>]>" + FEED,)], "body binary")
+    assert remote.atom_entries(bomb).count() == 0
+
+
+def test_webdav(spark):
+    from meridian.sources import remote
+
+    files = remote.webdav_files(spark, "https://h.org/cloud/remote.php/dav/me/", fake_server())
+    assert {(r.path, r.kind, r["size"]) for r in files.collect()} == {("a.mp4", "media", 5), ("sub/b.JPG", "media", 7), ("sub/c.exe", "other", 1)}
+    got = {r.path: (r.content, r.error) for r in remote.webdav_pulled(files, fake_server()).collect()}
+    assert got == {"a.mp4": (b"a.mp4", None), "sub/b.JPG": (None, "OSError: gone")}
+    have = spark.createDataFrame([("a.mp4", 5), ("sub/b.JPG", 6)], "path string, size long")
+    assert [r.path for r in remote.webdav_pulled(files, fake_server(), have).collect()] == ["sub/b.JPG"]
+
+
+def test_written_queries(spark):
+    spark.range(50).createOrReplaceTempView("numbers_of_test")
+    fence = "```"
+    said = iter(["", f"Here you are:\n{fence}sql\nSELECT id FROM numbers_of_test ORDER BY id; DROP TABLE x\n{fence}"])
+    assert [r.id for r in tools.answered(spark, "which?", lambda q: next(said)).collect()] == list(range(20))
+    with pytest.raises(PermissionError):
+        tools.answered(spark, "which?", lambda q: "DROP TABLE numbers_of_test")
+    for question, answer in ((" ", "SELECT 1"), ("which?", "")):
+        with pytest.raises(ValueError):
+            tools.answered(spark, question, lambda q, a=answer: a)
