@@ -18,7 +18,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLDED, PLAIN = UPPER + SIGNS, LOWER + " " * len(SIGNS)
 #: Lines that name the holders, which canonical texts don't have: "copyright" with a year, its placeholder, (c) or the sign;
 #: (c) with a year; the sign; "all rights reserved" by itself.
-HOLDERS = r"(^|\n)[^a-zA-Z0-9\n(©]*((?i:copyright)[^\n]*([0-9]{4}|\([cC]\)|©|[<\[]((?i:year|yyyy)))[^\n]*|\([cC]\)[^\n]*[0-9]{4}[^\n]*|©[^\n]*|(?i:all rights reserved)[^a-zA-Z0-9\n]*)($|\n)"
+HOLDERS = r"^[^a-zA-Z0-9\n(©]*((?i:copyright)[^\n]*([0-9]{4}|\([cC]\)|©|[<\[]((?i:year|yyyy)))[^\n]*|\([cC]\)[^\n]*[0-9]{4}[^\n]*|©[^\n]*|(?i:all rights reserved)[^a-zA-Z0-9\n]*)$"
 #: Holder lines can be there only if one of these is.
 HOLDING = r"(?i)copyright|\(c\)|©|all rights reserved"
 BLANKS = r"[\x00-\x20\x7f]+"
@@ -184,8 +184,7 @@ SAID = "(?i)licen|released|distributed|available"
 def canonical(text: Column) -> Column:
     """The canonical form: a null text counts as empty."""
     raw = F.coalesce(text.cast("string"), F.lit(""))
-    # neighbouring holder lines share a line end, so every second one goes in the second pass
-    free = F.when(raw.rlike(HOLDING), F.regexp_replace(F.regexp_replace(raw, HOLDERS, "\n"), HOLDERS, "\n")).otherwise(raw)
+    free = F.when(raw.rlike(HOLDING), F.regexp_replace(raw, f"(?md){HOLDERS}", "")).otherwise(raw)
     out = F.regexp_replace(F.translate(free, FOLDED, PLAIN), BLANKS, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
@@ -243,9 +242,7 @@ def _quoted(text: str) -> str:
 
 
 def _digest_sql(text: str) -> str:
-    out = f"coalesce({text}, '')"
-    for _ in range(2):
-        out = f"regexp_replace({out}, {_quoted(HOLDERS)}, chr(10), 'g')"
+    out = f"regexp_replace(coalesce({text}, ''), {_quoted('(?m)' + HOLDERS)}, '', 'g')"
     out = f"regexp_replace(translate({out}, {_quoted(FOLDED)}, {_quoted(PLAIN)}), {_quoted(BLANKS)}, ' ', 'g')"
     for a, b in SPELLINGS:
         out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
