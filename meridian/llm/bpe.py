@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import frugal, table
+from meridian.llm.common import frugal, keeps, table
 
 #: Fixed values of this vocabulary's splitting rule: contractions, runs of letters, single digits, runs of other signs.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -220,6 +220,9 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+keeps("bpe", vocabulary.cache_clear)
+
+
 def default_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -231,7 +234,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        frugal("bpe")
         bpe = vocabulary(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -247,7 +250,7 @@ def decoded(ids: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        frugal("bpe")
         bpe = vocabulary(path)
         for batch in batches:
             texts = [bpe.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
@@ -261,7 +264,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        frugal("bpe")
         bpe = vocabulary(path)
         for batch in batches:
             made = []

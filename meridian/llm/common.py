@@ -121,8 +121,22 @@ def sampled(df: DataFrame, rows: int, total: int, salt: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id")), F.lit(parts)) < int(parts * rows / total))
 
 
-def frugal() -> None:
-    """In a Python worker: Arrow allocates from the system, and freed memory goes back to it. Workers outlive their tasks."""
+#: What modules keep in a worker from task to task, by name, and how it is dropped.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, drop: Callable[[], None]) -> None:
+    _kept[name] = drop
+
+
+def frugal(keep: str | None = None) -> None:
+    """In a Python worker, at a task's start: Arrow allocates from the system, and freed memory goes back to it.
+
+    Workers outlive their tasks and stages: what other operators than ``keep`` hold from task to task is dropped.
+    """
+    for name, drop in _kept.items():
+        if name != keep:
+            drop()
     if pa.default_memory_pool().backend_name != "system":
         pa.set_memory_pool(pa.system_memory_pool())
         try:
@@ -131,6 +145,7 @@ def frugal() -> None:
             libc.mallopt(-1, 1 << 20)  # trim from a megabyte on
         except (OSError, AttributeError):  # another C library
             pass
+    trimmed()
 
 
 def trimmed() -> None:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.llm.bpe import default_path
-from meridian.llm.common import frugal, stored, table, trimmed
+from meridian.llm.common import frugal, keeps, stored, table, trimmed
 
 MAGIC, VERSION = b"MTOK", 1
 HEAD = struct.Struct("<4sHHIQQQ")
@@ -162,6 +162,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+keeps("token files", encoder.cache_clear)
+
+
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
     """Byte planes, low first, or bit planes, bit 0 first and eight ids a byte."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
@@ -221,7 +224,7 @@ def files(docs: DataFrame, layout: Layout = Layout(), path: str | None = None) -
     end = layout.end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frugal()
+        frugal("token files")
         from pyspark import TaskContext
 
         part, seq, make = TaskContext.get().partitionId(), 0, encoder(path)
