@@ -139,16 +139,16 @@ def test_hooks(spark):
 
 
 def test_query_tools(spark):
-    spoken = spark.createDataFrame([(1, "the call came", 100.0, "Boone"), (2, "we ski", 5000.0, None), (3, "later call", 90000.0, None)], "id int, text string, t double, place string").withColumn("ts", F.timestamp_seconds("t"))
+    spoken = spark.createDataFrame([(1, "the boat came", 100.0, "Harbour"), (2, "we walk", 5000.0, None), (3, "later boat", 90000.0, None)], "id int, text string, t double, place string").withColumn("ts", F.timestamp_seconds("t"))
     written = spark.createDataFrame([(9, "a note", 200.0)], "id int, text string, t double").withColumn("ts", F.timestamp_seconds("t"))
-    concepts = spark.createDataFrame([(1, "phone calls", 0.5), (3, "phone", 0.9), (2, "skiing", 1.0)], "id int, concept string, score double")
-    stays = spark.createDataFrame([(4000.0, "Park City"), (6000.0, "Park City"), (9.0, "Boone")], "t double, place string")
+    concepts = spark.createDataFrame([(1, "ship news", 0.5), (3, "ship", 0.9), (2, "walking", 1.0)], "id int, concept string, score double")
+    stays = spark.createDataFrame([(4000.0, "North Hill"), (6000.0, "North Hill"), (9.0, "Harbour")], "t double, place string")
     box = tools.personal_toolbox(spoken, written, concepts, stays)
     ids = lambda name, **kw: [r.id for r in box.call(name, **kw).collect()]
-    assert ids("said_about", concept=" phone ") == [3, 1] and ids("said_about", concept="phone", limit=1) == [3]
-    assert ids("said_at", place="Boone") == [1] and ids("said_at", place="Park") == [2] and ids("said_at", place="Nowhere") == []
+    assert ids("said_about", concept=" ship ") == [3, 1] and ids("said_about", concept="ship", limit=1) == [3]
+    assert ids("said_at", place="Harbour") == [1] and ids("said_at", place="North") == [2] and ids("said_at", place="Nowhere") == []
     assert [(r.kind, r.id) for r in box.call("activity_on", day="1970-01-01").collect()] == [("said", 1), ("said", 2), ("wrote", 9)]
-    assert ids("search_said", words="call") == [3, 1] and [r.place for r in box.call("timeline").collect()] == ["Park City", "Boone"]
+    assert ids("search_said", words="boat") == [3, 1] and [r.place for r in box.call("timeline").collect()] == ["North Hill", "Harbour"]
     assert box.call("help").count() == 6
     for bad in ({"concept": " "}, {}, {"place": "x"}):
         with pytest.raises(ValueError):
