@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -77,6 +78,15 @@ def discard(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     _stored[since:upto] = []
 
 
+def released(spark: SparkSession) -> None:
+    """Shuffle files of steps whose results are checkpointed go now: Spark deletes them when their plans are collected.
+
+    For between the large steps of one operator; otherwise they would stay until the driver happens to run out of memory.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

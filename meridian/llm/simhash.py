@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import LOWER_ASCII, checkpointed, fresh, frugal, stored, trimmed
+from meridian.llm.common import LOWER_ASCII, checkpointed, fresh, frugal, released, stored, trimmed
 from meridian.llm.components import components
 
 SEED = 42
@@ -292,14 +292,15 @@ def _digest() -> Column:
 def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
     """(doc_id, text) -> (doc_id, digest of the text, node long, size int, p0 to p3 long, shingles binary): a row's set.
 
-    node is a digest of the set. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
+    The set holds 32 bits of each shingle's hash, which halves what is stored and shuffled: of n shingles about n * n / 2**33
+    fall together, one in a text of 90 000 words. node is a digest of the set. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
     at least as many shingles as their parities differ in bits.
     """
 
     def told(text: str | None) -> tuple:
-        h = np.unique(shingles(text, plan.words))
+        h = np.unique(shingles(text, plan.words).astype(np.uint32))
         data = h.tobytes()
-        parity = np.packbits(np.bincount((h & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1, bitorder="little").view("<i8")
+        parity = np.packbits(np.bincount((h & np.uint32(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1, bitorder="little").view("<i8")
         return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True), len(h), *parity.tolist(), data
 
     kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
@@ -318,7 +319,7 @@ def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+    return [np.frombuffer(x, np.uint32) for x in column.to_pylist()]
 
 
 def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -330,13 +331,14 @@ def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         frugal()
         for batch in batches:
             for h in _sets(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["token"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int32))], ["token"])
 
-    counted = part.select("shingles").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 3")
+    counted = part.select("shingles").mapInArrow(run, "token int").groupBy("token").agg(F.count("*").alias("n")).where("n > 3")
     top = counted.orderBy(F.col("n").desc(), "token").limit(MOST_COMMON).toArrow()
     tokens, counts = (top.column(c).to_numpy() for c in ("token", "n"))
-    order = np.argsort(tokens.view(np.uint64))
-    return tokens.view(np.uint64)[order], counts[order]
+    tokens = tokens.astype(np.int32).view(np.uint32)
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
 
 
 def _prefixes(rows: DataFrame, similarity: float, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -355,11 +357,11 @@ def _prefixes(rows: DataFrame, similarity: float, tokens: np.ndarray, counts: np
                         h = h[np.argsort(np.where(tokens[at] == h, counts[at], 0), kind="stable")]
                     out.append(h[:n])
                 many = np.array([len(h) for h in out], np.int64)
-                flat = np.concatenate([*out, np.empty(0, np.uint64)]).view(np.int64)
+                flat = np.concatenate([*out, np.empty(0, np.uint32)]).view(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(names, many)), pa.array(np.repeat(sizes, many))], ["token", "node", "size"])
         trimmed()
 
-    return rows.select("node", "size", "shingles").mapInArrow(run, "token long, node long, size int")
+    return rows.select("node", "size", "shingles").mapInArrow(run, "token int, node long, size int")
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
@@ -369,6 +371,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: fl
     most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + EPS
     sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - EPS
     likely = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= most)).select("a", "b"))
+    released(rows.sparkSession)
     wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
 
@@ -398,15 +401,19 @@ def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     prefixes = _prefixes(rows, plan.similarity, *_common(rows))
     held = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("token", "least")
     shared = checkpointed(prefixes.join(held, "token").select("token", "node", "size", "least").distinct())
+    released(docs.sparkSession)
     first = _similar(shared.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, rows, plan.similarity)
+    released(docs.sparkSession)
     near = components(first).withColumnRenamed("a", "node")
     named = checkpointed(shared.select("token", "node", "size").join(near, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    released(docs.sparkSession)
     apart = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
     rest = named.join(apart, "token", "left_semi")
     other = rest.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"))
     fit = F.least("size", "b_size") >= F.greatest("size", "b_size") * plan.similarity - EPS
     pairs = rest.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & fit).select(F.col("node").alias("a"), "b").distinct()
     found = first.unionByName(_similar(pairs, nodes, rows, plan.similarity))
+    released(docs.sparkSession)
     return rows, components(found).withColumnRenamed("a", "node")
 
 
