@@ -6,8 +6,9 @@ blocks is a unit of work, so that no task gets a whole hot bucket. In a unit, th
 word each: a query's bit against a plane is one XOR for 64 distances, added into vertical carry-save counters, and a word
 is abandoned once all its lanes exceed the radius. A unit returns a spanning forest of its links, never all pairs.
 
-A plan with a similarity links by the Jaccard similarity of the sets of shingles instead, and misses no pair: two similar
-sets share a shingle of their prefixes in any common order, here the rarest first.
+A plan with a similarity links by the Jaccard similarity of the sets of shingles. Its fingerprints, compared in the same
+way, propose the links and the sets confirm them. Fingerprints alone miss similar pairs, so sets that are not connected
+by then meet once more: two similar sets share a shingle of their prefixes in any common order, here the rarest first.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import LOWER_ASCII, checkpointed, fresh, frugal, released, stored, trimmed
+from meridian.llm.common import LOWER_ASCII, bookmark, checkpointed, discard, fresh, frugal, released, stored, trimmed
 from meridian.llm.components import components
 
 SEED = 42
@@ -36,7 +37,8 @@ class Plan:
 
     tables and key_bits: 0 for the exact blocking by pigeonholes (quarters of the fingerprint, two of which agree when
     at most two bits differ), else that many tables of as many sampled bits. block: nodes in a block of a bucket.
-    similarity: of a link at least, where it is given; the fields but ``words`` don't count then.
+    similarity: of a link at least, where it is given; the other fields then say which links fingerprints propose, and
+    key_bits is the least, more on large tables.
     """
 
     words: int = 3
@@ -60,10 +62,12 @@ class Plan:
 
 #: op2: three words, 64 bits, 2 bits apart at most.
 CONTRACT = Plan()
-#: Five words, a Jaccard similarity of 0.8 or more.
-NEAR_DEDUP = Plan(words=5, similarity=0.8)
+#: Five words, a Jaccard similarity of 0.8 or more. At 0.8 fingerprints differ in 19 of 128 bits on average.
+NEAR_DEDUP = Plan(words=5, bits=128, radius=28, tables=32, key_bits=16, similarity=0.8)
 #: Shingles are counted in a sample of so many texts; so many of the most common ones go last in the order of prefixes.
 SAMPLE, MOST_COMMON = 20_000, 200_000
+#: So many names of sets are broadcast at most.
+FEW = 1_000_000
 #: Slack of comparisons with a product of the similarity.
 EPS = 1e-9
 
@@ -211,8 +215,16 @@ def _slots(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _apart(fps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits fps[a] and fps[b] differ in."""
+    return np.concatenate([np.bitwise_count(fps[a[at : at + 65536]] ^ fps[b[at : at + 65536]]).sum(axis=1, dtype=np.int32) for at in range(0, len(a), 65536)] or [np.empty(0, np.int32)])
+
+
 def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
-    """Units of ``sizes`` nodes, one after another in fps (n, bytes): the links of a spanning forest, as indexes."""
+    """Units of ``sizes`` nodes, one after another in fps (n, bytes): the links of a spanning forest, as indexes.
+
+    Under a plan with a similarity each node's link to the nearest of those before it in its unit, for a check of pairs.
+    """
     first, begin = np.cumsum(sizes) - sizes, _slots(sizes)
     unit = np.repeat(np.arange(len(sizes)), sizes)
     begin, first = begin[unit], first[unit]
@@ -225,6 +237,7 @@ def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 14)
     spans = slot // 64 - begin // 64 + 1  # a node meets those of its unit before it: the words up to its own
     below = lambda n: np.where(n >= 64, np.uint64(2**64 - 1), (np.uint64(1) << np.minimum(n, 63).astype(np.uint64)) - np.uint64(1))
     pairs_a, pairs_b, todo, at = [], [], np.cumsum(spans), 0
+    nearest = np.full(len(fps), -1, np.int64)
     while at < len(fps):
         to = max(at + 1, int(np.searchsorted(todo, (todo[at - 1] if at else 0) + chunk, "right")))
         query = np.repeat(np.arange(at, to), spans[at:to])
@@ -237,13 +250,23 @@ def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 14)
         got, alive = within_radius(bits, query, word, lanes, planes, plan.radius)
         i, lane = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
         found = query[got[i]]
-        pairs_a.append(found)
-        pairs_b.append(first[found] + word[got[i]] * 64 + lane - begin[found])
+        partner = first[found] + word[got[i]] * 64 + lane - begin[found]
         at = to
+        if plan.similarity:  # the queries of a step are in it with all their pairs
+            order = np.lexsort((partner, _apart(fps, found, partner), found))
+            found, partner = found[order], partner[order]
+            own, where = np.unique(found, return_index=True)
+            nearest[own] = partner[where]
+            continue
+        pairs_a.append(found)
+        pairs_b.append(partner)
         if sum(map(len, pairs_a)) > 1 << 20:  # the forest so far stands for its links
             label = _forest(len(fps), np.concatenate(pairs_a), np.concatenate(pairs_b))
             kept = np.nonzero(label != np.arange(len(fps)))[0]
             pairs_a, pairs_b = [kept], [label[kept]]
+    if plan.similarity:
+        a = np.nonzero(nearest >= 0)[0]
+        return a, nearest[a]
     a, b = np.concatenate([*pairs_a, np.empty(0, np.int64)]).astype(np.int64), np.concatenate([*pairs_b, np.empty(0, np.int64)]).astype(np.int64)
     label = _forest(len(fps), a, b)
     a = np.nonzero(label != np.arange(len(fps)))[0]
@@ -251,7 +274,10 @@ def linked(sizes: np.ndarray, fps: np.ndarray, plan: Plan, chunk: int = 1 << 14)
 
 
 def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
-    """(fp) distinct -> (a binary, b binary): links that connect all nodes joined by chains within the radius."""
+    """(fp) distinct -> (a binary, b binary): links that connect all nodes joined by chains within the radius.
+
+    Under a plan with a similarity each fingerprint's link to the nearest of the lesser ones that it meets.
+    """
     rows = _bucketed(nodes, plan)
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").where(F.col("n") > plan.block)
     blocks = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / plan.block).cast("int")
@@ -263,7 +289,7 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
         .groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         .agg(F.collect_list("fp").alias("fps"))
         .where(F.size("fps") > 1)
-        .select("fps")
+        .select(F.array_sort("fps").alias("fps") if plan.similarity else "fps")
     )
     most = 1 << 13
 
@@ -276,12 +302,16 @@ def links(nodes: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
             while at < len(lists):
                 to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
                 part = lists.values.slice(ends[at], ends[to] - ends[at])
-                a, b = linked(np.diff(ends[at : to + 1]), _rows(part, plan.bits // 8), plan)
-                yield pa.RecordBatch.from_arrays([part.take(pa.array(a)), part.take(pa.array(b))], ["a", "b"])
+                fps = _rows(part, plan.bits // 8)
+                a, b = linked(np.diff(ends[at : to + 1]), fps, plan)
+                yield pa.RecordBatch.from_arrays([part.take(pa.array(a)), part.take(pa.array(b)), pa.array(_apart(fps, a, b))], ["a", "b", "apart"])
                 at = to
         trimmed()
 
-    return units.mapInArrow(run, "a binary, b binary").distinct()
+    found = units.mapInArrow(run, "a binary, b binary, apart int")
+    if plan.similarity:
+        return found.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", "m.b")
+    return found.select("a", "b").distinct()
 
 
 def _digest() -> Column:
@@ -289,11 +319,18 @@ def _digest() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
 
+def _of_set(h: np.ndarray, plan: Plan) -> bytes:
+    """The fingerprint of a set of 32-bit hashes."""
+    lanes = plan.bits // 64
+    ones = _ones(np.ascontiguousarray(_mixed(h.astype(np.uint64), lanes + 1)[:, 1:]))
+    return np.packbits(ones * 2 > len(h), bitorder="little").tobytes()
+
+
 def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(doc_id, text) -> (doc_id, digest of the text, node long, size int, p0 to p3 long, shingles binary): a row's set.
+    """(doc_id, text) -> (doc_id, digest of the text, node long, size int, p0 to p3 long, fp binary, shingles binary): a row's set.
 
     The set holds 32 bits of each shingle's hash, which halves what is stored and shuffled: of n shingles about n * n / 2**33
-    fall together, one in a text of 90 000 words. node is a digest of the set. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
+    fall together, one in a text of 90 000 words. node is a digest of the set, fp its fingerprint. p0 to p3: the parities of how many shingles fall in each of 256 cells; two sets differ in
     at least as many shingles as their parities differ in bits.
     """
 
@@ -301,9 +338,9 @@ def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
         h = np.unique(shingles(text, plan.words).astype(np.uint32))
         data = h.tobytes()
         parity = np.packbits(np.bincount((h & np.uint32(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1, bitorder="little").view("<i8")
-        return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True), len(h), *parity.tolist(), data
+        return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True), len(h), *parity.tolist(), _of_set(h, plan), data
 
-    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
@@ -312,9 +349,9 @@ def shingled(docs: DataFrame, plan: Plan) -> DataFrame:
                 part = batch.slice(at, 512)
                 rows = [told(t) for t in part.column(1).to_pylist()]
                 made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *made], ["doc_id", "digest", "node", "size", "p0", "p1", "p2", "p3", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *made], ["doc_id", "digest", "node", "size", "p0", "p1", "p2", "p3", "fp", "shingles"])
 
-    schema = "doc_id long, digest string, node long, size int, p0 long, p1 long, p2 long, p3 long, shingles binary"
+    schema = "doc_id long, digest string, node long, size int, p0 long, p1 long, p2 long, p3 long, fp binary, shingles binary"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _digest().alias("digest")).mapInArrow(run, schema)
 
 
@@ -342,13 +379,19 @@ def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(rows: DataFrame, similarity: float, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(token, node, size): the rarest shingles of each set, as many as two similar sets can't differ in and one more."""
+    """(token, node, size): the rarest shingles of each set, as many as two similar sets can't differ in and one more.
+
+    A task gives a set once, however many rows have it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
+        seen: set[int] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
+                own = part.column(0).to_pylist()
+                part = part.filter(pa.array([x not in seen and not seen.add(x) for x in own], pa.bool_()))
                 names, sizes, out = part.column(0).to_numpy(), part.column(1).to_numpy(), []
                 for h in _sets(part.column(2)):
                     n = len(h) - math.ceil(len(h) * similarity - EPS) + 1 if len(h) else 0
@@ -372,8 +415,9 @@ def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: fl
     sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - EPS
     likely = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= most)).select("a", "b"))
     released(rows.sparkSession)
-    wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
+    wanted = checkpointed(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
+    few = F.broadcast(wanted) if wanted.count() <= FEW else wanted  # then the other sets aren't shuffled
+    sets = rows.join(few, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
@@ -390,38 +434,59 @@ def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: fl
     return checkpointed(whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
+def _proposed(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """(node, fp) -> (a, b): links that the fingerprints propose, one at most a node."""
+    least = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("least")))
+    plan = replace(plan, key_bits=max(plan.key_bits, (least.count() // 8).bit_length()))
+    same = nodes.join(least, "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    of = lambda s: least.select(F.col("fp").alias(s), F.col("least").alias(f"{s}_node"))
+    near = links(least.select("fp"), plan).join(of("a"), "a").join(of("b"), "b")
+    return same.unionByName(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
+
+
 def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """The shingled rows, and (node, label) of the nodes that are linked.
 
-    First each set meets the least one that shares a shingle of its prefix; then all pairs that share one meet, but those
-    that are connected already.
+    First come the links that fingerprints propose; then all pairs of sets that share a shingle of their prefixes meet, but
+    those that are connected already.
     """
+    spark = docs.sparkSession
     rows = stored(shingled(docs, plan), "shingles")
-    nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "p0", "p1", "p2", "p3")]))
-    prefixes = _prefixes(rows, plan.similarity, *_common(rows))
-    held = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("token", "least")
-    shared = checkpointed(prefixes.join(held, "token").select("token", "node", "size", "least").distinct())
-    released(docs.sparkSession)
-    first = _similar(shared.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), nodes, rows, plan.similarity)
-    released(docs.sparkSession)
+    nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "p0", "p1", "p2", "p3", "fp")]))
+    first = _similar(_proposed(nodes, plan), nodes, rows, plan.similarity)
     near = components(first).withColumnRenamed("a", "node")
-    named = checkpointed(shared.select("token", "node", "size").join(near, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    released(docs.sparkSession)
+    common = _common(rows)
+    released(spark)
+    prefixes, mark = _prefixes(rows, plan.similarity, *common), bookmark()
+    held = stored(prefixes.groupBy("token").agg(F.min("node").alias("l"), F.max("node").alias("m")).where("l <> m").select("token"), "held")
+    released(spark)
+    shared = stored(prefixes.join(held, "token").distinct(), "shared")
+    released(spark)
+    named = stored(shared.join(near, "node", "left").select("token", "node", "size", F.coalesce("label", "node").alias("label")), "named")
+    released(spark)
     apart = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
     rest = named.join(apart, "token", "left_semi")
     other = rest.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"))
     fit = F.least("size", "b_size") >= F.greatest("size", "b_size") * plan.similarity - EPS
-    pairs = rest.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & fit).select(F.col("node").alias("a"), "b").distinct()
+    met = rest.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & fit)
+    after = lambda c: F.ceil(F.col(c) * plan.similarity - EPS) - 1  # noqa: E731 - shingles that aren't in the prefix
+    # The prefix that ends first in the common order shares nothing with the other set's remainder, so at most all after it is shared too.
+    enough = F.col("n") + F.greatest(after("size"), after("b_size")) >= (F.col("size") + F.col("b_size")) * (plan.similarity / (1 + plan.similarity)) - EPS
+    pairs = met.groupBy("node", "size", "b", "b_size").agg(F.count("*").alias("n")).where(enough).select(F.col("node").alias("a"), "b")
     found = first.unionByName(_similar(pairs, nodes, rows, plan.similarity))
-    released(docs.sparkSession)
+    discard(spark, mark)
+    released(spark)
     return rows, components(found).withColumnRenamed("a", "node")
 
 
 def _labelled(docs: DataFrame, plan: Plan) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, digest, node, label) by similarity: every row, with its set and the set's component."""
+    mark = bookmark()
     rows, labels = _by_similarity(docs, plan)
     label = F.coalesce("label", "node").alias("label")
-    return checkpointed(rows.select("doc_id", "digest", "node").join(labels, "node", "left").select("doc_id", "digest", "node", label))
+    named = checkpointed(rows.select("doc_id", "digest", "node").join(labels, "node", "left").select("doc_id", "digest", "node", label))
+    discard(docs.sparkSession, mark)
+    return named
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT) -> DataFrame:
@@ -459,20 +524,32 @@ def deduplicated(docs: DataFrame, plan: Plan = NEAR_DEDUP) -> DataFrame:
     """The documents but one row of each group gone, with all columns; ``plan`` must have a similarity.
 
     The row of the least id stays; of rows that repeat it the least text digest, then the first in the order of the
-    columns. A row without an id stays only where its group has no id.
+    columns. A row without an id stays only where its group has no id. Only the keys of rows that go or repeat are joined
+    to the documents, so that their texts aren't shuffled as long as those are few.
     """
     if not plan.similarity:
         raise ValueError("give a plan with a similarity")
+    labelled = _labelled(docs, plan)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("m")
-    own_id, own_digest, digest = (fresh(docs, n) for n in ("own_id", "own_digest", "digest"))
-    kept = _labelled(docs, plan).groupBy("label").agg(first).select(F.col("m.doc_id").alias(own_id), F.col("m.digest").alias(own_digest))
+    stays = labelled.groupBy("label").agg(first).select("label", F.col("m.doc_id").alias("doc_id"), F.col("m.digest").alias("digest"), F.lit(True).alias("stays"))
+    held = labelled.groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n")).alias("h")
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("label", "doc_id", "digest")]
+    own_id, own_digest, digest, again = (fresh(docs, n) for n in ("own_id", "own_digest", "digest", "again"))
+    named = held.join(stays.alias("s"), same, "left").where(F.col("stays").isNull() | (F.col("n") > 1))
+    told = checkpointed(named.select(F.col("h.doc_id").alias(own_id), F.col("h.digest").alias(own_digest), F.col("stays").isNotNull().alias(again)))
+    repeats, few = told.where(f"`{again}`").count(), told.count() <= FEW // 2
+    released(docs.sparkSession)
     rows = docs.withColumn(digest, _digest())
-    stay = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (F.col(digest) == F.col(own_digest)), "left_semi")
+    of_row = rows["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (F.col(digest) == F.col(own_digest))
+    marked = rows.join(F.broadcast(told) if few else told, of_row, "left")
+    alone = marked.where(F.col(again).isNull()).select(*[F.col(f"`{n}`") for n in docs.columns])
+    if not repeats:
+        return alone
     plain = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
     order = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(plain)])  # maps have no order of their own
     whole = F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(docs.columns)])
-    one = stay.groupBy("doc_id", digest).agg(F.min_by(whole, order).alias("m"))
-    return one.select(*[F.col(f"m.c{i}").alias(n) for i, n in enumerate(docs.columns)])
+    one = marked.where(F.col(again)).groupBy("doc_id", digest).agg(F.min_by(whole, order).alias("m"))
+    return alone.unionByName(one.select(*[F.col(f"m.c{i}").alias(n) for i, n in enumerate(docs.columns)]))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -154,6 +154,49 @@ def test_near_dedup_misses_no_similar_pair(spark, monkeypatch):
     assert got == brute_components(sets, near)
 
 
+def test_near_dedup_finds_its_links_by_fingerprints(spark, monkeypatch):
+    whole = simhash._prefixes
+    monkeypatch.setattr(simhash, "_prefixes", lambda *a: whole(*a).where("false"))  # what fingerprints miss stays missed
+    rng = np.random.default_rng(11)
+    rows = []
+    for d in range(80):
+        base = [f"w{x}" for x in rng.integers(0, 100_000, 300)]
+        for c in range(3):
+            copy = base.copy()
+            for at in rng.choice(300, 2 * c, replace=False):
+                copy[at] = f"x{rng.integers(0, 100_000)}"
+            rows.append((d * 10 + c, " ".join(copy)))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR_DEDUP).collect()}
+    assert sum(v == k // 10 * 10 for k, v in got.items()) >= 0.95 * len(rows) and all(v // 10 == k // 10 for k, v in got.items())
+
+
+def test_near_dedup_links_stand_for_direct_pairs():
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 256, 16, dtype=np.uint8)
+    fps = np.stack([base] * 200)
+    for i in range(1, 200):
+        for bit in rng.choice(128, int(rng.integers(1, 24)), replace=False):
+            fps[i, bit // 8] ^= 1 << (bit % 8)
+    a, b = simhash.linked(np.array([150, 50]), fps, simhash.NEAR_DEDUP, chunk=300)
+    want = {}
+    for i in range(200):
+        apart = [(int(np.unpackbits(fps[i] ^ fps[j]).sum()), j) for j in range(0 if i < 150 else 150, i)]
+        if apart and min(apart)[0] <= simhash.NEAR_DEDUP.radius:
+            want[i] = min(apart)[1]
+    assert dict(zip(a.tolist(), b.tolist())) == want and len(want) > 150
+
+
+def test_near_dedup_compares_few_whole_sets(spark, monkeypatch):
+    met, whole = [], simhash._similar
+    monkeypatch.setattr(simhash, "MOST_COMMON", 0)
+    monkeypatch.setattr(simhash, "_similar", lambda pairs, *a: met.append(pairs.count()) or whole(pairs, *a))
+    rng = np.random.default_rng(13)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(d, " ".join([*(f"w{x}" for x in rng.integers(0, 10**6, 1500)), passage])) for d in range(30)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR_DEDUP).collect()
+    assert all(r.doc_id == r.component_id for r in got) and sum(met) < 5
+
+
 def test_deduplicated_decides_by_row(spark):
     text = lambda n: " ".join(f"{n}w{i}" for i in range(50))
     rows = [(3, text("a")), (5, text("a")), (5, text("b")), (6, text("b")), (6, text("c")), (None, text("d")), (None, text("d")), (None, text("e")), (7, text("e"))]
