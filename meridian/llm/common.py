@@ -27,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch that goes to a Python worker. Spark's own bound lets 10 000 whole texts be held at once, by the JVM and by the worker.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by ``BATCH_BYTES`` from now on, in a session that names no bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where the session names none."""
     where, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext

@@ -9,6 +9,8 @@ is abandoned once all its lanes exceed the radius. A unit returns a spanning for
 A plan with a similarity links by the Jaccard similarity of the sets of shingles. Its fingerprints, compared in the same
 way, propose the links and the sets confirm them. Fingerprints alone miss similar pairs, so sets that are not connected
 by then meet once more: two similar sets share a shingle of their prefixes in any common order, here the rarest first.
+Where many sets share one, each meets a few of them first, which connects large groups of near copies; then all meet that
+are not connected yet.
 """
 
 from __future__ import annotations
@@ -64,12 +66,16 @@ class Plan:
 CONTRACT = Plan()
 #: Five words, a Jaccard similarity of 0.8 or more. At 0.8 fingerprints differ in 19 of 128 bits on average.
 NEAR_DEDUP = Plan(words=5, bits=128, radius=28, tables=32, key_bits=16, similarity=0.8)
-#: Shingles are counted in a sample of so many texts; so many of the most common ones go last in the order of prefixes.
+#: Shingles are counted in a sample of so many texts, or half of them; so many of the most common ones go last in the order of prefixes.
 SAMPLE, MOST_COMMON = 20_000, 200_000
+#: Of sets that share a shingle of their prefixes, if there are more than LARGE, STARS meet all others; a set is compared with MEETINGS of those it met.
+LARGE, STARS, MEETINGS = 8, 8, 16
 #: So many names of sets are broadcast at most.
 FEW = 1_000_000
 #: Slack of comparisons with a product of the similarity.
 EPS = 1e-9
+#: What of a set tells whether it can be similar to another.
+TOLD = ("size", "p0", "p1", "p2", "p3")
 
 
 def _mixed(h: np.ndarray, lanes: int) -> np.ndarray:
@@ -362,7 +368,7 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 def _common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most common shingles of a sample of the sets, sorted, and their counts there."""
     n, parts = rows.count(), 1_000_003
-    part = rows.where(F.pmod(F.xxhash64("node"), F.lit(parts)) < max(1, int(parts * min(1.0, SAMPLE / max(n, 1)))))
+    part = rows.where(F.pmod(F.xxhash64("node"), F.lit(parts)) < max(1, int(parts * min(1.0, max(0.5, SAMPLE / max(n, 1))))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frugal()
@@ -407,13 +413,24 @@ def _prefixes(rows: DataFrame, similarity: float, tokens: np.ndarray, counts: np
     return rows.select("node", "size", "shingles").mapInArrow(run, "token int, node long, size int")
 
 
+def _possible(a: str, b: str, similarity: float) -> Column:
+    """Whether sets can be similar by their sizes and parities, in columns that begin with ``a`` and ``b``."""
+    x, y = F.col(f"{a}size"), F.col(f"{b}size")
+    apart = sum((F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(4)), F.lit(0))
+    return (F.least(x, y) >= F.greatest(x, y) * similarity - EPS) & (apart <= (x + y) * ((1 - similarity) / (1 + similarity)) + EPS)
+
+
+def _enough(similarity: float) -> Column:
+    """Whether sets of ``size`` and ``b_size`` that share n shingles of their prefixes can be similar."""
+    after = lambda c: F.ceil(F.col(c) * similarity - EPS) - 1  # noqa: E731 - shingles that aren't in the prefix
+    # The prefix that ends first in the common order shares nothing with the other set's remainder, so at most all after it is shared too.
+    return F.col("n") + F.greatest(after("size"), after("b_size")) >= (F.col("size") + F.col("b_size")) * (similarity / (1 + similarity)) - EPS
+
+
 def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """(a, b) distinct -> those whose sets are similar: by size, by parities, then exactly."""
-    of = lambda s: nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("size", "p0", "p1", "p2", "p3")])
-    apart = sum((F.bit_count(F.col(f"a_p{i}").bitwiseXOR(F.col(f"b_p{i}"))) for i in range(4)), F.lit(0))
-    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + EPS
-    sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - EPS
-    likely = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").where(sizes & (apart <= most)).select("a", "b"))
+    of = lambda s: nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in TOLD])
+    likely = checkpointed(pairs.join(of("a"), "a").join(of("b"), "b").where(_possible("a_", "b_", similarity)).select("a", "b"))
     released(rows.sparkSession)
     wanted = checkpointed(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
     few = F.broadcast(wanted) if wanted.count() <= FEW else wanted  # then the other sets aren't shuffled
@@ -444,11 +461,39 @@ def _proposed(nodes: DataFrame, plan: Plan) -> DataFrame:
     return same.unionByName(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
+def _unconnected(shared: DataFrame, near: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(token, node) and (node, label) -> (token, node, label, size, p0 to p3) of the tokens that several components share."""
+    told = nodes.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("label"), *TOLD)
+    named = stored(shared.join(told, "node"), "named")
+    released(shared.sparkSession)
+    apart = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
+    return named.join(apart, "token", "left_semi")
+
+
+def _others(rest: DataFrame) -> DataFrame:
+    return rest.select("token", F.col("node").alias("b"), F.col("label").alias("b_label"), *[F.col(c).alias(f"b_{c}") for c in TOLD])
+
+
+def _starred(rest: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) distinct: sets of a token that many share, each with some of those that hashes draw among them.
+
+    The hashes are the nodes' own, so that tokens of the same sets draw the same ones. Their similar pairs connect most of a
+    large group of near copies without the square of its size; what they don't connect meets later.
+    """
+    large = rest.groupBy("token").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64(F.lit(k), "node")).alias(f"s{k}") for k in range(STARS)]).where(F.col("n") > LARGE)
+    stars = large.select("token", F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(STARS)]))).alias("b"))
+    drawn = _others(rest).join(stars, ["token", "b"])
+    met = rest.join(drawn, "token").where((F.col("label") != F.col("b_label")) & _possible("", "b_", similarity))
+    often = met.groupBy("node", "size", "b", "b_size").agg(F.count("*").alias("n")).where(_enough(similarity)).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "b")), asc=False).alias("m"))
+    tried = often.select("node", F.explode(F.slice("m", 1, MEETINGS)["b"]).alias("b"))
+    return tried.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
 def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     """The shingled rows, and (node, label) of the nodes that are linked.
 
-    First come the links that fingerprints propose; then all pairs of sets that share a shingle of their prefixes meet, but
-    those that are connected already.
+    First come the links that fingerprints propose, then those of a few pairs in large groups; then all pairs of sets that
+    share a shingle of their prefixes meet, but those that are connected already.
     """
     spark = docs.sparkSession
     rows = stored(shingled(docs, plan), "shingles")
@@ -460,19 +505,13 @@ def _by_similarity(docs: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     prefixes, mark = _prefixes(rows, plan.similarity, *common), bookmark()
     held = stored(prefixes.groupBy("token").agg(F.min("node").alias("l"), F.max("node").alias("m")).where("l <> m").select("token"), "held")
     released(spark)
-    shared = stored(prefixes.join(held, "token").distinct(), "shared")
-    released(spark)
-    named = stored(shared.join(near, "node", "left").select("token", "node", "size", F.coalesce("label", "node").alias("label")), "named")
+    shared = stored(prefixes.join(held, "token").select("token", "node").distinct(), "shared")
     released(spark)
-    apart = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("token")
-    rest = named.join(apart, "token", "left_semi")
-    other = rest.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"))
-    fit = F.least("size", "b_size") >= F.greatest("size", "b_size") * plan.similarity - EPS
-    met = rest.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & fit)
-    after = lambda c: F.ceil(F.col(c) * plan.similarity - EPS) - 1  # noqa: E731 - shingles that aren't in the prefix
-    # The prefix that ends first in the common order shares nothing with the other set's remainder, so at most all after it is shared too.
-    enough = F.col("n") + F.greatest(after("size"), after("b_size")) >= (F.col("size") + F.col("b_size")) * (plan.similarity / (1 + plan.similarity)) - EPS
-    pairs = met.groupBy("node", "size", "b", "b_size").agg(F.count("*").alias("n")).where(enough).select(F.col("node").alias("a"), "b")
+    first = checkpointed(first.unionByName(_similar(_starred(_unconnected(shared, near, nodes), plan.similarity), nodes, rows, plan.similarity)))
+    rest = _unconnected(shared, components(first).withColumnRenamed("a", "node"), nodes)
+    fit = (F.col("node") < F.col("b")) & (F.col("label") != F.col("b_label")) & _possible("", "b_", plan.similarity)
+    met = rest.join(_others(rest), "token").where(fit)
+    pairs = met.groupBy("node", "size", "b", "b_size").agg(F.count("*").alias("n")).where(_enough(plan.similarity)).select(F.col("node").alias("a"), "b")
     found = first.unionByName(_similar(pairs, nodes, rows, plan.similarity))
     discard(spark, mark)
     released(spark)

@@ -197,6 +197,39 @@ def test_near_dedup_compares_few_whole_sets(spark, monkeypatch):
     assert all(r.doc_id == r.component_id for r in got) and sum(met) < 5
 
 
+def test_near_dedup_connects_a_large_group_by_few_pairs(spark, monkeypatch):
+    met, whole, proposed = [], simhash._similar, simhash._proposed
+    monkeypatch.setattr(simhash, "_proposed", lambda *a: proposed(*a).where("false"))  # as if fingerprints missed them
+    monkeypatch.setattr(simhash, "_similar", lambda pairs, *a: met.append(pairs.count()) or whole(pairs, *a))
+    rng = np.random.default_rng(14)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for d in range(240):
+        copy = base.copy()
+        for at in rng.choice(np.arange(5, 145), 1 + d % 2, replace=False):
+            copy[at] = f"x{rng.integers(0, 10**6)}"
+        rows.append((d, " ".join(copy)))
+    rows.append((999, " ".join([*base[:60], *(f"y{i}" for i in range(90))])))
+    sets = {i: set(simhash.shingles(t, 5).tolist()) for i, t in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    assert len(near) > 10_000
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR_DEDUP).collect()}
+    assert got == brute_components(sets, near) and sum(met) < 6000
+
+
+def test_pipeline_stages_bound_their_batches(spark):
+    corpus = pytest.importorskip("corpus_pipeline")
+    docs, key = spark.createDataFrame([(1, "a b c", "en", "web", 5)], "doc_id long, text string, lang string, source string, n_chars long"), "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        spark.conf.unset(key)
+        corpus.token_stage(spark, docs, "")
+        assert int(spark.conf.get(key).removesuffix("b")) <= 4 << 20
+        spark.conf.set(key, 1 << 25)
+        corpus.token_stage(spark, docs, "")
+        assert int(spark.conf.get(key).removesuffix("b")) == 1 << 25  # the session's own
+    finally:
+        spark.conf.unset(key)
+
+
 def test_deduplicated_decides_by_row(spark):
     text = lambda n: " ".join(f"{n}w{i}" for i in range(50))
     rows = [(3, text("a")), (5, text("a")), (5, text("b")), (6, text("b")), (6, text("c")), (None, text("d")), (None, text("d")), (None, text("e")), (7, text("e"))]
